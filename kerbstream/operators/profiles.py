@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from kerbstream.functions import traffic_factor, z_score
 from kerbstream.functions.metrics import SPEED_SPREAD, VOLUME_SPREAD
 from kerbstream.schemas import PROFILE
+from kerbstream.session import materialise
 
 # About 5 MB of (string, int, int) rows.
 BROADCAST_ROWS = 100_000
@@ -27,10 +28,13 @@ def with_profiles(readings: DataFrame, profiles: DataFrame,
     """Attach profiles; a sensor without one keeps its readings with NULLs.
 
     Profiles are counted, up to the limit, before they are broadcast. More of them than that
-    take an ordinary shuffle join, whose hot sensors the adaptive skew join splits.
+    take a shuffle join, whose hot sensors the adaptive skew join splits. It does so only if
+    nothing but the shuffle lies below the join, hence the written table.
     """
-    fits = profiles.limit(broadcast_rows + 1).count() <= broadcast_rows
-    side = F.broadcast(profiles) if fits else profiles.hint("merge")
+    if profiles.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        side = F.broadcast(profiles)
+    else:
+        side = materialise(profiles, "profiles").hint("merge")
     return readings.join(side, "sensor_id", "left")
 
 

@@ -81,9 +81,12 @@ def intervention_report(peaks: DataFrame, fraction: float = VOLUME_FRACTION,
     """
     limits = volume_threshold(peaks, fraction, per_day)
     if per_day:
-        # One row per calendar date, so the broadcast cannot grow with the sensors.
-        limits = limits.select("traffic_date", "threshold")
-        judged = peaks.join(F.broadcast(limits), "traffic_date", "left")
+        # One row per calendar date, so the broadcast cannot grow with the sensors. Null-safe,
+        # because "=" would add a not-null filter to this side only, and with a scan of its own
+        # it could no longer share the other side's shuffle.
+        limits = limits.select(F.col("traffic_date").alias("limit_date"), "threshold")
+        same_day = F.col("traffic_date").eqNullSafe(F.col("limit_date"))
+        judged = peaks.join(F.broadcast(limits), same_day, "left")
         threshold = F.col("threshold")
     else:
         judged = peaks
@@ -103,12 +106,16 @@ def report_kpis(report: DataFrame) -> DataFrame:
     """Rows, sensors, flagged rows and the busiest sensor, in one pass.
 
     Rows and sensors differ when a sensor has tied peak hours. Equal volumes are broken by
-    sensor id. An empty report has zero counts and no busiest sensor.
+    sensor id. An empty report has zero counts and no busiest sensor. Grouping by sensor first
+    replaces a distinct count by a plain one, in hash aggregates.
     """
-    volume = F.col("hourly_volume")
-    busiest_first = F.struct(volume.isNull(), -volume, F.col("sensor_id"))
-    return report.agg(
-        F.count("*").alias("total_rows"),
-        F.countDistinct("sensor_id").alias("total_sensors"),
-        F.count_if(F.col("intervention_required") == REQUIRED).alias("need_intervention"),
+    per_sensor = report.groupBy("sensor_id").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("intervention_required") == REQUIRED).alias("flagged"),
+        F.max("hourly_volume").alias("volume"))
+    busiest_first = F.struct(F.col("volume").isNull(), -F.col("volume"), F.col("sensor_id"))
+    return per_sensor.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.count("sensor_id").alias("total_sensors"),
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("need_intervention"),
         F.min_by("sensor_id", busiest_first).alias("busiest_sensor"))

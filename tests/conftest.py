@@ -1,0 +1,55 @@
+import datetime
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TESTDATA = os.environ.get("KERBSTREAM_TESTDATA", "/root/testdata")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (SparkSession.builder.master("local[8]").appName("kerbstream-tests")
+               .config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+               .getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def changed_conf(spark):
+    """Set runtime settings for one test."""
+    before = {}
+
+    def change(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="session")
+def events(spark):
+    from kerbstream.plans.event_view import EVENTS
+    return spark.read.schema(EVENTS).parquet(f"{TESTDATA}/sf0.001/events.parquet")
+
+
+@pytest.fixture
+def at():
+    """A time on the fixtures' date: at("00:01:30")."""
+    def parse(text):
+        return datetime.datetime.fromisoformat(f"2026-02-20T{text}")
+    return parse

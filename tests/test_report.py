@@ -1,0 +1,125 @@
+import datetime
+import math
+
+import pytest
+
+from kerbstream.operators import (
+    daily_peaks, hourly_rollup, intervention_report, rank_hours, report_kpis, volume_threshold)
+
+from helpers import AGGREGATE, PEAK, final_plan, rows
+
+DAY = datetime.date(2026, 2, 20)
+
+
+def windows(spark, at, *hours):
+    """(sensor, hour, vehicles, index[, date]) to aggregate rows."""
+    data = []
+    for sensor, hour, vehicles, index, *day in hours:
+        date = day[0] if day else DAY
+        start = datetime.datetime.combine(date, datetime.time(hour))
+        data.append((sensor, start, start + datetime.timedelta(minutes=1), vehicles, 1.0, index,
+                     date))
+    return spark.createDataFrame(data, AGGREGATE)
+
+
+def test_rollup_means_the_stored_indices(spark, at):
+    got = rows(hourly_rollup(windows(
+        spark, at, ("a", 1, 10, 1.0), ("a", 1, 5, 4.0), ("a", 2, 1, 2.0))))
+    assert got == [("a", 1, 15, 2.5), ("a", 2, 1, 2.0)]
+
+
+def test_tied_hours_share_the_peak(spark, at):
+    data = windows(spark, at, ("a", 1, 10, 1.0), ("a", 2, 10, 2.0), ("a", 3, 5, 9.0))
+    assert rows(daily_peaks(data)) == [("a", 1, 10, 1.0), ("a", 2, 10, 2.0)]
+    assert rows(daily_peaks(data, ties="first")) == [("a", 1, 10, 1.0)]
+    ranks = rows(rank_hours(hourly_rollup(data)), "hour", "rank")
+    assert ranks == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_unknown_tie_rule(spark, at):
+    with pytest.raises(ValueError):
+        daily_peaks(windows(spark, at, ("a", 1, 1, 1.0)), ties="last")
+
+
+def test_null_volumes_rank_last_but_still_rank(spark, at):
+    data = windows(spark, at, ("a", 1, None, 1.0), ("a", 2, None, 1.0),
+                   ("b", 1, None, 1.0), ("b", 2, 3, 1.0))
+    peaks = daily_peaks(data)
+    assert rows(peaks) == [("a", 1, None, 1.0), ("a", 2, None, 1.0), ("b", 2, 3, 1.0)]
+    flags = rows(intervention_report(peaks), "sensor_id", "intervention_required")
+    assert flags == [("a", "NO"), ("a", "NO"), ("b", "NO")]
+
+
+def peaks_frame(spark, *data):
+    return spark.createDataFrame(list(data), PEAK)
+
+
+def test_both_bounds_are_inclusive(spark):
+    report = intervention_report(peaks_frame(
+        spark, ("top", 8, 100, 4.99), ("edge", 8, 95, 5.0), ("low", 8, 94, 9.0),
+        ("none", 8, 100, None)))
+    assert rows(report, "sensor_id", "intervention_required", "recommended_action") == [
+        ("edge", "YES", "Deploy traffic police"),
+        ("low", "NO", "Monitor only"),
+        ("none", "NO", "Monitor only"),
+        ("top", "NO", "Monitor only")]
+
+
+def test_thresholds_are_parameters(spark):
+    peaks = peaks_frame(spark, ("a", 8, 100, 2.0), ("b", 8, 60, 2.0))
+    report = intervention_report(peaks, fraction=0.5, congestion=2.0)
+    assert [r.intervention_required for r in report.collect()] == ["YES", "YES"]
+
+
+def test_nan_index_flags(spark):
+    # NaN is the largest double in Spark; split_valid is the way to keep it out.
+    report = intervention_report(peaks_frame(spark, ("a", 8, 100, math.nan)))
+    assert report.first()["intervention_required"] == "YES"
+
+
+def test_empty_day(spark):
+    empty = peaks_frame(spark)
+    assert rows(volume_threshold(empty)) == [(None, None)]
+    report = intervention_report(empty)
+    assert report.collect() == []
+    assert rows(report_kpis(report)) == [(0, 0, 0, None)]
+
+
+def test_days_are_judged_by_themselves(spark, at):
+    other = datetime.date(2026, 2, 21)
+    data = windows(spark, at, ("a", 1, 100, 6.0), ("b", 1, 50, 6.0),
+                   ("b", 2, 40, 6.0, other), ("c", 2, 10, 6.0, other))
+    report = intervention_report(daily_peaks(data, per_day=True), per_day=True)
+    assert rows(report, "traffic_date", "sensor_id", "intervention_required") == [
+        (DAY, "a", "YES"), (DAY, "b", "NO"), (other, "b", "YES"), (other, "c", "NO")]
+    for day in (DAY, other):
+        alone = intervention_report(daily_peaks(data.filter(data.traffic_date == day)))
+        together = report.filter(report.traffic_date == day).drop("traffic_date")
+        assert rows(alone) == rows(together)
+
+
+def test_rows_without_a_date_are_a_day_of_their_own(spark, at):
+    data = windows(spark, at, ("a", 1, 100, 6.0)).selectExpr(
+        "* except (traffic_date)", "date(null) as traffic_date")
+    report = intervention_report(daily_peaks(data, per_day=True), per_day=True)
+    assert report.first()["intervention_required"] == "YES"
+
+
+def test_kpis(spark):
+    report = intervention_report(peaks_frame(
+        spark, ("b", 8, 100, 6.0), ("a", 9, 100, 6.0), ("a", 10, 100, 1.0), ("c", 1, None, 9.0)))
+    row = report_kpis(report).first()
+    assert row.asDict() == {"total_rows": 4, "total_sensors": 3, "need_intervention": 2,
+                            "busiest_sensor": "a"}
+
+
+@pytest.mark.parametrize("per_day", [False, True])
+def test_report_scans_and_rolls_up_once(spark, at, per_day, tmp_path):
+    path = str(tmp_path / "windows")
+    windows(spark, at, ("a", 1, 100, 6.0), ("b", 1, 50, 6.0)).write.parquet(path)
+    data = spark.read.schema(AGGREGATE).parquet(path)
+    text = final_plan(intervention_report(daily_peaks(data, per_day=per_day), per_day=per_day))
+    assert "ReusedExchange" in text
+    assert text.count("FileScan") == 1
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    assert "WindowGroupLimit" in text
