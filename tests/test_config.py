@@ -1,0 +1,37 @@
+import pytest
+
+from kerbstream.config import PipelineConfig
+from kerbstream.session import BATCH_SETTINGS, apply_settings
+
+
+def test_settings_from_the_session(spark, changed_conf):
+    changed_conf("spark.kerbstream.raw_topic", "readings")
+    changed_conf("spark.kerbstream.alert_speed", "12.5")
+    changed_conf("spark.kerbstream.fail_on_data_loss", "true")
+    changed_conf("spark.kerbstream.layout", "traffic_date")
+    changed_conf("spark.kerbstream.min_partitions", "64")
+    changed_conf("spark.kerbstream.files_per_date", "3")
+    config = PipelineConfig.from_spark(spark, report_path="/r", aggregates_path=None)
+    assert config == PipelineConfig(
+        raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True, layout=("traffic_date",),
+        min_partitions=64, files_per_date=3, report_path="/r")
+
+
+def test_bad_flag(spark, changed_conf):
+    changed_conf("spark.kerbstream.extra_measures", "maybe")
+    with pytest.raises(ValueError, match="extra_measures"):
+        PipelineConfig.from_spark(spark)
+
+
+def test_paths_are_required():
+    with pytest.raises(ValueError, match="spark.kerbstream.report_path"):
+        PipelineConfig(aggregates_path="/a").require("aggregates_path", "report_path")
+
+
+def test_session_settings(spark, changed_conf):
+    changed_conf("spark.sql.session.timeZone", "UTC")
+    for key in BATCH_SETTINGS:
+        changed_conf(key, spark.conf.get(key))
+    apply_settings(spark, "Asia/Colombo")
+    assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Colombo"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
