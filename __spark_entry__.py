@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from kerbstream.config import DATE_LAYOUT, SENSOR_LAYOUT, PipelineConfig  # noqa: E402
+from kerbstream.config import DATE_LAYOUT, SENSOR_LAYOUT, JobConfig  # noqa: E402
 from kerbstream.functions import traffic_factor  # noqa: E402
 from kerbstream.operators import (  # noqa: E402
     congestion_trend, critical_alerts, daily_peaks, decode_alerts, expected_vs_observed,
@@ -32,7 +32,8 @@ from kerbstream.plans.event_view import (  # noqa: E402
 from kerbstream.session import shared_dir  # noqa: E402
 from kerbstream.sinks import write_aggregates, write_report  # noqa: E402
 from kerbstream.sources import aggregates_for_date, read_aggregates, read_report  # noqa: E402
-from kerbstream.streaming import start_pipeline, start_rejects, wait_all  # noqa: E402
+from kerbstream.streaming import (  # noqa: E402
+    start_aggregates, start_alerts, start_streams, start_rejects, wait_all)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REPORT_DATE = "2024-01-15"
@@ -133,30 +134,36 @@ def q_window_min_count(spark, sf_dir):
 
 # ---- streaming --------------------------------------------------------------------------
 
-def _file_config(spark: SparkSession, **changes) -> PipelineConfig:
-    root = shared_dir(spark, "pipeline")
-    return PipelineConfig(
+def _file_config(spark: SparkSession, **changes) -> JobConfig:
+    root = shared_dir(spark, "streams")
+    return JobConfig(
         aggregates_path=f"{root}/aggregates", aggregates_checkpoint=f"{root}/ck-aggregates",
         alerts_checkpoint=f"{root}/ck-alerts", alerts_path=f"{root}/alerts",
         alert_format="json", report_path=f"{root}/report", **changes)
 
 
-def _run_pipeline(spark, sf_dir, **changes) -> PipelineConfig:
+def _run_streams(spark, sf_dir, **changes) -> JobConfig:
     """Messages from the whole table through both streaming queries, to files."""
     config = _file_config(spark, **changes)
     envelope = envelope_view(_event_stream(spark, sf_dir))
-    wait_all(start_pipeline(envelope, config, available_now=True))
+    wait_all(start_streams(envelope, config, available_now=True))
     return config
 
 
+def _stream_readings(spark, sf_dir) -> DataFrame:
+    return parse_readings(envelope_view(_event_stream(spark, sf_dir)))
+
+
 def q_stream_window_aggregates(spark, sf_dir):
-    config = _run_pipeline(spark, sf_dir, layout=DATE_LAYOUT)
+    config = _file_config(spark, layout=DATE_LAYOUT)
+    wait_all([start_aggregates(_stream_readings(spark, sf_dir), config, available_now=True)])
     stored = read_aggregates(spark, config.aggregates_path).drop("traffic_date")
     return _comparable(stored, "window_avg_speed")
 
 
 def q_stream_critical_alerts(spark, sf_dir):
-    config = _run_pipeline(spark, sf_dir, layout=DATE_LAYOUT)
+    config = _file_config(spark)
+    wait_all([start_alerts(_stream_readings(spark, sf_dir), config, available_now=True)])
     return decode_alerts(spark.read.schema("key string, value string").json(config.alerts_path))
 
 
@@ -183,7 +190,7 @@ def q_aggregates_roundtrip(spark, sf_dir):
 
 
 def q_aggregates_for_date(spark, sf_dir):
-    day = aggregates_for_date(spark, _stored(spark, sf_dir), REPORT_DATE)
+    day = aggregates_for_date(spark, _stored(spark, sf_dir, DATE_LAYOUT), REPORT_DATE)
     return _comparable(day, "window_avg_speed")
 
 
@@ -242,15 +249,16 @@ def q_report_csv_roundtrip(spark, sf_dir):
 
 
 def q_daily_report_job_for_date(spark, sf_dir):
-    config = PipelineConfig(
-        aggregates_path=_stored(spark, sf_dir), report_path=shared_dir(spark, "report"))
+    config = JobConfig(
+        aggregates_path=_stored(spark, sf_dir, DATE_LAYOUT),
+        report_path=shared_dir(spark, "report"))
     path = run_daily_report(spark, REPORT_DATE, config)
     return _comparable(read_report(spark, path), "avg_congestion_index")
 
 
 def q_end_to_end_report_for_date(spark, sf_dir):
     """Messages, streaming aggregates in the default layout, then the report job on them."""
-    config = _run_pipeline(spark, sf_dir)
+    config = _run_streams(spark, sf_dir)
     path = run_daily_report(spark, REPORT_DATE, config)
     return _comparable(read_report(spark, path), "avg_congestion_index")
 
@@ -280,7 +288,7 @@ def q_congestion_trend_latest(spark, sf_dir):
 
 
 def _page(spark, sf_dir):
-    config = PipelineConfig(
+    config = JobConfig(
         aggregates_path=_stored(spark, sf_dir, DATE_LAYOUT),
         report_path=shared_dir(spark, "report"))
     stored = read_aggregates(spark, config.aggregates_path)

@@ -1,5 +1,5 @@
 """Road-sensor stream analytics as plain DataFrame functions."""
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 
-__all__ = ["PipelineConfig"]
+__all__ = ["JobConfig"]

@@ -25,7 +25,7 @@ DATE_LAYOUT = ("traffic_date",)
 
 
 @dataclass(frozen=True)
-class PipelineConfig:
+class JobConfig:
     """Paths, topics and thresholds. Paths have no defaults on purpose: output and
     checkpoints belong on storage every executor can reach."""
 
@@ -48,6 +48,11 @@ class PipelineConfig:
     alert_format: str = "kafka"
     alerts_path: str = ""
 
+    # Set both to keep unusable readings apart: they are stored with a reason, and only the
+    # others are aggregated and alerted on. Unset, every reading goes through.
+    rejects_path: str = ""
+    rejects_checkpoint: str = ""
+
     window: str = WINDOW
     watermark: str = WATERMARK
     trigger: str = TRIGGER
@@ -66,7 +71,7 @@ class PipelineConfig:
     zone: str = "UTC"
 
     @classmethod
-    def from_spark(cls, spark: SparkSession, **overrides) -> "PipelineConfig":
+    def from_spark(cls, spark: SparkSession, **overrides) -> "JobConfig":
         """Settings given as ``--conf spark.kerbstream.<field>=<value>``."""
         values = {}
         for field in dataclasses.fields(cls):
@@ -76,7 +81,7 @@ class PipelineConfig:
         values.update({k: v for k, v in overrides.items() if v is not None})
         return cls(**values)
 
-    def require(self, *names: str) -> "PipelineConfig":
+    def require(self, *names: str) -> "JobConfig":
         missing = [n for n in names if not getattr(self, n)]
         if missing:
             raise ValueError("not configured: " + ", ".join(CONF_PREFIX + n for n in missing))

@@ -1,12 +1,19 @@
-"""Rewrite a closed date's many small files as few large ones."""
+"""Rewrite a closed date's many small files as few large ones.
+
+    spark-submit --py-files kerbstream.zip \\
+                 --conf spark.kerbstream.aggregates_path=... \\
+                 kerbstream/plans/compact.py --date 2024-01-15 --target ...
+"""
 
 from __future__ import annotations
 
+import argparse
 import datetime
 
 from pyspark.sql import SparkSession
 
-from kerbstream.config import DATE_LAYOUT
+from kerbstream.config import DATE_LAYOUT, JobConfig
+from kerbstream.session import apply_settings
 from kerbstream.sinks import write_aggregates
 from kerbstream.sources import aggregates_for_date
 
@@ -22,3 +29,22 @@ def compact_date(spark: SparkSession, source: str, target: str, day: datetime.da
         raise ValueError("compact into another folder than the stream's own")
     day_rows = aggregates_for_date(spark, source, day, extra_measures=extra_measures)
     write_aggregates(day_rows, target, layout)
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Compact one date of the aggregates.")
+    parser.add_argument("--date", required=True, type=datetime.date.fromisoformat)
+    parser.add_argument("--target", required=True)
+    parser.add_argument("--aggregates-path")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName("kerbstream-compact").getOrCreate()
+    config = JobConfig.from_spark(spark, aggregates_path=args.aggregates_path)
+    config.require("aggregates_path")
+    apply_settings(spark, config.zone)
+    compact_date(spark, config.aggregates_path, args.target, args.date,
+                 extra_measures=config.extra_measures)
+
+
+if __name__ == "__main__":
+    main()

@@ -13,7 +13,7 @@ import datetime
 
 from pyspark.sql import SparkSession
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 from kerbstream.operators import daily_peaks, intervention_report
 from kerbstream.session import apply_settings
 from kerbstream.sinks import write_report
@@ -21,7 +21,7 @@ from kerbstream.sources import aggregates_for_date
 
 
 def run_daily_report(spark: SparkSession, day: datetime.date | str,
-                     config: PipelineConfig) -> str:
+                     config: JobConfig) -> str:
     """Write the report of one date and return its path.
 
     The date is an argument, not the clock's: a run just after midnight would otherwise report
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("kerbstream-daily-report").getOrCreate()
-    config = PipelineConfig.from_spark(
+    config = JobConfig.from_spark(
         spark, aggregates_path=args.aggregates_path, report_path=args.report_path)
     apply_settings(spark, config.zone)
     run_daily_report(spark, args.date, config)

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 from kerbstream.operators import congestion_trend, latest_status, report_kpis, status_board
 from kerbstream.sources import read_aggregates, read_report
 
@@ -19,7 +19,7 @@ class StatusPage(NamedTuple):
     report: DataFrame
 
 
-def status_page(spark: SparkSession, config: PipelineConfig) -> StatusPage:
+def status_page(spark: SparkSession, config: JobConfig) -> StatusPage:
     config.require("aggregates_path", "report_path")
     aggregates = read_aggregates(spark, config.aggregates_path, skip_corrupt=True)
     latest = latest_status(aggregates)

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 
 
-def kafka_read_options(config: PipelineConfig) -> dict[str, str]:
+def kafka_read_options(config: JobConfig) -> dict[str, str]:
     """``startingOffsets`` only matters on the first start; later ones resume from the
     checkpoint."""
     config.require("bootstrap_servers", "raw_topic")
@@ -28,5 +28,5 @@ def kafka_read_options(config: PipelineConfig) -> dict[str, str]:
     return options
 
 
-def read_topic(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+def read_topic(spark: SparkSession, config: JobConfig) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_read_options(config)).load()

@@ -1,8 +1,8 @@
 """The continuous job."""
 
-from kerbstream.streaming.job import run_stream, start_pipeline, wait_all
+from kerbstream.streaming.job import run_stream, start_streams, wait_all
 from kerbstream.streaming.queries import (
     aggregate_stream, start_aggregates, start_alerts, start_rejects)
 
 __all__ = ["aggregate_stream", "run_stream", "start_aggregates", "start_alerts",
-           "start_pipeline", "start_rejects", "wait_all"]
+           "start_streams", "start_rejects", "wait_all"]

@@ -16,23 +16,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbstream.config import PipelineConfig
-from kerbstream.operators import parse_readings
+from kerbstream.config import JobConfig
+from kerbstream.operators import parse_readings, split_valid
 from kerbstream.session import apply_settings
 from kerbstream.sources import read_topic
-from kerbstream.streaming.queries import start_aggregates, start_alerts
+from kerbstream.streaming.queries import start_aggregates, start_alerts, start_rejects
 
 
-def start_pipeline(envelope: DataFrame, config: PipelineConfig,
-                   available_now: bool = False) -> list[StreamingQuery]:
+def start_streams(envelope: DataFrame, config: JobConfig,
+                  available_now: bool = False) -> list[StreamingQuery]:
     """Decode once in the plan, run twice: each query reads the source by itself, so alerts do
     not wait for the aggregates' micro-batches and a slow sink does not hold up the other."""
     readings = parse_readings(envelope)
-    queries = [start_aggregates(readings, config, available_now)]
+    starts = [lambda r: start_aggregates(r, config, available_now),
+              lambda r: start_alerts(r, config, available_now)]
+    usable = readings
+    if config.rejects_path:
+        config.require("rejects_checkpoint")
+        usable, _ = split_valid(readings)
+        starts.append(lambda _: start_rejects(
+            readings, config.rejects_path, config.rejects_checkpoint, available_now))
+    queries: list[StreamingQuery] = []
     try:
-        queries.append(start_alerts(readings, config, available_now))
+        for start in starts:
+            queries.append(start(usable))
     except Exception:
-        queries[0].stop()
+        for query in queries:
+            query.stop()
         raise
     return queries
 
@@ -50,14 +60,14 @@ def wait_all(queries: Sequence[StreamingQuery], poll_seconds: int = 1) -> None:
                 query.stop()
 
 
-def run_stream(spark: SparkSession, config: PipelineConfig,
+def run_stream(spark: SparkSession, config: JobConfig,
                available_now: bool = False) -> list[StreamingQuery]:
-    return start_pipeline(read_topic(spark, config), config, available_now)
+    return start_streams(read_topic(spark, config), config, available_now)
 
 
 def main() -> None:
     spark = SparkSession.builder.appName("kerbstream-stream").getOrCreate()
-    config = PipelineConfig.from_spark(spark)
+    config = JobConfig.from_spark(spark)
     apply_settings(spark, config.zone, streaming=True)
     try:
         wait_all(run_stream(spark, config))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 from kerbstream.operators import (
     critical_alerts, split_valid, window_aggregates, with_traffic_date)
 from kerbstream.sinks import cluster_for_stream
 
 
-def aggregate_stream(readings: DataFrame, config: PipelineConfig) -> DataFrame:
+def aggregate_stream(readings: DataFrame, config: JobConfig) -> DataFrame:
     """Closed windows, dated and clustered for the table's layout."""
     windows = window_aggregates(
         readings, config.window, config.watermark, config.extra_measures)
@@ -19,7 +19,7 @@ def aggregate_stream(readings: DataFrame, config: PipelineConfig) -> DataFrame:
         with_traffic_date(windows), config.layout, config.files_per_date)
 
 
-def start_aggregates(readings: DataFrame, config: PipelineConfig,
+def start_aggregates(readings: DataFrame, config: JobConfig,
                      available_now: bool = False) -> StreamingQuery:
     """Append each window once, when the watermark has passed its end. The file sink logs what
     each micro-batch committed, so a restart neither loses nor repeats a window."""
@@ -35,7 +35,7 @@ def start_aggregates(readings: DataFrame, config: PipelineConfig,
     return writer.trigger(processingTime=config.trigger).start()
 
 
-def start_alerts(readings: DataFrame, config: PipelineConfig,
+def start_alerts(readings: DataFrame, config: JobConfig,
                  available_now: bool = False) -> StreamingQuery:
     """Send alerts as they come, without a trigger interval. Delivery to a topic is
     at-least-once: a retried micro-batch may send its alerts again."""
@@ -47,7 +47,7 @@ def start_alerts(readings: DataFrame, config: PipelineConfig,
     return writer.start()
 
 
-def _alert_sink(writer: DataStreamWriter, config: PipelineConfig) -> DataStreamWriter:
+def _alert_sink(writer: DataStreamWriter, config: JobConfig) -> DataStreamWriter:
     if config.alert_format == "kafka":
         config.require("bootstrap_servers", "alert_topic")
         return (writer.format("kafka")
@@ -59,7 +59,7 @@ def _alert_sink(writer: DataStreamWriter, config: PipelineConfig) -> DataStreamW
 
 def start_rejects(readings: DataFrame, path: str, checkpoint: str,
                   available_now: bool = False) -> StreamingQuery:
-    """Optional: keep the readings the aggregates cannot use, with the reason."""
+    """Store the readings that cannot be used, with the reason."""
     _, rejects = split_valid(readings)
     writer = (rejects.writeStream.format("json").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))

@@ -1,6 +1,6 @@
 import pytest
 
-from kerbstream.config import PipelineConfig
+from kerbstream.config import JobConfig
 from kerbstream.session import BATCH_SETTINGS, apply_settings
 
 
@@ -11,8 +11,8 @@ def test_settings_from_the_session(spark, changed_conf):
     changed_conf("spark.kerbstream.layout", "traffic_date")
     changed_conf("spark.kerbstream.min_partitions", "64")
     changed_conf("spark.kerbstream.files_per_date", "3")
-    config = PipelineConfig.from_spark(spark, report_path="/r", aggregates_path=None)
-    assert config == PipelineConfig(
+    config = JobConfig.from_spark(spark, report_path="/r", aggregates_path=None)
+    assert config == JobConfig(
         raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True, layout=("traffic_date",),
         min_partitions=64, files_per_date=3, report_path="/r")
 
@@ -20,12 +20,12 @@ def test_settings_from_the_session(spark, changed_conf):
 def test_bad_flag(spark, changed_conf):
     changed_conf("spark.kerbstream.extra_measures", "maybe")
     with pytest.raises(ValueError, match="extra_measures"):
-        PipelineConfig.from_spark(spark)
+        JobConfig.from_spark(spark)
 
 
 def test_paths_are_required():
     with pytest.raises(ValueError, match="spark.kerbstream.report_path"):
-        PipelineConfig(aggregates_path="/a").require("aggregates_path", "report_path")
+        JobConfig(aggregates_path="/a").require("aggregates_path", "report_path")
 
 
 def test_session_settings(spark, changed_conf):

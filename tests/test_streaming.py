@@ -6,14 +6,14 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from kerbstream.config import DATE_LAYOUT, PipelineConfig
+from kerbstream.config import DATE_LAYOUT, JobConfig
 from kerbstream.operators import (
     critical_alerts, decode_alerts, parse_readings, window_aggregates, with_traffic_date)
 from kerbstream.plans.event_view import EVENTS, readings_view
 from kerbstream.session import STREAM_SETTINGS
 from kerbstream.sources import aggregates_for_date, kafka_read_options, read_aggregates
 from kerbstream.streaming import (
-    start_aggregates, start_alerts, start_pipeline, start_rejects, wait_all)
+    start_aggregates, start_alerts, start_streams, wait_all)
 
 from conftest import TESTDATA
 from helpers import envelope_stream, plan, reading_json, rows, write_lines
@@ -22,7 +22,7 @@ KEYS = ["sensor_id", "window_start", "window_end", "total_vehicles", "congestion
 
 
 def config_in(folder, **changes):
-    return PipelineConfig(**{
+    return JobConfig(**{
         "aggregates_path": f"{folder}/table", "aggregates_checkpoint": f"{folder}/ck-table",
         "alerts_path": f"{folder}/alerts", "alerts_checkpoint": f"{folder}/ck-alerts",
         "alert_format": "json", **changes})
@@ -74,21 +74,34 @@ def test_late_readings(spark, at, tmp_path):
     assert alerts_of(spark, config).count() == 5, "late alerts are sent all the same"
 
 
+MIXED = [
+    ("a", "not json", "2026-02-20T00:00:00Z"),
+    ("a", reading_json("a", "tomorrow", 5, 1.0), "2026-02-20T00:00:00Z"),
+    message("a", "00:00:10", 3, 2.0),
+    message("a", "00:09:00", 1, 50.0),
+]
+
+
 def test_unreadable_messages_do_not_stop_the_stream(spark, at, tmp_path):
     source = tmp_path / "in"
-    write_lines(source, "0.json", [
-        ("a", "not json", "2026-02-20T00:00:00Z"),
-        ("a", reading_json("a", "tomorrow", 5, 1.0), "2026-02-20T00:00:00Z"),
-        message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 50.0)], 1_700_000_000)
+    write_lines(source, "0.json", MIXED, 1_700_000_000)
     config = config_in(tmp_path)
-    readings = parse_readings(envelope_stream(spark, source))
-    wait_all([*start_pipeline(envelope_stream(spark, source), config, available_now=True),
-              start_rejects(readings, f"{tmp_path}/rejects", f"{tmp_path}/ck-rejects",
-                            available_now=True)])
+    wait_all(start_streams(envelope_stream(spark, source), config, available_now=True))
     assert rows(read_aggregates(spark, config.aggregates_path), "window_start",
                 "total_vehicles") == [(at("00:00:00"), 3)]
     assert alerts_of(spark, config).count() == 2, "an alert needs a speed, not a time"
-    rejects = spark.read.json(f"{tmp_path}/rejects")
+
+
+def test_unusable_readings_can_be_kept_apart(spark, at, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source, "0.json", MIXED, 1_700_000_000)
+    config = config_in(tmp_path, rejects_path=f"{tmp_path}/rejects",
+                       rejects_checkpoint=f"{tmp_path}/ck-rejects")
+    wait_all(start_streams(envelope_stream(spark, source), config, available_now=True))
+    assert rows(read_aggregates(spark, config.aggregates_path), "window_start",
+                "total_vehicles") == [(at("00:00:00"), 3)]
+    assert alerts_of(spark, config).count() == 1
+    rejects = spark.read.json(config.rejects_path)
     assert rows(rejects, "reject_reason") == [("bad_json",), ("bad_time",)]
 
 
@@ -180,19 +193,19 @@ def test_a_query_that_cannot_start_stops_the_first(spark, tmp_path):
     source = tmp_path / "in"
     write_lines(source, "0.json", [message("a", "00:00:10", 3, 2.0)], 1_700_000_000)
     with pytest.raises(ValueError, match="alerts_checkpoint"):
-        start_pipeline(envelope_stream(spark, source), config_in(tmp_path, alerts_checkpoint=""))
+        start_streams(envelope_stream(spark, source), config_in(tmp_path, alerts_checkpoint=""))
     assert not spark.streams.active
 
 
 def test_kafka_options():
-    config = PipelineConfig(bootstrap_servers="broker:9092")
+    config = JobConfig(bootstrap_servers="broker:9092")
     assert kafka_read_options(config) == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "raw-traffic",
         "startingOffsets": "earliest", "failOnDataLoss": "false"}
-    more = PipelineConfig(bootstrap_servers="b", raw_topic="t", starting_offsets="latest",
+    more = JobConfig(bootstrap_servers="b", raw_topic="t", starting_offsets="latest",
                           fail_on_data_loss=True, max_offsets_per_trigger=10, min_partitions=64)
     assert kafka_read_options(more) == {
         "kafka.bootstrap.servers": "b", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "true", "maxOffsetsPerTrigger": "10", "minPartitions": "64"}
     with pytest.raises(ValueError, match="bootstrap_servers"):
-        kafka_read_options(PipelineConfig())
+        kafka_read_options(JobConfig())

@@ -7,10 +7,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from kerbstream.config import DATE_LAYOUT, SENSOR_LAYOUT, PipelineConfig
+from kerbstream.config import DATE_LAYOUT, SENSOR_LAYOUT, JobConfig
 from kerbstream.operators import (
     daily_peaks, intervention_report, latest_status, window_aggregates, with_traffic_date)
-from kerbstream.plans import compact_date, daily_report, run_daily_report, status_page
+from kerbstream.plans import compact, compact_date, daily_report, run_daily_report, status_page
 from kerbstream.plans.event_view import readings_view
 from kerbstream.schemas import AGGREGATE, REPORT
 from kerbstream.session import materialise, shared_dir
@@ -136,6 +136,14 @@ def test_compaction_keeps_rows_and_merges_files(spark, dated, tmp_path):
     assert len(parts(target)) == 1
 
 
+def test_compaction_command_line(spark, dated, tmp_path):
+    source, target = str(tmp_path / "table"), str(tmp_path / "compacted")
+    write_aggregates(dated, source)
+    compact.main(["--date", REPORT_DATE, "--aggregates-path", source, "--target", target])
+    assert read_aggregates(spark, target).count() == aggregates_for_date(
+        spark, source, REPORT_DATE).count()
+
+
 def test_compaction_keeps_extra_measures(spark, events, tmp_path):
     source, target = str(tmp_path / "table"), str(tmp_path / "compacted")
     full = with_traffic_date(window_aggregates(readings_view(events), extra_measures=True))
@@ -182,7 +190,7 @@ def test_report_roundtrip_and_replacement(spark, tmp_path):
 
 
 def job_config(tmp_path):
-    return PipelineConfig(
+    return JobConfig(
         aggregates_path=str(tmp_path / "table"), report_path=str(tmp_path / "report"))
 
 
