@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the jobs rely on at scale; the number of shuffle partitions is left
-# to the cluster, because a stateful stream fixes it in its first checkpoint.
+# Runtime settings the jobs rely on at scale.
 BATCH_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,11 +24,25 @@ STREAM_SETTINGS = {
 }
 
 
+# How many partitions a batch shuffle starts with; the adaptive planner merges small ones.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 4
+
+
 def apply_settings(spark: SparkSession, zone: str, streaming: bool = False) -> None:
-    """Settings for a job that owns its session."""
+    """Settings for a job that owns its session.
+
+    Batch shuffles start with several partitions per core, so that their size falls as the
+    cluster grows. ``spark.sql.shuffle.partitions`` itself is left to the cluster, because a
+    stateful stream keeps the number of its first checkpoint.
+    """
     settings = dict(BATCH_SETTINGS)
     if streaming:
         settings.update(STREAM_SETTINGS)
+    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        settings[INITIAL_PARTITIONS] = str(max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
     for key, value in settings.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", zone)

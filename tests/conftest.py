@@ -41,6 +41,15 @@ def changed_conf(spark):
             spark.conf.set(key, value)
 
 
+@pytest.fixture
+def job_settings(spark, changed_conf):
+    """Put back what a job's own settings change."""
+    from kerbstream.session import BATCH_SETTINGS, INITIAL_PARTITIONS
+    for key in [*BATCH_SETTINGS, "spark.sql.session.timeZone"]:
+        changed_conf(key, spark.conf.get(key))
+    changed_conf(INITIAL_PARTITIONS, "4")
+
+
 @pytest.fixture(scope="session")
 def events(spark):
     from kerbstream.plans.event_view import EVENTS

@@ -32,6 +32,23 @@ def final_plan(df):
     return "\n".join(kept)
 
 
+def shuffled_records(df):
+    """Records each shuffle of the plan wrote, in a run."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name in ("ShuffleQueryStageExec", "ResultQueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 def plan(df):
     out = io.StringIO()
     with contextlib.redirect_stdout(out):

@@ -1,7 +1,7 @@
 import pytest
 
 from kerbstream.config import JobConfig
-from kerbstream.session import BATCH_SETTINGS, apply_settings
+from kerbstream.session import INITIAL_PARTITIONS, apply_settings
 
 
 def test_settings_from_the_session(spark, changed_conf):
@@ -28,10 +28,11 @@ def test_paths_are_required():
         JobConfig(aggregates_path="/a").require("aggregates_path", "report_path")
 
 
-def test_session_settings(spark, changed_conf):
-    changed_conf("spark.sql.session.timeZone", "UTC")
-    for key in BATCH_SETTINGS:
-        changed_conf(key, spark.conf.get(key))
+def test_session_settings(spark, job_settings):
     apply_settings(spark, "Asia/Colombo")
     assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Colombo"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get(INITIAL_PARTITIONS) == "4", "a chosen number is kept"
+    spark.conf.unset(INITIAL_PARTITIONS)
+    apply_settings(spark, "UTC")
+    assert int(spark.conf.get(INITIAL_PARTITIONS)) == 32

@@ -18,7 +18,7 @@ SPEEDS = st.one_of(st.none(), st.just(math.nan), st.integers(-4, 480).map(lambda
 ROWS = st.lists(st.tuples(
     st.sampled_from(["a", "b", "007", None]), TIMES, st.one_of(st.none(), st.integers(0, 200)),
     SPEEDS), min_size=0, max_size=40)
-FEW = settings(max_examples=12, deadline=None,
+FEW = settings(max_examples=8, deadline=None,
                suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 

@@ -136,7 +136,7 @@ def test_compaction_keeps_rows_and_merges_files(spark, dated, tmp_path):
     assert len(parts(target)) == 1
 
 
-def test_compaction_command_line(spark, dated, tmp_path):
+def test_compaction_command_line(spark, dated, tmp_path, job_settings):
     source, target = str(tmp_path / "table"), str(tmp_path / "compacted")
     write_aggregates(dated, source)
     compact.main(["--date", REPORT_DATE, "--aggregates-path", source, "--target", target])
@@ -213,7 +213,7 @@ def test_report_job_on_an_empty_day(spark, dated, tmp_path):
         spark, run_daily_report(spark, "2031-01-01", job_config(tmp_path / "new"))).collect() == []
 
 
-def test_report_command_line(spark, dated, tmp_path):
+def test_report_command_line(spark, dated, tmp_path, job_settings):
     config = job_config(tmp_path)
     write_aggregates(dated, config.aggregates_path, DATE_LAYOUT)
     daily_report.main(["--date", REPORT_DATE, "--aggregates-path", config.aggregates_path,

@@ -1,8 +1,11 @@
+import datetime
 import math
 
+from pyspark.sql import functions as F
+
 from kerbstream.operators import window_aggregates, with_traffic_date
 
-from helpers import READING, plan, rows
+from helpers import READING, plan, rows, shuffled_records
 
 
 def test_measures_and_bounds(spark, at):
@@ -54,7 +57,6 @@ def test_speed_that_cancels_the_offset_gives_null(spark, at):
 
 
 def test_index_rounds_half_up_on_the_decimal_text(spark):
-    from pyspark.sql import functions as F
     assert spark.range(1).select(F.round(F.lit(1.005), 2)).first()[0] == 1.01
 
 
@@ -81,3 +83,13 @@ def test_one_shuffle_after_a_map_side_reduction(spark, events):
     assert tree.count("HashAggregate") == 2 and "SortAggregate" not in tree
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double,props:string>" in text
     assert "PushedFilters: [IsNotNull(ts)]" in text
+
+
+def test_a_hot_sensor_shuffles_one_row_per_task_and_window(spark):
+    start = datetime.datetime(2026, 2, 20)
+    hot = spark.range(0, 200_000, 1, 8).select(
+        F.lit("hot").alias("sensor_id"), F.lit(start).alias("timestamp"),
+        F.lit(1).alias("vehicle_count"), F.lit(1.0).alias("avg_speed"))
+    windows = window_aggregates(hot)
+    assert shuffled_records(windows) == [8]
+    assert rows(windows, "total_vehicles") == [(200_000,)]
