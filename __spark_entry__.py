@@ -33,7 +33,7 @@ from kerbstream.session import shared_dir  # noqa: E402
 from kerbstream.sinks import write_aggregates, write_report  # noqa: E402
 from kerbstream.sources import aggregates_for_date, read_aggregates, read_report  # noqa: E402
 from kerbstream.streaming import (  # noqa: E402
-    start_aggregates, start_alerts, start_streams, start_rejects, wait_all)
+    start_aggregates, start_alerts, start_rejects, start_streams, wait_all)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REPORT_DATE = "2024-01-15"
@@ -126,6 +126,11 @@ def q_window_aggregates(spark, sf_dir):
     return _comparable(_windows(spark, sf_dir), "window_avg_speed")
 
 
+def q_window_aggregates_5_minutes(spark, sf_dir):
+    windows = window_aggregates(_readings(spark, sf_dir), window="5 minutes")
+    return _comparable(windows, "window_avg_speed")
+
+
 def q_window_min_count(spark, sf_dir):
     windows = window_aggregates(_readings(spark, sf_dir), extra_measures=True)
     return _comparable(windows.select(
@@ -350,7 +355,10 @@ readings AS (
   FROM events)"""
 
 # The index is rounded half up on its decimal text, as Spark's round does with a double.
-_WINDOWS = _READINGS + """,
+_INDEX = """round((sum(vehicle_count) / (avg(avg_speed) + 0.01))::VARCHAR::DECIMAL(38, 18),
+               2)::DOUBLE"""
+
+_WINDOWS = _READINGS + f""",
 windows AS (
   SELECT sensor_id,
          date_trunc('minute', event_time)::TIMESTAMP AS window_start,
@@ -359,8 +367,7 @@ windows AS (
          avg(avg_speed) AS window_avg_speed,
          min(avg_speed) AS min_speed_in_window,
          count(*) AS total_readings,
-         round((sum(vehicle_count) / (avg(avg_speed) + 0.01))::VARCHAR::DECIMAL(38, 18),
-               2)::DOUBLE AS congestion_index,
+         {_INDEX} AS congestion_index,
          date_trunc('minute', event_time)::DATE AS traffic_date
   FROM readings
   GROUP BY sensor_id, date_trunc('minute', event_time))"""
@@ -452,6 +459,14 @@ def oracle_sql() -> dict[str, str]:
           count(*) AS readings FROM events GROUP BY 1""",
         "critical_alerts": alerts,
         "window_aggregates": f"WITH {_WINDOWS} SELECT {_WINDOW_COLUMNS} FROM windows",
+        "window_aggregates_5_minutes": f"""WITH {_READINGS}
+          SELECT sensor_id,
+                 time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
+                 time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end,
+                 sum(vehicle_count)::BIGINT AS total_vehicles,
+                 {_mean('avg(avg_speed)')} AS window_avg_speed,
+                 {_INDEX} AS congestion_index
+          FROM readings GROUP BY ALL""",
         "window_min_count": f"""WITH {_WINDOWS}
           SELECT sensor_id, window_start, min_speed_in_window, total_readings FROM windows""",
         "stream_window_aggregates": f"""WITH {_WINDOWS}

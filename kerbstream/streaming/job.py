@@ -27,19 +27,16 @@ def start_streams(envelope: DataFrame, config: JobConfig,
                   available_now: bool = False) -> list[StreamingQuery]:
     """Decode once in the plan, run twice: each query reads the source by itself, so alerts do
     not wait for the aggregates' micro-batches and a slow sink does not hold up the other."""
-    readings = parse_readings(envelope)
-    starts = [lambda r: start_aggregates(r, config, available_now),
-              lambda r: start_alerts(r, config, available_now)]
-    usable = readings
-    if config.rejects_path:
-        config.require("rejects_checkpoint")
-        usable, _ = split_valid(readings)
-        starts.append(lambda _: start_rejects(
-            readings, config.rejects_path, config.rejects_checkpoint, available_now))
+    readings = usable = parse_readings(envelope)
     queries: list[StreamingQuery] = []
     try:
-        for start in starts:
-            queries.append(start(usable))
+        if config.rejects_path:
+            config.require("rejects_checkpoint")
+            usable, _ = split_valid(readings)
+            queries.append(start_rejects(
+                readings, config.rejects_path, config.rejects_checkpoint, available_now))
+        queries.append(start_aggregates(usable, config, available_now))
+        queries.append(start_alerts(usable, config, available_now))
     except Exception:
         for query in queries:
             query.stop()

@@ -4,7 +4,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from kerbstream.operators import critical_alerts, decode_alerts, parse_readings, split_valid
+from kerbstream.operators import (
+    critical_alerts, decode_alerts, parse_readings, split_valid, window_aggregates)
 from kerbstream.schemas import READING
 
 from helpers import READING as READING_DDL, rows
@@ -71,6 +72,15 @@ def test_one_row_per_message(spark):
     assert parse_readings(envelope(spark, *[v for v, _ in DECODED])).count() == len(DECODED)
 
 
+@pytest.mark.parametrize("use", [
+    window_aggregates, critical_alerts, lambda r: split_valid(r)[0], lambda r: split_valid(r)[1]])
+def test_messages_are_decoded_once(spark, use, tmp_path):
+    envelope(spark, "{}").write.parquet(str(tmp_path / "messages"))
+    messages = spark.read.parquet(str(tmp_path / "messages"))
+    executed = use(parse_readings(messages))._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("from_json") == 1
+
+
 def test_split_valid_gives_every_reading_once(spark):
     good = '{"sensor_id":"a","timestamp":"2026-02-20T00:01:00","vehicle_count":1,"avg_speed":2}'
     cases = [

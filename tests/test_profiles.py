@@ -58,7 +58,8 @@ def test_sensor_without_a_profile_keeps_its_readings(spark, events):
 
 def test_zero_base_volume_gives_null(spark, at):
     readings = spark.createDataFrame([("a", at("08:00:00"), 1, 1.0)], READING)
-    profiles = spark.createDataFrame([("a", 0, 30)], "sensor_id string, base_volume int, base_speed int")
+    profiles = spark.createDataFrame(
+        [("a", 0, 30)], "sensor_id string, base_volume int, base_speed int")
     assert expected_vs_observed(readings, profiles).first()["volume_z"] is None
 
 

@@ -1,6 +1,7 @@
 import datetime
 import glob
 import os
+import shutil
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbstream.config import DATE_LAYOUT, JobConfig
 from kerbstream.operators import (
-    critical_alerts, decode_alerts, parse_readings, window_aggregates, with_traffic_date)
+    critical_alerts, decode_alerts, parse_readings, window_aggregates)
 from kerbstream.plans.event_view import EVENTS, readings_view
 from kerbstream.session import STREAM_SETTINGS
 from kerbstream.sources import aggregates_for_date, kafka_read_options, read_aggregates
@@ -130,8 +131,9 @@ def test_restart_neither_loses_nor_repeats(spark, events, tmp_path):
 
 def test_extra_measures_reach_the_table(spark, at, tmp_path):
     source = tmp_path / "in"
-    write_lines(source, "0.json", [message("a", "00:00:10", 3, 2.0), message("a", "00:00:20", 4, 1.0),
-                                   message("a", "00:09:00", 1, 50.0)], 1_700_000_000)
+    write_lines(source, "0.json", [
+        message("a", "00:00:10", 3, 2.0), message("a", "00:00:20", 4, 1.0),
+        message("a", "00:09:00", 1, 50.0)], 1_700_000_000)
     config = config_in(tmp_path, extra_measures=True)
     readings = parse_readings(envelope_stream(spark, source))
     wait_all([start_aggregates(readings, config, available_now=True)])
@@ -143,8 +145,8 @@ def test_rocksdb_state(spark, at, tmp_path, changed_conf):
     for key, value in STREAM_SETTINGS.items():
         changed_conf(key, value)
     source = tmp_path / "in"
-    write_lines(source, "0.json", [message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 5.0)],
-                1_700_000_000)
+    write_lines(source, "0.json", [
+        message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 5.0)], 1_700_000_000)
     config = config_in(tmp_path)
     query = start_aggregates(parse_readings(envelope_stream(spark, source)), config,
                              available_now=True)
@@ -156,14 +158,13 @@ def test_rocksdb_state(spark, at, tmp_path, changed_conf):
 
 def test_uncommitted_files_are_not_read(spark, at, tmp_path):
     source = tmp_path / "in"
-    write_lines(source, "0.json", [message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 5.0)],
-                1_700_000_000)
+    write_lines(source, "0.json", [
+        message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 5.0)], 1_700_000_000)
     config = config_in(tmp_path)
     wait_all([start_aggregates(parse_readings(envelope_stream(spark, source)), config,
                                available_now=True)])
     written = glob.glob(f"{config.aggregates_path}/**/*.parquet", recursive=True)[0]
-    with open(written, "rb") as f, open(os.path.join(os.path.dirname(written), "x.parquet"), "wb") as g:
-        g.write(f.read())
+    shutil.copy(written, os.path.join(os.path.dirname(written), "x.parquet"))
     assert read_aggregates(spark, config.aggregates_path).count() == 1
     day = aggregates_for_date(spark, config.aggregates_path, "2026-02-20")
     assert day.count() == 1 and "PartitionFilters: [isnotnull(traffic_date" in plan(day)
