@@ -1,14 +1,16 @@
 """Properties that hold for any input."""
 
 import datetime
+import json
 import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from kerbstream.operators import (
-    critical_alerts, daily_peaks, intervention_report, latest_status, rank_hours, split_valid,
-    hourly_rollup, volume_threshold, window_aggregates, with_traffic_date)
+    critical_alerts, daily_peaks, hourly_rollup, intervention_report, latest_status,
+    parse_readings, rank_hours, split_valid, volume_threshold, window_aggregates,
+    with_traffic_date)
 
 from helpers import READING, rows
 
@@ -97,3 +99,20 @@ def test_filters(spark, data):
     usable = [r for r in data if r[0] is not None and r[1] is not None
               and not (r[3] is not None and math.isnan(r[3]))]
     assert valid.count() == len(usable)
+
+
+@FEW
+@given(data=ROWS, texts=st.lists(st.text(max_size=30), max_size=10))
+def test_decoding(spark, data, texts):
+    messages = [json.dumps({
+        "sensor_id": sensor, "timestamp": time and time.isoformat() + "+00:00",
+        "vehicle_count": vehicles, "avg_speed": speed}) for sensor, time, vehicles, speed in data]
+    now = datetime.datetime(2026, 2, 20)
+    envelope = spark.createDataFrame(
+        [(m.encode(), now) for m in messages], "value binary, timestamp timestamp")
+    decoded = parse_readings(envelope).select(
+        "sensor_id", "timestamp", "vehicle_count", "avg_speed")
+    assert str(rows(decoded)) == str(rows(spark.createDataFrame(data, READING)))
+    noise = spark.createDataFrame(
+        [(t.encode("utf-8", "replace"), now) for t in texts], "value binary, timestamp timestamp")
+    assert parse_readings(noise).count() == len(texts)
