@@ -61,11 +61,13 @@ def volume_threshold(peaks: DataFrame, fraction: float = VOLUME_FRACTION,
                      per_day: bool = False) -> DataFrame:
     """The highest peak volume and the volume that counts as high: one row, or one per day.
 
-    The highest peak is taken as a (volume, index) pair. The index is not needed, but as long
-    as it is read here, this branch has the same shuffle as the report's own branch and Spark
-    runs the scan and the rollup once instead of twice.
+    The highest peak is taken with its hour and index, compared by volume first. Only the volume
+    is needed, but as all columns are read here, this branch has the same shuffles as the
+    report's own branch, and Spark runs the scan, the rollup and the ranking's shuffle once
+    instead of twice.
     """
-    highest = F.max(F.struct("hourly_volume", "avg_congestion_index"))["hourly_volume"]
+    peak = F.struct("hourly_volume", "peak_hour", "avg_congestion_index")
+    highest = F.max(peak)["hourly_volume"]
     day = _day(per_day)
     found = peaks.groupBy(*day).agg(highest.alias("max_volume"))
     return found.select(

@@ -252,6 +252,15 @@ def test_shared_folder_is_the_configured_one(spark):
     assert first.startswith(root) and first != second
 
 
+def test_a_local_session_can_do_without_a_shared_folder(spark, changed_conf):
+    root = spark.conf.get("spark.checkpoint.dir")
+    changed_conf("spark.checkpoint.dir", root)
+    spark.conf.unset("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert not first.startswith(root)
+    assert os.path.dirname(first) == os.path.dirname(second)
+
+
 def test_materialised_rows_are_fixed(spark):
     fixed = materialise(spark.range(100).select(F.rand().alias("r")), "random")
     assert rows(fixed) == rows(fixed)
