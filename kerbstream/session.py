@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -48,6 +49,11 @@ def apply_settings(spark: SparkSession, zone: str, streaming: bool = False) -> N
     spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="kerbstream-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -58,8 +64,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="kerbstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

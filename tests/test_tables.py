@@ -2,6 +2,7 @@ import datetime
 import glob
 import os
 import shutil
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -252,13 +253,18 @@ def test_shared_folder_is_the_configured_one(spark):
     assert first.startswith(root) and first != second
 
 
-def test_a_local_session_can_do_without_a_shared_folder(spark, changed_conf):
-    root = spark.conf.get("spark.checkpoint.dir")
-    changed_conf("spark.checkpoint.dir", root)
-    spark.conf.unset("spark.checkpoint.dir")
-    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
-    assert not first.startswith(root)
-    assert os.path.dirname(first) == os.path.dirname(second)
+def session_without_a_shared_folder(master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                           sparkContext=SimpleNamespace(master=master))
+
+
+def test_only_a_local_session_can_do_without_a_shared_folder():
+    local = session_without_a_shared_folder("local[4]")
+    first, second = shared_dir(local, "x"), shared_dir(local, "x")
+    assert first != second and os.path.dirname(first) == os.path.dirname(second)
+    for master in ("yarn", "k8s://host", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session_without_a_shared_folder(master), "x")
 
 
 def test_materialised_rows_are_fixed(spark):
