@@ -17,10 +17,17 @@ BROADCAST_ROWS = 100_000
 
 def parse_profiles(documents: DataFrame) -> DataFrame:
     """``{"<sensor>": {"base_volume": n, "base_speed": n}, ...}`` documents, one per row in
-    ``value``, to one row per sensor."""
-    by_sensor = F.from_json("value", T.MapType(T.StringType(), PROFILE))
-    return (documents.select(F.explode(by_sensor).alias("sensor_id", "profile"))
-            .select("sensor_id", "profile.*"))
+    ``value``, to one row per sensor.
+
+    A broken document is an error, as it would otherwise just leave all its sensors without a
+    profile. Of a sensor named twice the later entry counts; a second row would double its
+    readings in the join.
+    """
+    by_sensor = F.from_json(
+        "value", T.MapType(T.StringType(), PROFILE), {"mode": "FAILFAST"})
+    entries = documents.select(F.posexplode(by_sensor).alias("place", "sensor_id", "profile"))
+    return entries.groupBy("sensor_id").agg(
+        *[F.max_by(F.col("profile")[name], "place").alias(name) for name in PROFILE.names])
 
 
 def with_profiles(readings: DataFrame, profiles: DataFrame,

@@ -118,3 +118,10 @@ def test_alert_text(spark, at):
         (None, '{"critical_speed":4.0}'),
         ("a", '{"sensor_id":"a","alert_timestamp":"2026-02-20 00:00:07.12",'
               '"critical_speed":3.5}')]
+
+
+def test_other_columns_of_the_source_do_not_matter(spark):
+    message = '{"sensor_id":"a","timestamp":"2026-02-20T00:01:00","topic":"x","offset":9}'
+    full = envelope(spark, message).selectExpr(
+        "*", "'raw' as topic", "0 as partition", "7L as offset", "0 as timestampType")
+    assert rows(parse_readings(full)) == rows(parse_readings(envelope(spark, message)))
