@@ -35,6 +35,15 @@ from kerbstream.sources import aggregates_for_date, read_aggregates, read_report
 from kerbstream.streaming import (  # noqa: E402
     start_aggregates, start_alerts, start_rejects, start_streams, wait_all)
 
+try:
+    import corpus_pipeline
+    from kerbstream.llm import queries as llm
+except ModuleNotFoundError as absent:
+    # The operators for training text can be left out; nothing else depends on them.
+    if absent.name not in ("corpus_pipeline", "kerbstream.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 REPORT_DATE = "2024-01-15"
 
@@ -335,8 +344,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name.removeprefix("q_"): function
-            for name, function in globals().items() if name.startswith("q_")}
+    found = {name.removeprefix("q_"): function
+             for name, function in globals().items() if name.startswith("q_")}
+    if llm is not None:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # ---- oracle -----------------------------------------------------------------------------
@@ -451,7 +463,7 @@ def oracle_sql() -> dict[str, str]:
       FROM windows GROUP BY sensor_id"""
     on_date = f"""WITH {_WINDOWS}
       SELECT {_WINDOW_COLUMNS}, traffic_date FROM windows WHERE {_ON_DATE}"""
-    return {
+    found = {
         "parse_readings": f"WITH {_READINGS} SELECT {reading} FROM readings",
         "split_valid": f"""WITH {_READINGS}
           SELECT {reading} FROM readings WHERE event_type = 'click'""",
@@ -525,3 +537,8 @@ def oracle_sql() -> dict[str, str]:
                  {_mean('(avg_speed - base_speed / factor) / 3.0::DOUBLE')} AS speed_z
           FROM banded b LEFT JOIN profiles p USING (sensor_id)""",
     }
+    if llm is not None:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -19,7 +19,10 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    own = set(entry_point.queries())
+    if entry_point.llm is not None:  # some of these have no SQL; their own tests check them
+        own -= {*entry_point.llm.QUERIES, "pipeline"}
+    assert own <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):
