@@ -230,10 +230,9 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str,
             values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
             decoded = [codec.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.binary())], names=[*keep, "ids", "decoded"])
+                [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
-    return chosen.mapInArrow(run, f"{fields}, decoded binary")
+    return chosen.mapInArrow(run, chosen.schema.add("decoded", "binary"))
 
 
 def encoding_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",

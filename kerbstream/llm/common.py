@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Broadcast models must stay below this many bytes; they are files or rules of fixed size.
 MODEL_BYTES = 64 << 20
@@ -40,19 +41,16 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str,
     ``schema``. Texts stay in their task, so nothing is shuffled.
     """
     chosen = df.select(*keep, F.col(text).cast("binary" if binary else "string").alias("_text"))
-    names = [field.split()[0] for field in schema.split(", ")]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                     for f in chosen.schema.fields[:-1])
+    result = T.StructType(chosen.schema.fields[:-1] + T.StructType.fromDDL(schema).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = [load()] if load else []
         for batch in batches:
             made = function(*first, batch.column(batch.num_columns - 1).to_pylist())
             arrays = [a if isinstance(a, pa.Array) else pa.array(a) for a in made]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + arrays, names=keep + names)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + arrays, names=result.names)
 
-    return chosen.mapInArrow(run, f"{kept}, {schema}" if kept else schema)
+    return chosen.mapInArrow(run, result)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.llm import bpe, sharding, token_counts, url_filter
+from kerbstream.llm import bpe, sharding, simhash, token_counts, url_filter
 from kerbstream.llm.common import ship_package, table
 
 URL_RULES = [
@@ -22,6 +22,10 @@ TOKEN_LIMIT = 4096
 SHARDS = 8
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"),
                                    URL_RULES)
@@ -53,7 +57,7 @@ def _registered(query):
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op4_url_filters, op6_token_counts, op9_bpe_codec, op10_sharding)}
+    op3_simhash_near_dedup, op4_url_filters, op6_token_counts, op9_bpe_codec, op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
