@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.llm import bpe, mixing, sharding, simhash, token_counts, url_filter
+from kerbstream.llm import bpe, mixing, quality, sharding, simhash, token_counts, url_filter
 from kerbstream.llm.common import ship_package, table
 
 URL_RULES = [
@@ -32,6 +32,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance", "group", *quality.VECTOR)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_MODEL), TOKEN_LIMIT)
@@ -62,7 +68,7 @@ def _registered(query):
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op3_simhash_near_dedup, op4_url_filters, op6_token_counts, op8_source_mix, op9_bpe_codec, op10_sharding)}
+    op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op8_source_mix, op9_bpe_codec, op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
