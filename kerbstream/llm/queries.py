@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.llm import bpe, mixing, quality, sharding, simhash, token_counts, url_filter
+from kerbstream.llm import bpe, language, mixing, quality, sharding, simhash, token_counts, url_filter
 from kerbstream.llm.common import ship_package, table
 
 URL_RULES = [
@@ -43,6 +43,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_MODEL), TOKEN_LIMIT)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -68,7 +72,7 @@ def _registered(query):
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op8_source_mix, op9_bpe_codec, op10_sharding)}
+    op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
