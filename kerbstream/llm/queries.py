@@ -7,7 +7,8 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbstream.llm import bpe, language, mixing, quality, sharding, simhash, token_counts, url_filter
+from kerbstream.llm import (
+    bpe, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter)
 from kerbstream.llm.common import ship_package, table
 
 URL_RULES = [
@@ -22,6 +23,10 @@ TOKEN_LIMIT = 4096
 SHARDS = 8
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints_of_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,11 +77,60 @@ def _registered(query):
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
+    op1_document_fingerprints, op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
+_PIECES = r"[^.!?\n]{1,64}[.!?]*|[.!?]+"
+
+
+def _root_sql(text: str) -> str:
+    return f"""sha256('d' || array_to_string(list_transform(
+      string_split({text}, chr(10) || chr(10)), lambda s: sha256('s' || array_to_string(list_transform(
+        string_split(s, chr(10)), lambda p: sha256('p' || p)), ''))), ''))"""
+
+
+def _marks_sql(name: str, text: str) -> str:
+    """Each piece of a text, numbered among its equals."""
+    return f"""{name} AS (
+      SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id, piece) AS nth
+      FROM (SELECT doc_id, trim(unnest(regexp_extract_all({text}, '{_PIECES}'))) AS piece
+            FROM edits))"""
+
+
+def _near_sql(other: str, root: str) -> str:
+    return f"""CASE WHEN e.fingerprint = {root} THEN 1.0::DOUBLE ELSE least(
+        2::DOUBLE * coalesce(c_{other}.n, 0)
+          / greatest(coalesce(n_own.n, 0) + coalesce(n_{other}.n, 0), 1),
+        1::DOUBLE - 1::DOUBLE / (coalesce(n_own.n, 0) + coalesce(n_{other}.n, 0) + 1)) END"""
+
+
 ORACLE_SQL = {
+    "op1_document_fingerprints": f"""
+      WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+      followed AS (
+        SELECT doc_id, text, length(text) AS n_chars,
+               coalesce(lead(text) OVER (ORDER BY doc_id),
+                        first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM texts),
+      edits AS (
+        SELECT *, substr(text, 1, n_chars - n_chars // 2) || substr(next_text, 1, n_chars // 2)
+               AS edited, {_root_sql('text')} AS fingerprint FROM followed),
+      {_marks_sql('own', 'text')}, {_marks_sql('edited_marks', 'edited')},
+      {_marks_sql('next_marks', 'next_text')},
+      n_own AS (SELECT doc_id, count(*) AS n FROM own GROUP BY doc_id),
+      n_edited AS (SELECT doc_id, count(*) AS n FROM edited_marks GROUP BY doc_id),
+      n_next AS (SELECT doc_id, count(*) AS n FROM next_marks GROUP BY doc_id),
+      c_edited AS (SELECT doc_id, count(*) AS n FROM own JOIN edited_marks
+                   USING (doc_id, piece, nth) GROUP BY doc_id),
+      c_next AS (SELECT doc_id, count(*) AS n FROM own JOIN next_marks
+                 USING (doc_id, piece, nth) GROUP BY doc_id)
+      SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, e.fingerprint,
+             {_root_sql('e.edited')} AS edited_fingerprint,
+             {_near_sql('edited', _root_sql('e.edited'))} AS near_edited,
+             {_near_sql('next', _root_sql('e.next_text'))} AS near_next
+      FROM edits e LEFT JOIN n_own USING (doc_id) LEFT JOIN n_edited USING (doc_id)
+      LEFT JOIN n_next USING (doc_id) LEFT JOIN c_edited USING (doc_id)
+      LEFT JOIN c_next USING (doc_id)""",
     "op4_url_filters": f"""
       WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULES_SQL}),
       cut AS (
