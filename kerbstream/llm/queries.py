@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import (
-    bpe, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter)
+    bpe, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
 from kerbstream.llm.common import ship_package, table
 
 URL_RULES = [
@@ -27,6 +27,11 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints_of_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.through_archives(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -77,7 +82,7 @@ def _registered(query):
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op1_document_fingerprints, op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
+    op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
@@ -131,6 +136,16 @@ ORACLE_SQL = {
       FROM edits e LEFT JOIN n_own USING (doc_id) LEFT JOIN n_edited USING (doc_id)
       LEFT JOIN n_next USING (doc_id) LEFT JOIN c_edited USING (doc_id)
       LEFT JOIN c_next USING (doc_id)""",
+    "op2_warc_normaliser": """
+      WITH sized AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+               sha256(coalesce(html, '')) AS digest FROM pages),
+      firsts AS (SELECT digest, min(page_id) AS first FROM sized WHERE n >= 100 GROUP BY digest)
+      SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+             CASE WHEN f.first IS NOT NULL AND (page_id IS NULL OR page_id > f.first)
+                  THEN 'revisit' ELSE 'response' END AS record_type,
+             CASE WHEN page_id IS NULL OR page_id > f.first THEN f.first END AS refers_to
+      FROM sized LEFT JOIN firsts f USING (digest)""",
     "op4_url_filters": f"""
       WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULES_SQL}),
       cut AS (
