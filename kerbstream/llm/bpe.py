@@ -35,6 +35,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbstream.llm.common import file_bytes, map_texts
 
@@ -232,7 +233,8 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str,
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    return chosen.mapInArrow(run, chosen.schema.add("decoded", "binary"))
+    decoded = T.StructField("decoded", T.BinaryType())
+    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, decoded]))
 
 
 def encoding_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
