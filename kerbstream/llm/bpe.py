@@ -37,15 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstream.llm.common import file_bytes, map_texts
+from kerbstream.llm.common import file_bytes, map_texts, sliced
 
 LEAF_CHARS = 2048
 LEAF_PIECE = 256  # characters of a piece that are encoded at once
 LEAF_IDS = 4096
+SLICE_IDS = 1 << 21  # ids decoded at once, but for a longer document
 # The longest thing the pattern looks for beside runs is a three-character ending ("'re").
 LOOK = 3
 # Encoded pieces remembered by each Python worker, some 100 bytes each.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 CACHED_CHARS = 40  # longer pieces are rarely met again
 
 
@@ -226,7 +227,7 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str,
 
     def run(batches):
         codec = _codec(data.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, SLICE_IDS)):
             lists = batch.column(batch.num_columns - 1).fill_null([])
             values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
             decoded = [codec.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]

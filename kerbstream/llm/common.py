@@ -7,7 +7,9 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ from pyspark.sql import types as T
 # Broadcast models must stay below this many bytes; they are files or rules of fixed size.
 MODEL_BYTES = 64 << 20
 
+# Texts are handed to Python functions in parts of about this many bytes.
+SLICE_BYTES = 8 << 20
+
 _SHIPPED: dict[str, tuple[str, ...]] = {}
 
 
@@ -45,7 +50,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = [load()] if load else []
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             made = function(*first, batch.column(batch.num_columns - 1).to_pylist())
             arrays = [a if isinstance(a, pa.Array) else pa.array(a) for a in made]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + arrays, names=result.names)
@@ -53,6 +58,23 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str,
     return chosen.mapInArrow(run, result)
 
 
+def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in parts whose last column has about ``limit`` bytes, so that what
+    Python makes of them stays small. A row is never cut."""
+    if not batch.num_rows:
+        yield batch
+        return
+    last = batch.column(batch.num_columns - 1)
+    size = pc.list_value_length(last) if pa.types.is_list(last.type) else pc.binary_length(last)
+    ends = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, as ``--py-files`` would, also where the driver
     only has it on its own path. Once per application; Spark hands the archive out."""
