@@ -45,9 +45,9 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 
-SAMPLE = 65_536  # fingerprints that shape the tree of shards
+SAMPLE = 1 << 18  # fingerprints that shape the tree of shards
 SAMPLE_PER_SHARD = 64
-SHARD_ROWS = 16_384  # home fingerprints of a shard, as far as the sample allows
+SHARD_ROWS = 4096  # home fingerprints of a shard, as far as the sample allows
 LEAF_ROWS = 256  # compared each with each
 BLOCK = 1 << 16  # shingles whose bits are counted at once
 PAIR_BLOCK = 1 << 20  # links held before they are reduced to a forest
