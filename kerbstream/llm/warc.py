@@ -126,7 +126,8 @@ class Inflated:
 
     def __init__(self, read: Callable[[int], bytes]):
         self.read_raw, self.engine = read, zlib.decompressobj(GZIP)
-        self.held, self.at, self.pending, self.ended = b"", 0, b"", False
+        self.held, self.at, self.pending = b"", 0, b""
+        self.begun = self.ended = False
 
     def _more(self) -> bool:
         """Append inflated bytes to what is held; False at the end."""
@@ -139,6 +140,10 @@ class Inflated:
                 self.engine = zlib.decompressobj(GZIP)
             raw = self.engine.unconsumed_tail or self.pending or self.read_raw(CHUNK)
             self.pending = b""
+            if not raw and not self.begun:
+                self.ended = True  # an empty file
+                return False
+            self.begun = True
             out = self.engine.decompress(raw, CHUNK)
             if not raw and not out and not self.engine.eof:
                 raise EOFError("a gzip stream breaks off")
@@ -228,7 +233,8 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         if out is not None:
             out.write(engine.flush())
             out.close()
-        yield pd.DataFrame({"archive": names})
+        if names:
+            yield pd.DataFrame({"archive": names})
 
     # Ids as text: a column with nulls would reach Python as floating-point numbers.
     rows = pages.select(F.col("page_id").cast("string"), "url", "payload", "digest",
@@ -327,8 +333,9 @@ def read_records(index: DataFrame, target: str) -> DataFrame:
                     for offset, length in zip(group["offset"], group["length"]):
                         rows.append(_page_row(
                             *read_member(archive.read_at(int(length), int(offset))), name, offset))
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in RECORD_SCHEMA.split(", ")],
-                               dtype=object)
+            if rows:
+                yield pd.DataFrame(rows, columns=[f.split()[0] for f in RECORD_SCHEMA.split(", ")],
+                                   dtype=object)
 
     chosen = index.filter(F.col("type").isin("response", "revisit")).select(
         "archive", "offset", "length")
