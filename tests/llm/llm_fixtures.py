@@ -1,3 +1,5 @@
+"""Fixtures of these tests. Not a conftest.py: the folder above has the one of that name."""
+
 import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"

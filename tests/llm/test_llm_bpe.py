@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kerbstream.llm import bpe
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN

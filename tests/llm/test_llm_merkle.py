@@ -1,0 +1,107 @@
+"""Trees against hashlib, likeness against counting, edits against slicing."""
+
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from kerbstream.llm import merkle as mk
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def slow_root(text):
+    return sha("d" + "".join(sha("s" + "".join(sha("p" + p) for p in s.split("\n")))
+                             for s in text.split("\n\n")))
+
+
+def slow_likeness(a, b):
+    if slow_root(a) == slow_root(b):
+        return 1.0
+    x, y = (Counter(p.strip(" ") for p in re.findall(mk.PIECES, t)) for t in (a, b))
+    total = x.total() + y.total()
+    return min(2 * (x & y).total() / max(total, 1), 1 - 1 / (total + 1))
+
+
+def slow_edits(rows):
+    """One row per row; unique ids only."""
+    texts = {d: t or "" for d, t in rows}
+    order = sorted(texts)
+    out = []
+    for i, d in enumerate(order):
+        own, after = texts[d], texts[order[(i + 1) % len(order)]]
+        half = len(own) // 2
+        edited = own[:len(own) - half] + after[:half]
+        out.append((d, len(own), sha(edited), slow_root(own), slow_root(edited),
+                    slow_likeness(own, edited), slow_likeness(own, after)))
+    return out
+
+
+TEXTS = ["One. Two. Two. Three!\n\nFour?\nFive.", "One. Two. Two. Three!\n\nFour?\nSix.",
+         "Two. One.", "One. Two.", "a\n\n\nb", "\n\na", "", None, "é" * 500 + ". " + "中" * 77,
+         "line\n" * 300, "line\n" * 299, "x" * 40_000, "One. Two. Two. Three!\n\nFour?\nFive."]
+
+
+def test_edits(make_docs, odd_texts):
+    rows = list(enumerate([*TEXTS, *odd_texts]))
+    rows = [(7 * i - 20, t) for i, t in rows]
+    got = mk.fingerprints_of_edits(make_docs(rows, clashes=True))
+    assert sorted(map(tuple, got.collect())) == [
+        *sorted(slow_edits(rows))]
+
+
+def test_one_document_follows_itself(make_docs):
+    text = "One. Two. Three. Four."
+    got = mk.fingerprints_of_edits(make_docs([(4, text)])).collect()
+    assert [tuple(r) for r in got] == slow_edits([(4, text)])
+
+
+def test_repeated_ids_and_missing_ones(make_docs):
+    rows = [(1, "bb cc"), (2, "zz"), (2, "aa dd"), (2, "aa dd"), (None, "none here"), (None, "x")]
+    got = sorted(map(tuple, mk.fingerprints_of_edits(make_docs(rows)).collect()), key=repr)
+    assert len(got) == len(rows)
+    by_text = {r[3]: r for r in got}
+    first = by_text[slow_root("bb cc")]
+    assert first[2] == sha("bb " + "aa")  # the smallest text of id 2
+    assert by_text[slow_root("zz")][2] == sha("z" + "b")  # after the last comes the first
+    alone = by_text[slow_root("none here")]
+    assert alone[2] == sha("none h"[:5]) and alone[6] == 0.0
+
+
+def test_empty_table(make_docs):
+    assert mk.fingerprints_of_edits(make_docs([])).collect() == []
+
+
+def test_tree_and_root_agree(spark):
+    df = spark.createDataFrame([(t or "",) for t in TEXTS], "t string")
+    for r in df.select("t", mk.root(F.col("t")).alias("a"),
+                       mk.root_of(mk.tree(F.col("t"))).alias("b")).collect():
+        assert r.a == r.b == slow_root(r.t)
+
+
+def test_differing_places(spark):
+    pairs = [("a\nb\n\nc\nd", "a\nb\n\nc\nX", [(1, 1)]), ("a\n\nb", "a\n\nb", []),
+             ("a", "a\n\nb\nc", [(1, 0), (1, 1)]), ("a\nb", "b\nb\nc", [(0, 0), (0, 2)])]
+    df = spark.createDataFrame([p[:2] for p in pairs], "a string, b string")
+    df = df.select(mk.tree(F.col("a")).alias("a"), mk.tree(F.col("b")).alias("b"))
+    got = df.select(mk.differing(F.col("a"), F.col("b")).alias("d")).collect()
+    assert [[tuple(p) for p in r.d] for r in got] == [p[2] for p in pairs]
+
+
+def test_same_sentences_in_another_order_are_not_equal(spark):
+    df = spark.createDataFrame([("One. Two.", "Two. One.")], "a string, b string")
+    df = mk.with_marks(mk.with_marks(df, "a", "ma"), "b", "mb")
+    near = df.select(mk.likeness(mk.root(F.col("a")), F.col("ma"),
+                                 mk.root(F.col("b")), F.col("mb"))).first()[0]
+    assert 0.7 < near < 1
+
+
+def test_nothing_but_sql_functions(make_docs):
+    df = mk.fingerprints_of_edits(make_docs(list(enumerate(TEXTS))))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,121 @@
+"""Targets against a slow water level, and what the mix takes against its targets."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from kerbstream.llm import mixing as mx
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
+
+
+def slow_targets(sizes):
+    """{source: target} from {source: size}, sources in order of code points, null last."""
+    order = sorted([s for s in sizes if s is not None], key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, target, capped = 1.5 * sum(sizes.values()), {}, set()
+    while True:
+        left = total - sum(2 * sizes[s] for s in capped)
+        free = sum(w for s, w in weight.items() if s not in capped)
+        target = {s: 2 * sizes[s] if s in capped else left * weight[s] / free for s in order}
+        over = {s for s in order if s not in capped and target[s] > 2 * sizes[s]}
+        if not over:
+            return target
+        capped |= over
+
+
+def some_rows(n=600, seed=4):
+    chance = random.Random(seed)
+    sources = ["Z", "a", "é", "b", None, "big", "big", "big", "tiny0", "c"]
+    return [(i, "w " * chance.choice([1, 5, 40, 100, 300, 900]), "en",
+             chance.choice(sources) if i else "single") for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return some_rows()
+
+
+def test_targets_and_totals(make_docs, rows):
+    got = mx.mixed(make_docs(rows, clashes=True)).collect()
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in got:
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
+    assert Counter((r.doc_id, r.size) for r in got) == Counter(
+        (d, len(t.split())) for d, t, *_ in rows)
+    want = slow_targets(sizes)
+    for source in sizes:
+        assert target[source] == pytest.approx(want[source], rel=1e-12)
+        assert all(r.source_size == sizes[source] for r in got if r.source == source)
+        largest = max(r.size for r in got if r.source == source)
+        assert abs(taken[source] - target[source]) <= max(0.02 * target[source], largest)
+    # Balanced means tilted by size: one rate for each size, monotone.
+    for source in sizes:
+        rate = dict(sorted({r.size: r.rate for r in got if r.source == source}.items()))
+        values = list(rate.values())
+        assert values in (sorted(values), sorted(values, reverse=True))
+
+
+def test_rates_meet_the_targets(make_docs, rows):
+    got = mx.mixed(make_docs(rows)).collect()
+    reached, target = defaultdict(float), {}
+    for r in got:
+        reached[r.source] += r.size * r.rate
+        target[r.source] = r.target
+    for source in target:
+        assert reached[source] == pytest.approx(target[source], rel=2e-4)
+
+
+def test_reruns_agree(make_docs, rows):
+    a, b = (sorted(map(tuple, mx.mixed(make_docs(r)).collect()), key=repr)
+            for r in (rows, rows[::-1]))
+    assert a == b
+
+
+def test_rounding_in_slots(spark):
+    chance = random.Random(6)
+    data = [(i, "s", 5000, chance.randint(0, 50), 0.3 + chance.random() * 1.7) for i in range(5000)]
+    rates = spark.createDataFrame(
+        data, "doc_id long, source string, documents long, size long, rate double")
+    for slot_rows in (100_000, 300):
+        got = mx.rounded(rates, slot_rows).collect()
+        assert all(int(r.rate) <= r.copies <= int(r.rate) + 1 for r in got)
+        want = sum(r.size * r.rate for r in got)
+        assert abs(sum(r.size * r.copies for r in got) - want) < 0.005 * want
+        assert len(got) == len(data)
+
+
+def test_odd_rows(make_docs, odd_texts):
+    rows = [*[(i, t, None, "odd") for i, t in enumerate(odd_texts)], (None, "a b", None, None),
+            (3, "same row", None, "x"), (3, "same row", None, "x"), (9, None, None, "empty"),
+            (10, "", None, "empty")]
+    got = mx.mixed(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.size, r.target, r.taken) for r in got if r.source == "empty"} == {
+        (9, 0, 0.0, 0), (10, 0, 0.0, 0)}
+
+
+def test_repeated_rows_are_what_the_mix_takes(make_docs, rows):
+    rows = [*rows, (7, "same row", None, "x"), (7, "same row", None, "x"), (None, "no id", None, "y")]
+    docs = make_docs(rows, clashes=True)
+    out = mx.repeated(docs)
+    assert out.columns == docs.columns
+    words, times = defaultdict(int), Counter()
+    for r in out.collect():
+        words[r.source] += len(r.text.split())
+        times[r.doc_id, r.text, r.source] += 1
+    known = Counter((d, t, s) for d, t, _, s in rows)
+    assert all(n <= 2 * known[k] for k, n in times.items())
+    sizes = defaultdict(int)
+    for _, t, _, s in rows:
+        sizes[s] += len(t.split())
+    for source, target in slow_targets(sizes).items():
+        assert abs(words[source] - target) <= max(0.02 * target, 900 if len(sizes) > 9 else 0)
+
+
+def test_empty_table(make_docs):
+    assert mx.mixed(make_docs([])).collect() == []
+    assert mx.repeated(make_docs([])).collect() == []

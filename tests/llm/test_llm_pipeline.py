@@ -1,0 +1,96 @@
+"""The pipeline's stages, each against a plain version of its decision on the same input."""
+
+import os
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as entry_point
+import corpus_pipeline
+from test_llm_mixing import slow_targets
+from test_llm_simhash import slow_groups
+from kerbstream.llm import bpe, queries
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
+
+
+TESTDATA = os.environ.get("KERBSTREAM_TESTDATA", "/root/testdata")
+
+
+@pytest.fixture(scope="module")
+def staged(spark):
+    """Rows after each stage at the smallest size."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    out = {"documents": docs.collect()}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialise(
+            stage(spark, docs, f"{TESTDATA}/sf0.001"), f"test-{name}")
+        if name != "encode":
+            assert docs.columns == columns
+        out[name] = docs.collect()
+    return out
+
+
+def test_filters_only_drop_rows(staged):
+    names = ["documents", "language", "quality", "near_duplicates"]
+    for before, after in zip(names, names[1:]):
+        assert not Counter(staged[after]) - Counter(staged[before])
+    assert len(staged["near_duplicates"]) < len(staged["documents"])
+
+
+def test_quality_rules_took_effect(staged):
+    for r in staged["quality"]:
+        assert len(r.text.encode().split()) >= 50
+
+
+def test_near_duplicates_took_effect(staged):
+    rows = [(r.doc_id, r.text) for r in staged["quality"]]
+    want = sorted(d for d, _, c in slow_groups(rows) if d == c)
+    assert sorted(r.doc_id for r in staged["near_duplicates"]) == want
+
+
+def test_mix_took_effect(staged):
+    sizes, taken = Counter(), Counter()
+    for r in staged["near_duplicates"]:
+        sizes[r.source] += len(r.text.encode().split())
+    for r in staged["mix"]:
+        taken[r.source] += len(r.text.encode().split())
+    targets = slow_targets(sizes)
+    for source, target in targets.items():
+        largest = max(len(r.text.split()) for r in staged["near_duplicates"] if r.source == source)
+        assert abs(taken[source] - target) <= max(0.02 * target, largest)
+
+
+def test_encoding(staged):
+    with open(public_tokenizers.path(queries.CODEC_RANKS), "rb") as f:
+        library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN,
+                                    mergeable_ranks=bpe.read_ranks(f.read()), special_tokens={})
+    want = Counter((r.doc_id, len(library.encode_ordinary(r.text))) for r in staged["mix"])
+    assert Counter((r.doc_id, r.n_tokens) for r in staged["encode"]) == want
+
+
+def test_run_gives_the_last_stage(spark, staged):
+    got = corpus_pipeline.run(spark, f"{TESTDATA}/sf0.001").collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, staged["encode"]))
+
+
+def test_every_stage_takes_odd_and_empty_tables(spark, make_docs, odd_texts):
+    chance = random.Random(1)
+    rows = [*enumerate(odd_texts), (None, "some words " * 40, "en", "s"), (3, None, None, None),
+            *[(50 + i, " ".join(str(chance.random()) for _ in range(80)), "en", "s")
+              for i in range(20)]]
+    for docs in (make_docs(rows, clashes=True), make_docs([]), make_docs([], clashes=True)):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = corpus_pipeline.materialise(stage(spark, docs, ""), f"odd-{name}")
+            docs.count()
+
+
+def test_registered():
+    names = entry_point.queries()
+    assert [n for n in names if n.startswith("op")] and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language", "quality", "near_duplicates", "mix", "encode"]

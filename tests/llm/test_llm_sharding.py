@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from kerbstream.llm import sharding as sh
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
 
 
 def loads(n=4096, seed=1, largest=10_000):

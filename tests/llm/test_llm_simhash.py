@@ -1,0 +1,191 @@
+"""Fingerprints, trees and groups against comparing everything with everything."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from kerbstream.llm import simhash as sh
+from kerbstream.llm.components import components
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
+
+
+def slow_fingerprint(text, width=3):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    shingles = [" ".join(words[i:i + width]) for i in range(len(words) - width + 1)]
+    if words and not shingles:
+        shingles = [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_groups(rows, width=3, bits=3):
+    """{(doc_id, text): smallest id reachable}."""
+    prints = [slow_fingerprint(t, width) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= bits:
+                parent[find(i)] = find(j)
+    ids = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            ids[find(i)].append(doc_id)
+    return [(doc_id, f"{prints[i]:016x}", min(ids[find(i)], default=None))
+            for i, (doc_id, _) in enumerate(rows)]
+
+
+def some_rows():
+    chance = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    base = [[chance.choice(words) for _ in range(chance.randint(40, 120))] for _ in range(30)]
+    rows = []
+    for i in range(150):
+        text = list(chance.choice(base))
+        for _ in range(chance.choice([0, 0, 1, 2, 30])):
+            text[chance.randrange(len(text))] = chance.choice(words)
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("width", [1, 3, 5])
+def test_fingerprints(odd_texts, width):
+    for text in [*odd_texts, *[t for _, t in some_rows()[:30]], "ÀB \x1c c\x85d É"]:
+        data = None if text is None else text.encode()
+        assert sh.fingerprint(data, width) % (1 << 64) == slow_fingerprint(text, width)
+
+
+def test_many_shingles_are_counted_in_blocks(monkeypatch):
+    text = " ".join(f"{i % 97}" for i in range(500))
+    whole = sh.fingerprint(text.encode())
+    monkeypatch.setattr(sh, "BLOCK", 7)
+    assert sh.fingerprint(text.encode()) == whole
+
+
+def clustered(n, seed, spread=6):
+    """Random points and others a few bits away from them."""
+    chance = np.random.default_rng(seed)
+    centres = chance.integers(0, 1 << 63, n // 6, np.uint64)
+    points = chance.choice(centres, n)
+    for _ in range(spread):
+        flip = chance.random(n) < 0.4
+        points = np.where(flip, points ^ (np.uint64(1) << chance.integers(0, 64, n, np.uint64)), points)
+    return np.unique(points)
+
+
+def slow_links(a, b, bits):
+    return {(int(x), int(y)) for x in a for y in b
+            if x != y and int(x ^ y).bit_count() <= bits}
+
+
+def slow_labels(points, links):
+    label = {int(p): int(p) for p in points}
+    changed = True
+    while changed:
+        changed = False
+        for x, y in links:
+            low = min(label[x], label[y])
+            changed |= label[x] != low or label[y] != low
+            label[x] = label[y] = low
+    return label
+
+
+def forest_labels(points, a, b):
+    return slow_labels(points, [(int(x), int(y)) for x, y in zip(a, b)])
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 8])
+def test_links_in_a_shard(monkeypatch, bits):
+    monkeypatch.setattr(sh, "LEAF_ROWS", 8)
+    monkeypatch.setattr(sh, "PAIR_BLOCK", 50)
+    points = clustered(700, seed=bits)
+    home, visitors = points[::3], np.setdiff1d(points, points[::3])
+    a, b = sh.linked(home, visitors, bits)
+    links = slow_links(home, home, bits) | slow_links(home, visitors, bits)
+    assert forest_labels(points, a, b) == slow_labels(points, links)
+    assert len(a) < len(points)
+
+
+def test_one_tight_ball_is_one_tree():
+    points = np.array([0, *[1 << i for i in range(64)],
+                       *[(1 << i) | 1 for i in range(1, 64)]], np.uint64)
+    a, b = sh.linked(points, np.empty(0, np.uint64), 3)
+    assert len(a) == len(points) - 1 and len(set(b.tolist())) == 1
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 30])
+def test_each_link_meets_in_one_shard(shards):
+    points = clustered(900, seed=shards)
+    tree = sh.shard_tree(points[::2], shards)
+    home, guest = defaultdict(set), defaultdict(set)
+    for shard, group, at_home in sh.route(tree, points):
+        (home if at_home else guest)[shard] |= set(group.tolist())
+    assert sorted(p for s in home.values() for p in s) == sorted(points.tolist())
+    assert set(home) <= set(range(shards))
+    where = {p: s for s, group in home.items() for p in group}
+    for x, y in slow_links(points, points, 3):
+        assert where[x] == where[y] or x in guest[where[y]] or y in guest[where[x]]
+
+
+def test_same_result_for_any_shards(spark, make_docs):
+    rows = some_rows()
+    prints = sh.fingerprints(make_docs(rows)).cache()
+    want = None
+    for shard_rows in (10_000, 20):
+        got = sorted(map(tuple, sh.near_groups(prints, shard_rows=shard_rows).select(
+            "fingerprint", "component_id").collect()))
+        want = want or got
+        assert got == want
+    prints.unpersist()
+
+
+def test_operator(make_docs, odd_texts):
+    rows = [*some_rows(), *[(1000 + i, t) for i, t in enumerate(odd_texts)],
+            *[(2000 + i, "one text many copies of it here") for i in range(60)],
+            (3, "repeated row"), (3, "repeated row"), (None, "no id at all here"), (None, None)]
+    got = sh.near_duplicates(make_docs(rows, clashes=True))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(slow_groups(rows), key=repr)
+
+
+def test_one_of_each(make_docs):
+    rows = [*some_rows(), (-5, None), (-4, ""), (7000, "repeated row"), (7000, "repeated row"),
+            (None, "no id at all here"), (None, "no id at all here"), (None, "")]
+    docs = make_docs(rows, clashes=True)
+    kept = sh.one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = sorted({d for d, _, c in slow_groups(rows) if d == c and d is not None})
+    got = kept.collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == want
+    assert [r.text for r in got if r.doc_id is None] == ["no id at all here"]
+    assert {r.doc_id: r.text for r in got}[-5] is None
+
+
+def test_empty_table(make_docs):
+    assert sh.near_duplicates(make_docs([])).collect() == []
+    assert sh.one_of_each(make_docs([])).collect() == []
+
+
+def test_components(spark):
+    chance = random.Random(2)
+    edges = [(chance.randrange(400), chance.randrange(400)) for _ in range(180)]
+    edges += [(i, i + 1) for i in range(1000, 1060)] + [(5000, 5000)]  # a chain, and a loop
+    edges += [(9000, 9001 + i) for i in range(200)]  # a star
+    df = spark.createDataFrame(edges, "a long, b long")
+    nodes = {n for e in edges for n in e if e[0] != e[1]}
+    want = slow_labels(nodes, [e for e in edges if e[0] != e[1]])
+    assert {r.node: r.component for r in components(df).collect()} == want
+
+
+def test_no_edges(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

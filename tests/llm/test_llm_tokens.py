@@ -7,6 +7,7 @@ import pytest
 import sentencepiece
 
 from kerbstream.llm import token_counts as tc
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 

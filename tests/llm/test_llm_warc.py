@@ -1,0 +1,119 @@
+"""Archives written, normalised and read back; single files as bytes."""
+
+import gzip
+import hashlib
+import io
+import zlib
+from collections import Counter
+
+import pytest
+
+from kerbstream.llm import warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def slow(rows):
+    first = {}
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 100 and page_id is not None:
+            first[data] = min(first.get(data, page_id), page_id)
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        refers = first.get(data)
+        refers = refers if refers is not None and (page_id is None or page_id > refers) else None
+        out.append((page_id, len(data), hashlib.sha256(data).hexdigest(),
+                    "response" if refers is None else "revisit", refers))
+    return sorted(out, key=repr)
+
+
+ROWS = [
+    *[(i, f"http://h.net/{i}", f"<p>page {i} é 中</p>" * (i % 40)) for i in range(1, 90)],
+    *[(1000 + i, "http://copy.net/", "<b>copied</b>" * 50) for i in range(40)],
+    (2000, None, "short"), (2001, None, "short"), (2002, "http://x.y/a b\r\nEvil: 1", None),
+    (2003, "", ""), (None, "http://none/", "<b>copied</b>" * 50), (None, None, "unique " * 30),
+    (2004, "http://big/", "0123456789" * 60_000), (2005, "http://in/", "WARC/1.1\r\n\r\n" * 20),
+    (1000, "http://copy.net/", "<b>copied</b>" * 50), (2006, "é/中", "\r\n\r\n" * 30),
+]
+
+
+def test_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, PAGES).repartition(4)
+    got = warc.through_archives(pages, folder=str(tmp_path)).collect()
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[c] for c in columns) for r in got), key=repr) == slow(ROWS)
+    assert len({(r.archive, r.offset) for r in got}) == len(ROWS)
+    targets = {r.page_id: r.target for r in got}
+    assert targets[1] == "http://h.net/1" and targets[2000] is None
+    assert "\n" not in targets[2002] and targets[2006] == "%C3%A9/%E4%B8%AD"
+
+
+def test_files_are_standard(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, PAGES).repartition(2)
+    rows = warc.through_archives(pages, folder=str(tmp_path)).collect()
+    raw = [gzip.decompress(p.read_bytes()) for p in (tmp_path / "raw").iterdir()
+           if p.name.endswith(".warc.gz")]
+    whole = [gzip.decompress(p.read_bytes()) for p in (tmp_path / "normalised").iterdir()
+             if p.name.endswith(".warc.gz")]
+    assert sorted(raw) == sorted(whole)  # the same records, byte for byte
+    by_id = {r.page_id: r for r in rows}
+    data = (tmp_path / "normalised" / by_id[5].archive).read_bytes()
+    engine = zlib.decompressobj(warc.GZIP)
+    record = engine.decompress(data[by_id[5].offset:])
+    assert engine.eof and record.startswith(b"WARC/1.1\r\n") and b"page 5 " in record
+
+
+def archive(records, members=1):
+    """Records as one gzip stream, or spread over several members cut anywhere."""
+    data = b"".join(h + b"".join(b) + b"\r\n\r\n" for h, b in records)
+    cuts = [len(data) * i // members for i in range(members + 1)]
+    return b"".join(gzip.compress(data[a:b]) for a, b in zip(cuts, cuts[1:])), data
+
+
+@pytest.mark.parametrize("members", [1, 3, 50])
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 18])
+def test_normalising_bytes(monkeypatch, members, chunk):
+    monkeypatch.setattr(warc, "CHUNK", chunk)
+    records = [warc.page_record(i, "http://a/", b"payload %d " % i * i, "0" * 64, None)
+               for i in range(30)]
+    packed, data = archive(records, members)
+    out = io.BytesIO()
+    index = list(warc.normalise_file(io.BytesIO(packed).read, out.write))
+    assert len(index) == 30 and gzip.decompress(out.getvalue()) == data
+    assert [e["offset"] for e in index] == [0, *(e["offset"] + e["length"] for e in index)][:-1]
+    for i, e in enumerate(index):
+        fields, block = warc.read_member(out.getvalue()[e["offset"]:e["offset"] + e["length"]])
+        assert fields["x-page-id"] == str(i) and block.endswith(b"payload %d " % i * i)
+
+
+def test_broken_archives_are_errors():
+    packed, _ = archive([warc.page_record(1, None, b"x" * 5000, "0" * 64, None)])
+    for bad in (packed[:-200], gzip.compress(b"HTTP/1.1 200\r\n\r\n"),
+                gzip.compress(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab")):
+        with pytest.raises((EOFError, ValueError, zlib.error)):
+            list(warc.normalise_file(io.BytesIO(bad).read, io.BytesIO().write))
+
+
+def test_empty_file():
+    assert list(warc.normalise_file(io.BytesIO(b"").read, io.BytesIO().write)) == []
+
+
+def test_folded_header_lines():
+    fields = warc.parse_header(b"WARC/1.0\r\nA: b\r\n  c\r\nD:e\r\n\r\n")
+    assert fields == {"a": "b c", "d": "e"}
+
+
+def test_small_archives_rotate(spark, tmp_path):
+    pages = warc.with_record_types(spark.createDataFrame(
+        [(i, "u", bytearray(b"z%d" % i * 500)) for i in range(20)],
+        "page_id long, url string, payload binary").coalesce(1))
+    names = warc.write_archives(pages, str(tmp_path), archive_bytes=4000).collect()
+    assert len(names) >= 5 and max(Counter(names).values()) == 1
+
+
+def test_empty_table_and_other_columns(spark):
+    assert warc.through_archives(spark.createDataFrame([], PAGES)).collect() == []
+    pages = spark.createDataFrame([(1, "u", "h", 3, "d")], PAGES + ", offset int, digest string")
+    assert warc.through_archives(pages).first().payload_bytes == 1
