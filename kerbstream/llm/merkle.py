@@ -129,26 +129,29 @@ def fingerprints_of_edits(docs: DataFrame, text: str = "text") -> DataFrame:
     each document against its edited text, whose last floor(n_chars / 2) characters are the first
     as many of the next document, and against that next document.
 
-    Whole texts are shuffled once, to learn which document they follow; then only the part of
-    each that the edit takes goes on, with its root and marks.
+    Whole texts are shuffled by id once, for both roles of a document: as the next one of
+    another, of which only the part that the edit takes goes on, with its root and marks, and as
+    the one that is edited. Sizes are derived after that shuffle, so that both roles read the
+    same columns and Spark uses it twice.
     """
-    texts = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-        "n_chars", F.length("text").cast("long")).withColumn(
-        "half", F.floor(F.col("n_chars") / 2).cast("int"))
+    texts = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     known = texts.filter(F.col("doc_id").isNotNull())
-    placed = known.join(_neighbours(known.select("doc_id", "half")),
-                        F.col("doc_id") == F.col("next_id"))
+    placed = known.join(_neighbours(_sized(known)), F.col("doc_id") == F.col("next_id"))
     smallest = Window.partitionBy("doc_id").orderBy("text")
     lent = placed.withColumn("_row", F.row_number().over(smallest)).filter("_row = 1")
     lent = with_marks(lent, "text", "next_marks").select(
         "before_id", F.substring("text", F.lit(1), F.col("wanted")).alias("lent"),
         root(F.col("text")).alias("next_root"), "next_marks")
-    followed = placed.drop("next_id", "before_id", "wanted").join(
-        lent, F.col("doc_id") == F.col("before_id"), "left").drop("before_id")
+    followed = known.join(lent, F.col("doc_id") == F.col("before_id"), "left").drop("before_id")
     alone = texts.filter(F.col("doc_id").isNull()).select(
         "*", F.lit("").alias("lent"), root(F.lit("")).alias("next_root"),
         F.array().cast("array<bigint>").alias("next_marks"))
-    return _compared(followed.unionByName(alone))
+    return _compared(_sized(followed.unionByName(alone)))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    return df.withColumn("n_chars", F.length("text").cast("long")).withColumn(
+        "half", F.floor(F.col("n_chars") / 2).cast("int"))
 
 
 def _compared(df: DataFrame) -> DataFrame:
