@@ -21,17 +21,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from kerbstream.config import DATE_LAYOUT, SENSOR_LAYOUT, JobConfig  # noqa: E402
 from kerbstream.functions import traffic_factor  # noqa: E402
 from kerbstream.operators import (  # noqa: E402
-    congestion_trend, critical_alerts, daily_peaks, decode_alerts, expected_vs_observed,
-    hourly_rollup, intervention_report, latest_status, parse_profiles, parse_readings,
-    rank_hours, report_kpis, split_valid, status_board, tag_rejects, volume_threshold,
-    window_aggregates, with_traffic_date)
+    congestion_trend, critical_alerts, daily_peaks, daily_summary, decode_alerts,
+    expected_vs_observed, hourly_rollup, intervention_report, latest_status, parse_profiles,
+    parse_readings, rank_hours, report_kpis, split_valid, status_board, tag_rejects,
+    volume_threshold, window_aggregates, windows_for_date, with_traffic_date)
 from kerbstream.plans import compact_date, run_daily_report, status_page  # noqa: E402
 from kerbstream.plans.event_view import (  # noqa: E402
     EVENTS, PROFILES, damaged_envelope_view, envelope_view, profile_documents, readings_view,
     sensor_name)
+from kerbstream.schemas import REJECT  # noqa: E402
 from kerbstream.session import shared_dir  # noqa: E402
 from kerbstream.sinks import write_aggregates, write_report  # noqa: E402
-from kerbstream.sources import aggregates_for_date, read_aggregates, read_report  # noqa: E402
+from kerbstream.sources import (  # noqa: E402
+    aggregates_for_date, read_aggregates, read_history, read_profiles, read_report)
 from kerbstream.streaming import (  # noqa: E402
     start_aggregates, start_alerts, start_rejects, start_streams, wait_all)
 
@@ -168,13 +170,40 @@ def _stream_readings(spark, sf_dir) -> DataFrame:
     return parse_readings(envelope_view(_event_stream(spark, sf_dir)))
 
 
-def q_stream_window_aggregates(spark, sf_dir):
-    config = _file_config(spark, layout=DATE_LAYOUT)
-    wait_all([start_aggregates(_stream_readings(spark, sf_dir), config, available_now=True)])
+def _streamed(spark, readings, config) -> DataFrame:
+    wait_all([start_aggregates(readings, config, available_now=True)])
     stored = read_aggregates(spark, config.aggregates_path).drop("traffic_date")
     return _comparable(stored, "window_avg_speed")
 
 
+def q_stream_window_aggregates(spark, sf_dir):
+    return _streamed(spark, _stream_readings(spark, sf_dir), _file_config(spark))
+
+
+def q_stream_window_aggregates_by_sensor(spark, sf_dir):
+    config = _file_config(spark, layout=SENSOR_LAYOUT)
+    return _streamed(spark, _stream_readings(spark, sf_dir), config)
+
+
+def q_stream_without_times(spark, sf_dir):
+    """Readings whose time cannot be read fall out of the windows and stop nothing."""
+    messages = damaged_envelope_view(_event_stream(spark, sf_dir), damaged=("error",))
+    return _streamed(spark, parse_readings(messages), _file_config(spark))
+
+
+def q_stream_late_readings(spark, sf_dir):
+    """Three runs over a growing folder: early events, later ones, and then the early ones once
+    more, which come when their windows have long been closed."""
+    config, source = _file_config(spark), shared_dir(spark, "growing")
+    events = _events(spark, sf_dir)
+    early = F.col("ts") < F.lit(REPORT_DATE).cast("timestamp_ntz")
+    for part in (events.filter(early), events.filter(~early), events.filter(early)):
+        part.write.mode("append").parquet(source)
+        messages = envelope_view(spark.readStream.schema(EVENTS).parquet(source))
+        stored = _streamed(spark, parse_readings(messages), config)
+    return stored
+
+
 def q_stream_critical_alerts(spark, sf_dir):
     config = _file_config(spark)
     wait_all([start_alerts(_stream_readings(spark, sf_dir), config, available_now=True)])
@@ -183,11 +212,12 @@ def q_stream_critical_alerts(spark, sf_dir):
 
 def q_stream_rejects(spark, sf_dir):
     root = shared_dir(spark, "rejects")
-    readings = parse_readings(damaged_envelope_view(_event_stream(spark, sf_dir)))
-    wait_all([start_rejects(readings, f"{root}/rejects", f"{root}/checkpoint",
-                            available_now=True)])
-    rejects = spark.read.schema("reject_reason string").json(f"{root}/rejects")
-    return rejects.groupBy("reject_reason").agg(F.count("*").alias("readings"))
+    messages = damaged_envelope_view(_event_stream(spark, sf_dir))
+    wait_all([start_rejects(parse_readings(messages, keep_raw=True), f"{root}/rejects",
+                            f"{root}/checkpoint", available_now=True)])
+    rejects = spark.read.schema(REJECT).json(f"{root}/rejects")
+    return rejects.select("reject_reason", F.col("raw_key").cast("string"),
+                          F.col("raw_value").cast("string"))
 
 
 # ---- stored aggregates ------------------------------------------------------------------
@@ -214,6 +244,30 @@ def q_compacted_for_date(spark, sf_dir):
     return _comparable(read_aggregates(spark, target), "window_avg_speed")
 
 
+def q_compacted_and_later_dates(spark, sf_dir):
+    """The whole history, dates up to the report date from the compacted table."""
+    config = JobConfig(
+        aggregates_path=_stored(spark, sf_dir), compacted_path=shared_dir(spark, "compacted"),
+        compacted_through=REPORT_DATE)
+    earlier = _dated(spark, sf_dir).filter(F.col("traffic_date") < F.lit(REPORT_DATE))
+    write_aggregates(earlier, config.compacted_path)
+    compact_date(spark, config.aggregates_path, config.compacted_path, REPORT_DATE)
+    return _comparable(read_history(spark, config), "window_avg_speed")
+
+
+def q_aggregates_beside_a_broken_file(spark, sf_dir):
+    path = _stored(spark, sf_dir, DATE_LAYOUT)
+    broken = spark.createDataFrame([("this is no Parquet file",)], "value string")
+    broken.write.text(f"{path}/traffic_date=2030-01-01")
+    return _comparable(read_aggregates(spark, path, skip_corrupt=True), "window_avg_speed")
+
+
+def q_aggregates_beside_an_absent_table(spark, sf_dir):
+    absent = read_aggregates(spark, shared_dir(spark, "absent"))
+    stored = read_aggregates(spark, _stored(spark, sf_dir, DATE_LAYOUT))
+    return _comparable(stored.unionByName(absent), "window_avg_speed")
+
+
 # ---- report -----------------------------------------------------------------------------
 
 def q_hourly_rollup(spark, sf_dir):
@@ -252,7 +306,7 @@ def q_pooled_intervention_report(spark, sf_dir):
 
 
 def q_intervention_report_for_date(spark, sf_dir):
-    day = _dated(spark, sf_dir).filter(F.col("traffic_date") == F.lit(REPORT_DATE).cast("date"))
+    day = windows_for_date(_readings(spark, sf_dir), REPORT_DATE)
     return _comparable(intervention_report(daily_peaks(day)), "avg_congestion_index")
 
 
@@ -284,7 +338,7 @@ def q_report_kpis(spark, sf_dir):
 # ---- status -----------------------------------------------------------------------------
 
 def q_latest_status(spark, sf_dir):
-    return _comparable(latest_status(_windows(spark, sf_dir)), "window_avg_speed")
+    return _comparable(latest_status(_dated(spark, sf_dir)), "window_avg_speed")
 
 
 def q_status_board(spark, sf_dir):
@@ -292,6 +346,11 @@ def q_status_board(spark, sf_dir):
     return _comparable(board, "window_avg_speed")
 
 
+def q_status_board_unnumbered(spark, sf_dir):
+    board = status_board(latest_status(_windows(spark, sf_dir)))
+    return _comparable(board, "window_avg_speed")
+
+
 def q_congestion_trend(spark, sf_dir):
     return _comparable(congestion_trend(_windows(spark, sf_dir)), "mean_congestion_index")
 
@@ -302,11 +361,13 @@ def q_congestion_trend_latest(spark, sf_dir):
 
 
 def _page(spark, sf_dir):
+    """The page over summaries up to the report date and the stored windows of later dates."""
     config = JobConfig(
         aggregates_path=_stored(spark, sf_dir, DATE_LAYOUT),
+        summary_path=shared_dir(spark, "summary"), compacted_through=REPORT_DATE,
         report_path=shared_dir(spark, "report"))
-    stored = read_aggregates(spark, config.aggregates_path)
-    write_report(intervention_report(daily_peaks(stored)), config.report_path)
+    done = _dated(spark, sf_dir).filter(F.col("traffic_date") <= F.lit(REPORT_DATE))
+    write_aggregates(daily_summary(done), config.summary_path)
     return status_page(spark, config)
 
 
@@ -314,8 +375,15 @@ def q_status_page_trend(spark, sf_dir):
     return _comparable(_page(spark, sf_dir).trend, "mean_congestion_index")
 
 
+def q_status_page_board(spark, sf_dir):
+    return _comparable(_page(spark, sf_dir).board, "window_avg_speed")
+
+
 def q_status_page_kpis(spark, sf_dir):
-    return _page(spark, sf_dir).kpis
+    config = JobConfig(aggregates_path=shared_dir(spark, "absent"),
+                       report_path=shared_dir(spark, "report"))
+    write_report(_pooled_report(spark, sf_dir), config.report_path)
+    return status_page(spark, config).kpis
 
 
 # ---- profiles ---------------------------------------------------------------------------
@@ -327,8 +395,7 @@ def q_demand_band(spark, sf_dir):
     return _comparable(banded)
 
 
-def q_expected_vs_observed(spark, sf_dir):
-    profiles = parse_profiles(profile_documents(spark))
+def _compared(spark, sf_dir, profiles) -> DataFrame:
     compared = expected_vs_observed(_readings(spark, sf_dir), profiles)
     return _comparable(
         compared.withColumnRenamed("timestamp", "event_time")
@@ -336,6 +403,21 @@ def q_expected_vs_observed(spark, sf_dir):
         "expected_volume", "expected_speed", "volume_z", "speed_z")
 
 
+def q_expected_vs_observed(spark, sf_dir):
+    return _compared(spark, sf_dir, parse_profiles(profile_documents(spark)))
+
+
+def q_expected_vs_profile_files(spark, sf_dir):
+    """Profiles from two files, of which the second corrects the first."""
+    path = shared_dir(spark, "profiles")
+    whole = profile_documents(spark)
+    wrong = whole.select(F.regexp_replace("value", '"base_volume": [0-9]+', '"base_volume": 1')
+                         .alias("value"))
+    wrong.write.text(f"{path}/1")
+    whole.write.text(f"{path}/2")
+    return _compared(spark, sf_dir, read_profiles(spark, f"{path}/*"))
+
+
 # ---- contract ---------------------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -439,6 +521,14 @@ _FACTOR = """CASE WHEN extract(hour FROM event_time) BETWEEN 7 AND 9 THEN 2.2::D
 _REASON = """CASE event_type WHEN 'signup' THEN 'bad_json' WHEN 'error' THEN 'bad_time'
                 WHEN 'view' THEN 'null_sensor' WHEN 'purchase' THEN 'nan_speed' END"""
 
+# The message as JSON text, broken by event type.
+_RAW = """CASE event_type WHEN 'signup' THEN 'not json' ELSE
+    '{"' || CASE event_type WHEN 'view' THEN 'sensor' ELSE 'sensor_id' END || '":"' || sensor_id
+    || '","timestamp":"' || CASE event_type WHEN 'error' THEN 'at ' ELSE '' END
+    || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00","vehicle_count":'
+    || vehicle_count || ',"avg_speed":'
+    || CASE event_type WHEN 'purchase' THEN 'NaN' ELSE avg_speed::VARCHAR END || '}' END"""
+
 _KPIS = """count(*) AS total_rows, count(DISTINCT sensor_id) AS total_sensors,
   count(*) FILTER (WHERE intervention_required = 'YES') AS need_intervention,
   (SELECT sensor_id FROM report
@@ -461,8 +551,25 @@ def oracle_sql() -> dict[str, str]:
     trend = f"""WITH {_WINDOWS}
       SELECT sensor_id, {_mean('avg(congestion_index)')} AS mean_congestion_index
       FROM windows GROUP BY sensor_id"""
+    closed = f"""WITH {_WINDOWS}
+      SELECT {_WINDOW_COLUMNS} FROM windows WHERE {_CLOSED}"""
+    history = f"""WITH {_WINDOWS}
+      SELECT {_WINDOW_COLUMNS}, traffic_date FROM windows"""
+    board = f"""WITH {_LATEST}
+      SELECT sensor_id, total_vehicles, {_mean('window_avg_speed')} AS window_avg_speed,
+             congestion_index FROM latest"""
     on_date = f"""WITH {_WINDOWS}
       SELECT {_WINDOW_COLUMNS}, traffic_date FROM windows WHERE {_ON_DATE}"""
+    compared = f"""WITH {_READINGS},
+      profiles(sensor_id, base_volume, base_speed) AS (VALUES {profiles}),
+      banded AS (SELECT *, {_FACTOR} AS factor FROM readings)
+      SELECT b.sensor_id, b.event_time,
+             {_mean('base_volume * factor')} AS expected_volume,
+             {_mean('base_speed / factor')} AS expected_speed,
+             {_mean('(vehicle_count - base_volume * factor) / (base_volume * 0.15::DOUBLE)')}
+               AS volume_z,
+             {_mean('(avg_speed - base_speed / factor) / 3.0::DOUBLE')} AS speed_z
+      FROM banded b LEFT JOIN profiles p USING (sensor_id)"""
     found = {
         "parse_readings": f"WITH {_READINGS} SELECT {reading} FROM readings",
         "split_valid": f"""WITH {_READINGS}
@@ -481,13 +588,21 @@ def oracle_sql() -> dict[str, str]:
           FROM readings GROUP BY ALL""",
         "window_min_count": f"""WITH {_WINDOWS}
           SELECT sensor_id, window_start, min_speed_in_window, total_readings FROM windows""",
-        "stream_window_aggregates": f"""WITH {_WINDOWS}
-          SELECT {_WINDOW_COLUMNS} FROM windows WHERE {_CLOSED}""",
+        "stream_window_aggregates": closed,
         "stream_critical_alerts": alerts,
-        "stream_rejects": f"""SELECT {_REASON} AS reject_reason, count(*) AS readings
-          FROM events WHERE event_type <> 'click' GROUP BY 1""",
-        "aggregates_roundtrip": f"""WITH {_WINDOWS}
-          SELECT {_WINDOW_COLUMNS}, traffic_date FROM windows""",
+        "stream_window_aggregates_by_sensor": closed,
+        "stream_late_readings": closed,
+        "stream_without_times": f"""
+          WITH {_WINDOWS.replace("FROM events)", "FROM events WHERE event_type <> 'error')")}
+          SELECT {_WINDOW_COLUMNS} FROM windows WHERE window_end <=
+            (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 2 MINUTE""",
+        "stream_rejects": f"""WITH {_READINGS}
+          SELECT {_REASON} AS reject_reason, sensor_id AS raw_key, {_RAW} AS raw_value
+          FROM readings WHERE event_type <> 'click'""",
+        "aggregates_roundtrip": history,
+        "compacted_and_later_dates": history,
+        "aggregates_beside_a_broken_file": history,
+        "aggregates_beside_an_absent_table": history,
         "aggregates_for_date": on_date,
         "compacted_for_date": on_date,
         "hourly_rollup": f"""WITH {per_day}
@@ -511,7 +626,10 @@ def oracle_sql() -> dict[str, str]:
         "daily_report_job_for_date": f"WITH {one_date} SELECT * FROM report",
         "end_to_end_report_for_date": f"WITH {closed_date} SELECT * FROM report",
         "report_kpis": f"WITH {per_day} SELECT {_KPIS} FROM report",
-        "latest_status": f"WITH {_LATEST} SELECT {_WINDOW_COLUMNS} FROM latest",
+        "latest_status": f"""WITH {_LATEST}
+          SELECT {_WINDOW_COLUMNS}, traffic_date FROM latest""",
+        "status_board_unnumbered": board,
+        "status_page_board": board,
         "status_board": f"""WITH {_LATEST}
           SELECT sensor_id, total_vehicles, {_mean('window_avg_speed')} AS window_avg_speed,
                  congestion_index,
@@ -526,16 +644,8 @@ def oracle_sql() -> dict[str, str]:
         "status_page_kpis": f"WITH {pooled} SELECT {_KPIS} FROM report",
         "demand_band": f"""WITH {_READINGS}
           SELECT sensor_id, event_time, {_FACTOR} AS traffic_factor FROM readings""",
-        "expected_vs_observed": f"""WITH {_READINGS},
-          profiles(sensor_id, base_volume, base_speed) AS (VALUES {profiles}),
-          banded AS (SELECT *, {_FACTOR} AS factor FROM readings)
-          SELECT b.sensor_id, b.event_time,
-                 {_mean('base_volume * factor')} AS expected_volume,
-                 {_mean('base_speed / factor')} AS expected_speed,
-                 {_mean('(vehicle_count - base_volume * factor) / (base_volume * 0.15::DOUBLE)')}
-                   AS volume_z,
-                 {_mean('(avg_speed - base_speed / factor) / 3.0::DOUBLE')} AS speed_z
-          FROM banded b LEFT JOIN profiles p USING (sensor_id)""",
+        "expected_vs_observed": compared,
+        "expected_vs_profile_files": compared,
     }
     if llm is not None:
         found |= llm.ORACLE_SQL

@@ -20,7 +20,7 @@ VOLUME_FRACTION = 0.95
 CONGESTION_THRESHOLD = 5.0
 SENSOR_LAYOUT = ("traffic_date", "sensor_id")
 
-# The layout to use when there are many sensors: a directory per date only.
+# A directory per date only: the files of a micro-batch do not grow with the sensors.
 DATE_LAYOUT = ("traffic_date",)
 
 
@@ -39,7 +39,8 @@ class JobConfig:
     alert_topic: str = ALERT_TOPIC
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
-    # Bounds a micro-batch; unset reads the whole backlog in the first one.
+    # Bounds a micro-batch. Reading a topic needs it: without, the first micro-batch would be
+    # the whole backlog.
     max_offsets_per_trigger: int | None = None
     # A hot sensor fills one topic partition; this cuts its offset range into several tasks.
     min_partitions: int | None = None
@@ -61,9 +62,25 @@ class JobConfig:
     extra_measures: bool = False
     alert_speed: float = ALERT_SPEED
 
-    layout: tuple[str, ...] = SENSOR_LAYOUT
-    # Writer tasks (and so files) per date and micro-batch in the date-only layout.
-    files_per_date: int = 8
+    # SENSOR_LAYOUT is for tables that already have it: it makes a file per sensor, date and
+    # micro-batch, all of which the sink's log lists and the driver loads to plan a read.
+    layout: tuple[str, ...] = DATE_LAYOUT
+    # Writer tasks (and so files) per date and micro-batch in the date-only layout; unset, a
+    # quarter of the shuffle partitions.
+    files_per_date: int | None = None
+    # How long the sink's log names a file, such as "30 days". After that no reader of the
+    # stream's table sees it, so set it only if dates are compacted well before.
+    retention: str = ""
+
+    # The compacted table and the summaries, and the last date both hold. Report and status
+    # page read dates up to it from there and later ones from the stream's table.
+    compacted_path: str = ""
+    summary_path: str = ""
+    compacted_through: str = ""
+    # Let report and status page pass over unreadable files.
+    skip_corrupt: bool = False
+    # Partitions batch shuffles start with; unset, spark.sql.shuffle.partitions.
+    initial_partitions: int | None = None
 
     volume_fraction: float = VOLUME_FRACTION
     congestion_threshold: float = CONGESTION_THRESHOLD

@@ -24,9 +24,7 @@ def event_time(text: Column) -> Column:
 def alert_payload(sensor: str, time: str, speed: str) -> Column:
     """JSON of one alert. The time is cast to text first: to_json alone would cut it to
     milliseconds."""
-    fields = {
-        "sensor_id": F.col(sensor),
-        "alert_timestamp": F.col(time).cast("string"),
-        "critical_speed": F.col(speed),
-    }
-    return F.to_json(F.struct(*[field.alias(name) for name, field in fields.items()]))
+    return F.to_json(F.struct(
+        F.col(sensor).alias("sensor_id"),
+        F.col(time).cast("string").alias("alert_timestamp"),
+        F.col(speed).alias("critical_speed")))

@@ -7,13 +7,15 @@ from kerbstream.operators.profiles import expected_vs_observed, parse_profiles,
 from kerbstream.operators.quality import split_valid, tag_rejects
 from kerbstream.operators.report import (
     daily_peaks, hourly_rollup, intervention_report, rank_hours, report_kpis, volume_threshold)
-from kerbstream.operators.status import congestion_trend, latest_status, status_board
-from kerbstream.operators.windows import window_aggregates, with_traffic_date
+from kerbstream.operators.status import (
+    congestion_trend, daily_summary, latest_status, sensor_state, status_board)
+from kerbstream.operators.windows import (
+    readings_for_date, window_aggregates, windows_for_date, with_traffic_date)
 
 __all__ = [
-    "congestion_trend", "critical_alerts", "daily_peaks", "decode_alerts",
+    "congestion_trend", "critical_alerts", "daily_peaks", "daily_summary", "decode_alerts",
     "expected_vs_observed", "hourly_rollup", "intervention_report", "latest_status", "numbered",
-    "parse_profiles", "parse_readings", "rank_hours", "report_kpis", "split_valid",
-    "status_board", "tag_rejects", "volume_threshold", "window_aggregates", "with_profiles",
-    "with_traffic_date",
+    "parse_profiles", "parse_readings", "rank_hours", "readings_for_date", "report_kpis",
+    "sensor_state", "split_valid", "status_board", "tag_rejects", "volume_threshold",
+    "window_aggregates", "windows_for_date", "with_profiles", "with_traffic_date",
 ]

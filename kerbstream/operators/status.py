@@ -1,4 +1,8 @@
-"""Latest state per sensor and what the status page shows of it."""
+"""Latest state per sensor and what the status page shows of it.
+
+The page needs each sensor's last window and the mean index over its whole history. Both can be
+put together from one row per sensor and date, so old dates need not be read again.
+"""
 
 from __future__ import annotations
 
@@ -7,26 +11,49 @@ from pyspark.sql import functions as F
 
 from kerbstream.operators.ordering import numbered
 
-LATEST_COLUMNS = ["window_end", "total_vehicles", "window_avg_speed", "congestion_index"]
+# What a summary adds to the columns of a sensor's last window.
+SUMMARY_COLUMNS = ["index_sum", "index_count"]
 
 
 def latest_status(aggregates: DataFrame) -> DataFrame:
-    """Each sensor's last window.
+    """Each sensor's last window, with all its columns.
 
     One ``max_by`` per column keeps the aggregation buffers fixed-width, so this is a hash
     aggregate that reduces each task's rows before the shuffle; a ``max_by`` of a struct would
     sort the whole table first.
     """
-    last = [F.max_by(name, "window_start").alias(name)
-            for name in LATEST_COLUMNS if name in aggregates.columns]
-    return aggregates.groupBy("sensor_id").agg(
-        F.max("window_start").alias("window_start"), *last)
+    return aggregates.groupBy("sensor_id").agg(*_last_window(aggregates))
+
+
+def _last_window(aggregates: DataFrame) -> list:
+    others = [c for c in aggregates.columns
+              if c not in ("sensor_id", "window_start", *SUMMARY_COLUMNS)]
+    return [F.max("window_start").alias("window_start"),
+            *[F.max_by(name, "window_start").alias(name) for name in others]]
+
+
+def daily_summary(aggregates: DataFrame) -> DataFrame:
+    """One row per sensor and date: its last window of the date, and sum and count of the
+    date's indices."""
+    return aggregates.groupBy("sensor_id", "traffic_date").agg(
+        *_last_window(aggregates.drop("traffic_date")),
+        F.sum("congestion_index").alias("index_sum"),
+        F.count("congestion_index").alias("index_count"))
+
+
+def sensor_state(summaries: DataFrame) -> DataFrame:
+    """One row per sensor from its summaries: the last window of all, and the mean index over
+    the history."""
+    mean = F.try_divide(F.sum("index_sum"), F.sum("index_count"))
+    return summaries.groupBy("sensor_id").agg(
+        *_last_window(summaries), mean.alias("mean_congestion_index"))
 
 
 def status_board(latest: DataFrame, positions: bool = False) -> DataFrame:
     """The latest rows, most congested first; sensors without an index come last.
 
-    ``positions`` stores the place on the board as a column.
+    ``positions`` stores the place on the board as a column; the rows are then written while
+    the plan is built.
     """
     board = latest.select("sensor_id", "total_vehicles", "window_avg_speed", "congestion_index")
     order = [F.desc_nulls_last("congestion_index"), F.col("sensor_id")]

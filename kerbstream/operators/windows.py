@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,27 +24,41 @@ def window_aggregates(readings: DataFrame, window: str = WINDOW, watermark: str
     """
     if readings.isStreaming:
         readings = readings.withWatermark("timestamp", watermark)
-    measures = [
-        F.sum("vehicle_count").alias("total_vehicles"),
-        F.avg("avg_speed").alias("window_avg_speed"),
-    ]
-    if extra_measures:
-        measures += [
-            F.min("avg_speed").alias("min_speed_in_window"),
-            F.count("*").alias("total_readings"),
-        ]
-    names = ["total_vehicles", "window_avg_speed"]
+    measures = {
+        "total_vehicles": F.sum("vehicle_count"),
+        "window_avg_speed": F.avg("avg_speed"),
+    }
     if extra_measures:
-        names += ["min_speed_in_window", "total_readings"]
-    grouped = readings.groupBy(F.window("timestamp", window), "sensor_id").agg(*measures)
+        measures |= {"min_speed_in_window": F.min("avg_speed"), "total_readings": F.count("*")}
+    grouped = readings.groupBy(F.window("timestamp", window), "sensor_id").agg(
+        *[measure.alias(name) for name, measure in measures.items()])
     return grouped.select(
         "sensor_id",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        *names,
+        *measures,
         congestion_index("total_vehicles", "window_avg_speed").alias("congestion_index"))
 
 
+def readings_for_date(readings: DataFrame, day: datetime.date | str,
+                      window: str = WINDOW) -> DataFrame:
+    """The readings that windows starting on ``day`` can hold: from midnight until one window
+    length past the next midnight. Plain bounds on the time, so they reach the scan; windows of
+    the neighbouring days are cut and must be left out by their date afterwards."""
+    start = F.lit(str(day)).cast("timestamp")
+    end = F.lit(str(day)).cast("date") + F.expr("INTERVAL 1 DAY")
+    return readings.filter((F.col("timestamp") >= start) & (
+        F.col("timestamp") < end.cast("timestamp") + F.expr(f"INTERVAL '{window}'")))
+
+
+def windows_for_date(readings: DataFrame, day: datetime.date | str, window: str = WINDOW,
+                     extra_measures: bool = False) -> DataFrame:
+    """Dated windows that start on ``day``, from the readings of that day alone."""
+    dated = with_traffic_date(window_aggregates(
+        readings_for_date(readings, day, window), window, extra_measures=extra_measures))
+    return dated.filter(F.col("traffic_date") == F.lit(str(day)).cast("date"))
+
+
 def with_traffic_date(aggregates: DataFrame) -> DataFrame:
     """The date a window belongs to is the date it starts on, in the session zone."""
     return aggregates.withColumn("traffic_date", F.to_date("window_start"))

@@ -15,9 +15,9 @@ from pyspark.sql import SparkSession
 
 from kerbstream.config import JobConfig
 from kerbstream.operators import daily_peaks, intervention_report
-from kerbstream.session import apply_settings
+from kerbstream.session import apply_settings, clean_up
 from kerbstream.sinks import write_report
-from kerbstream.sources import aggregates_for_date
+from kerbstream.sources import read_history_for_date
 
 
 def run_daily_report(spark: SparkSession, day: datetime.date | str,
@@ -28,7 +28,7 @@ def run_daily_report(spark: SparkSession, day: datetime.date | str,
     on the hours of the new day. A date without data gives a report without rows.
     """
     config.require("aggregates_path", "report_path")
-    peaks = daily_peaks(aggregates_for_date(spark, config.aggregates_path, day))
+    peaks = daily_peaks(read_history_for_date(spark, config, day))
     report = intervention_report(peaks, config.volume_fraction, config.congestion_threshold)
     write_report(report, config.report_path)
     return config.report_path
@@ -44,8 +44,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("kerbstream-daily-report").getOrCreate()
     config = JobConfig.from_spark(
         spark, aggregates_path=args.aggregates_path, report_path=args.report_path)
-    apply_settings(spark, config.zone)
-    run_daily_report(spark, args.date, config)
+    apply_settings(spark, config.zone, initial_partitions=config.initial_partitions)
+    try:
+        run_daily_report(spark, args.date, config)
+    finally:
+        clean_up(spark)
 
 
 if __name__ == "__main__":

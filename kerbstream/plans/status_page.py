@@ -1,14 +1,16 @@
-"""Everything the status page shows, as lazy DataFrames over the stored data."""
+"""Everything the status page shows."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbstream.config import JobConfig
-from kerbstream.operators import congestion_trend, latest_status, report_kpis, status_board
-from kerbstream.sources import read_aggregates, read_report
+from kerbstream.operators import daily_summary, report_kpis, sensor_state, status_board
+from kerbstream.session import materialise
+from kerbstream.sources import read_aggregates, read_history, read_report, read_summaries
 
 
 class StatusPage(NamedTuple):
@@ -19,14 +21,29 @@ class StatusPage(NamedTuple):
     report: DataFrame
 
 
+def page_summaries(spark: SparkSession, config: JobConfig) -> DataFrame:
+    """One row per sensor and date. Of dates that are summed up only the summaries are read."""
+    if not config.summary_path:
+        return daily_summary(read_history(spark, config))
+    config.require("compacted_through")
+    until = F.lit(config.compacted_through).cast("date")
+    done = read_summaries(spark, config.summary_path, config.skip_corrupt, config.extra_measures)
+    later = read_aggregates(
+        spark, config.aggregates_path, config.skip_corrupt, config.extra_measures)
+    return done.filter(F.col("traffic_date") <= until).unionByName(
+        daily_summary(later.filter(F.col("traffic_date") > until)))
+
+
 def status_page(spark: SparkSession, config: JobConfig) -> StatusPage:
+    """The page's frames. Board and trends come from one row per sensor, which is computed once
+    and written while this is called, so a refresh reads the history once."""
     config.require("aggregates_path", "report_path")
-    aggregates = read_aggregates(spark, config.aggregates_path, skip_corrupt=True)
-    latest = latest_status(aggregates)
+    state = materialise(sensor_state(page_summaries(spark, config)), "status")
     report = read_report(spark, config.report_path)
     return StatusPage(
-        board=status_board(latest),
-        trend=congestion_trend(aggregates),
-        trend_latest=congestion_trend(latest),
+        board=status_board(state),
+        trend=state.select("sensor_id", "mean_congestion_index"),
+        trend_latest=state.select(
+            "sensor_id", F.col("congestion_index").alias("mean_congestion_index")),
         kpis=report_kpis(report),
         report=report)

@@ -13,10 +13,6 @@ def _schema(**columns: T.DataType) -> T.StructType:
 PAYLOAD = _schema(
     sensor_id=_string, timestamp=_string, vehicle_count=_int, avg_speed=_double)
 
-READING = _schema(
-    sensor_id=_string, timestamp=T.TimestampType(), vehicle_count=_int, avg_speed=_double,
-    kafka_ingest_time=T.TimestampType())
-
 # What the streaming sink stores. The extra measures are optional columns of the
 # files: asking for AGGREGATE never reads them.
 AGGREGATE = _schema(
@@ -29,9 +25,20 @@ AGGREGATE_EXTRA = _schema(
     window_avg_speed=_double, min_speed_in_window=_double, total_readings=_long,
     congestion_index=_double, sensor_id=_string, traffic_date=T.DateType())
 
-ALERT = _schema(key=_string, value=_string)
+
+def summary_schema(extra_measures: bool = False) -> T.StructType:
+    """A summary per sensor and date: a window's columns, and the sum and count of indices."""
+    window = AGGREGATE_EXTRA if extra_measures else AGGREGATE
+    return T.StructType([*window.fields, *_schema(index_sum=_double, index_count=_long).fields])
+
+
 ALERT_PAYLOAD = _schema(sensor_id=_string, alert_timestamp=_string, critical_speed=_double)
 
+# The messages behind rejected readings, as they came; JSON holds binary values as base64.
+REJECT = _schema(
+    reject_reason=_string, raw_key=T.BinaryType(), raw_value=T.BinaryType(),
+    kafka_ingest_time=T.TimestampType())
+
 REPORT = _schema(
     sensor_id=_string, peak_hour=_int, hourly_volume=_long, avg_congestion_index=_double,
     intervention_required=_string, recommended_action=_string)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,48 +22,45 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-
 # How many partitions a batch shuffle starts with; the adaptive planner merges small ones.
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-PARTITIONS_PER_CORE = 4
 
 
-def apply_settings(spark: SparkSession, zone: str, streaming: bool = False) -> None:
+def apply_settings(spark: SparkSession, zone: str, streaming: bool = False,
+                   initial_partitions: int | None = None) -> None:
     """Settings for a job that owns its session.
 
-    Batch shuffles start with several partitions per core, so that their size falls as the
-    cluster grows. ``spark.sql.shuffle.partitions`` itself is left to the cluster, because a
-    stateful stream keeps the number of its first checkpoint.
+    ``initial_partitions`` is for batch shuffles and should be several times the cores the
+    cluster can grow to; only the user knows those. ``spark.sql.shuffle.partitions`` itself is
+    left to the cluster, because a stateful stream keeps the number of its first checkpoint.
     """
     settings = dict(BATCH_SETTINGS)
     if streaming:
         settings.update(STREAM_SETTINGS)
-    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        settings[INITIAL_PARTITIONS] = str(max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
+    elif initial_partitions is not None:
+        settings[INITIAL_PARTITIONS] = str(initial_partitions)
     for key, value in settings.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="kerbstream-")
+def application_dir(spark: SparkSession) -> str:
+    """This application's folder: below the one the cluster names in ``spark.checkpoint.dir``,
+    or else below the warehouse, which executors share as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/kerbstream-{spark.sparkContext.applicationId}"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder of this application."""
+    return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Only a local session, whose executors share the driver's disk, may do without that
-    setting; it then gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = _local_root()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove this application's folder, with all intermediate tables. For the end of a job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,6 @@
 
 from kerbstream.sinks.layout import cluster_for_stream
 from kerbstream.sinks.reports import write_report
-from kerbstream.sinks.tables import write_aggregates
+from kerbstream.sinks.tables import replace_date, write_aggregates
 
-__all__ = ["cluster_for_stream", "write_aggregates", "write_report"]
+__all__ = ["cluster_for_stream", "replace_date", "write_aggregates", "write_report"]

@@ -7,33 +7,27 @@ from pyspark.sql import functions as F
 
 
 def cluster_for_stream(aggregates: DataFrame, layout: tuple[str, ...],
-                       files_per_date: int) -> DataFrame:
+                       files_per_date: int | None = None) -> DataFrame:
     """Shuffle so that a micro-batch writes few files per directory.
 
     Without it every task of the aggregation writes into every directory. The rows are closed
     windows, one per sensor and window, so no sensor has more of them than a day has windows.
     A date's rows do grow with the number of sensors; without a sensor level they are dealt
-    over ``files_per_date`` tasks.
+    over ``files_per_date`` tasks. Unset, that is a quarter of the shuffle partitions, so it
+    grows with the cluster the stream is set up for.
     """
     keys = [F.col(name) for name in layout]
     if "sensor_id" not in layout:
-        keys.append(F.pmod(F.xxhash64("sensor_id"), F.lit(files_per_date)))
+        partitions = int(aggregates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writers = files_per_date or max(1, partitions // 4)
+        keys.append(F.pmod(F.xxhash64("sensor_id"), F.lit(writers)))
     return aggregates.repartition(*keys)
 
 
 def cluster_for_batch(aggregates: DataFrame, layout: tuple[str, ...]) -> DataFrame:
-    """The same for a batch.
-
-    With a sensor level the files are many and small, so what counts is to create them in
-    parallel: a fixed number of tasks, which the adaptive planner leaves alone. Without one,
-    the planner sees the sizes and splits dates too big for one task and packs small ones
-    together. Sorted files let a reader skip row groups of other sensors.
-    """
-    keys = [F.col(name) for name in layout]
-    if "sensor_id" in layout:
-        tasks = int(aggregates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        clustered = aggregates.repartition(tasks, *keys)
-    else:
-        clustered = aggregates.hint("rebalance", *keys)
+    """The same for a batch: the adaptive planner sees the sizes, splits directories too big
+    for one task and packs small ones together. Sorted files let a reader skip row groups of
+    other sensors."""
     order = [*layout, *[c for c in ("sensor_id", "window_start") if c not in layout]]
-    return clustered.sortWithinPartitions(*order)
+    return aggregates.hint("rebalance", *[F.col(name) for name in layout]).sortWithinPartitions(
+        *order)

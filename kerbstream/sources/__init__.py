@@ -3,7 +3,9 @@
 from kerbstream.sources.kafka import kafka_read_options, read_topic
 from kerbstream.sources.profiles import read_profiles
 from kerbstream.sources.reports import read_report
-from kerbstream.sources.tables import aggregates_for_date, read_aggregates
+from kerbstream.sources.tables import (
+    aggregates_for_date, read_aggregates, read_history, read_history_for_date, read_summaries)
 
-__all__ = ["aggregates_for_date", "kafka_read_options", "read_aggregates", "read_profiles",
-           "read_report", "read_topic"]
+__all__ = ["aggregates_for_date", "kafka_read_options", "read_aggregates", "read_history",
+           "read_history_for_date", "read_profiles", "read_report", "read_summaries",
+           "read_topic"]

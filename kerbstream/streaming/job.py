@@ -3,6 +3,7 @@
     spark-submit --py-files kerbstream.zip \\
                  --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version> \\
                  --conf spark.kerbstream.bootstrap_servers=... \\
+                 --conf spark.kerbstream.max_offsets_per_trigger=... \\
                  --conf spark.kerbstream.aggregates_path=... \\
                  --conf spark.kerbstream.aggregates_checkpoint=... \\
                  --conf spark.kerbstream.alerts_checkpoint=... \\
@@ -18,23 +19,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kerbstream.config import JobConfig
 from kerbstream.operators import parse_readings, split_valid
-from kerbstream.session import apply_settings
+from kerbstream.session import apply_settings, clean_up
 from kerbstream.sources import read_topic
 from kerbstream.streaming.queries import start_aggregates, start_alerts, start_rejects
 
 
 def start_streams(envelope: DataFrame, config: JobConfig,
                   available_now: bool = False) -> list[StreamingQuery]:
-    """Decode once in the plan, run twice: each query reads the source by itself, so alerts do
-    not wait for the aggregates' micro-batches and a slow sink does not hold up the other."""
-    readings = usable = parse_readings(envelope)
+    """Decode once in each plan: each query reads the source by itself, so alerts do not wait
+    for the aggregates' micro-batches and a slow sink does not hold up the other. Keeping rejects
+    costs a third full read and decoding."""
+    usable = parse_readings(envelope)
     queries: list[StreamingQuery] = []
     try:
         if config.rejects_path:
             config.require("rejects_checkpoint")
-            usable, _ = split_valid(readings)
+            usable, _ = split_valid(usable)
             queries.append(start_rejects(
-                readings, config.rejects_path, config.rejects_checkpoint, available_now))
+                parse_readings(envelope, keep_raw=True), config.rejects_path, config.rejects_checkpoint, available_now))
         queries.append(start_aggregates(usable, config, available_now))
         queries.append(start_alerts(usable, config, available_now))
     except Exception:
@@ -71,6 +73,7 @@ def main() -> None:
     except KeyboardInterrupt:
         pass
     finally:
+        clean_up(spark)
         spark.stop()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from kerbstream.config import JobConfig
 from kerbstream.operators import (
     critical_alerts, split_valid, window_aggregates, with_traffic_date)
+from kerbstream.schemas import REJECT
 from kerbstream.sinks import cluster_for_stream
 
 
@@ -24,12 +25,16 @@ def start_aggregates(readings: DataFrame, config: JobConfig,
     """Append each window once, when the watermark has passed its end. The file sink logs what
     each micro-batch committed, so a restart neither loses nor repeats a window."""
     config.require("aggregates_path", "aggregates_checkpoint")
+    if config.retention:
+        config.require("compacted_path")
     writer = (aggregate_stream(readings, config).writeStream
               .format("parquet")
               .outputMode("append")
               .partitionBy(*config.layout)
               .option("path", config.aggregates_path)
               .option("checkpointLocation", config.aggregates_checkpoint))
+    if config.retention:
+        writer = writer.option("retention", config.retention)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=config.trigger).start()
@@ -59,9 +64,10 @@ def _alert_sink(writer: DataStreamWriter, config: JobConfig) -> DataStreamWriter
 
 def start_rejects(readings: DataFrame, path: str, checkpoint: str,
                   available_now: bool = False) -> StreamingQuery:
-    """Store the readings that cannot be used, with the reason."""
+    """Store the messages of readings that cannot be used, with the reason. ``readings`` must
+    have been parsed with ``keep_raw``; what is stored can be examined and sent again."""
     _, rejects = split_valid(readings)
-    writer = (rejects.writeStream.format("json").outputMode("append")
+    writer = (rejects.select(*REJECT.names).writeStream.format("json").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

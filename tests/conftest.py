@@ -50,6 +50,14 @@ def job_settings(spark, changed_conf):
     changed_conf(INITIAL_PARTITIONS, "4")
 
 
+@pytest.fixture
+def own_folder(monkeypatch, tmp_path):
+    """A shared folder of its own, for tests that look at what is left in it or remove it."""
+    from kerbstream import session
+    monkeypatch.setattr(session, "application_dir", lambda spark: str(tmp_path / "shared"))
+    return tmp_path / "shared"
+
+
 @pytest.fixture(scope="session")
 def events(spark):
     from kerbstream.plans.event_view import EVENTS

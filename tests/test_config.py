@@ -8,12 +8,12 @@ def test_settings_from_the_session(spark, changed_conf):
     changed_conf("spark.kerbstream.raw_topic", "readings")
     changed_conf("spark.kerbstream.alert_speed", "12.5")
     changed_conf("spark.kerbstream.fail_on_data_loss", "true")
-    changed_conf("spark.kerbstream.layout", "traffic_date")
+    changed_conf("spark.kerbstream.layout", "traffic_date,sensor_id")
     changed_conf("spark.kerbstream.min_partitions", "64")
     changed_conf("spark.kerbstream.files_per_date", "3")
     config = JobConfig.from_spark(spark, report_path="/r", aggregates_path=None)
     assert config == JobConfig(
-        raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True, layout=("traffic_date",),
+        raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True, layout=("traffic_date", "sensor_id"),
         min_partitions=64, files_per_date=3, report_path="/r")
 
 
@@ -32,7 +32,6 @@ def test_session_settings(spark, job_settings):
     apply_settings(spark, "Asia/Colombo")
     assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Colombo"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    assert spark.conf.get(INITIAL_PARTITIONS) == "4", "a chosen number is kept"
-    spark.conf.unset(INITIAL_PARTITIONS)
-    apply_settings(spark, "UTC")
+    assert spark.conf.get(INITIAL_PARTITIONS) == "4", "left alone unless configured"
+    apply_settings(spark, "UTC", initial_partitions=32)
     assert int(spark.conf.get(INITIAL_PARTITIONS)) == 32

@@ -14,9 +14,32 @@ from helpers import READING, final_plan, rows
 def test_profile_file(spark, tmp_path):
     path = tmp_path / "profiles.json"
     path.write_text(json.dumps(
-        {"North": {"base_volume": 100, "base_speed": 30},
-         "South": {"base_volume": 50, "base_speed": 45}}, indent=2))
-    assert rows(read_profiles(spark, str(path))) == [("North", 100, 30), ("South", 50, 45)]
+        {"Quay": {"base_volume": 77, "base_speed": 31},
+         "Mill": {"base_volume": 12, "base_speed": 58}}, indent=2))
+    assert rows(read_profiles(spark, str(path))) == [("Mill", 12, 58), ("Quay", 77, 31)]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+@pytest.mark.parametrize("first, second", [("a.json", "b.json"), ("b.json", "a.json")])
+def test_the_file_that_sorts_last_counts(spark, tmp_path, changed_conf, first, second, partitions):
+    changed_conf("spark.sql.shuffle.partitions", str(partitions))
+    changed_conf("spark.sql.files.openCostInBytes", "128MB" if partitions > 1 else "1KB")
+    old = {"s": {"base_volume": 1, "base_speed": 2}, "only": {"base_volume": 5, "base_speed": 6}}
+    new = {"x": {"base_volume": 7, "base_speed": 8}, "s": {"base_volume": 3, "base_speed": 4}}
+    for name in (first, second):
+        (tmp_path / name).write_text(json.dumps(new if name == "b.json" else old))
+    assert rows(read_profiles(spark, str(tmp_path))) == [
+        ("only", 5, 6), ("s", 3, 4), ("x", 7, 8)]
+
+
+def test_documents_without_an_order_must_not_disagree(spark):
+    texts = ['{"a": {"base_volume": 1, "base_speed": 2}}',
+             '{"a": {"base_volume": 1, "base_speed": 3}}', '{"b": {"base_volume": 1}}']
+    documents = spark.createDataFrame([(t,) for t in texts], "value string")
+    with pytest.raises(Exception, match="several documents have a profile of a"):
+        parse_profiles(documents).collect()
+    same = spark.createDataFrame([(texts[0],), (texts[0],), (texts[2],)], "value string")
+    assert rows(parse_profiles(same)) == [("a", 1, 2), ("b", 1, None)]
 
 
 def test_profile_document(spark):
@@ -53,10 +76,11 @@ def test_bands(spark):
 def test_expected_and_scores(spark, at):
     readings = spark.createDataFrame([("junction-000", at("08:00:00"), 250, 12.0)], READING)
     row = expected_vs_observed(readings, parse_profiles(profile_documents(spark))).first()
-    assert row.expected_volume == pytest.approx(220.0)
-    assert row.expected_speed == pytest.approx(30 / 2.2)
-    assert row.volume_z == pytest.approx((250 - 220) / 15)
-    assert row.speed_z == pytest.approx((12 - 30 / 2.2) / 3)
+    volume, speed = PROFILES[0]
+    assert row.expected_volume == pytest.approx(volume * 2.2)
+    assert row.expected_speed == pytest.approx(speed / 2.2)
+    assert row.volume_z == pytest.approx((250 - volume * 2.2) / (volume * 0.15))
+    assert row.speed_z == pytest.approx((12 - speed / 2.2) / 3)
 
 
 def test_sensor_without_a_profile_keeps_its_readings(spark, events):
@@ -76,17 +100,20 @@ def test_zero_base_volume_gives_null(spark, at):
     assert expected_vs_observed(readings, profiles).first()["volume_z"] is None
 
 
-def test_broadcast_only_up_to_the_limit(spark, events):
+def test_spark_broadcasts_by_size(spark, events, changed_conf):
     readings = readings_view(events)
     profiles = parse_profiles(profile_documents(spark))
-    small = with_profiles(readings, profiles, broadcast_rows=16)
-    large = with_profiles(readings, profiles, broadcast_rows=15)
+    small = with_profiles(readings, profiles)
     assert "BroadcastHashJoin" in final_plan(small)
+    found = rows(small)
+    changed_conf("spark.sql.autoBroadcastJoinThreshold", "10")
+    large = with_profiles(readings, profiles)
     assert "SortMergeJoin" in final_plan(large)
-    assert rows(small) == rows(large)
+    assert rows(large) == found
 
 
-def test_hot_sensor_is_split_beyond_the_limit(spark, changed_conf):
+def test_hot_sensor_of_a_large_join_is_split(spark, changed_conf):
+    changed_conf("spark.sql.autoBroadcastJoinThreshold", "10")
     changed_conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
     changed_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
     changed_conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
@@ -98,6 +125,6 @@ def test_hot_sensor_is_split_beyond_the_limit(spark, changed_conf):
         F.col("id").cast("double").alias("avg_speed"))
     profiles = readings.select("sensor_id").distinct().select(
         "sensor_id", F.lit(10).alias("base_volume"), F.lit(5).alias("base_speed"))
-    joined = with_profiles(readings, profiles, broadcast_rows=10)
+    joined = with_profiles(readings, profiles)
     assert "skew=true" in final_plan(joined)
     assert joined.filter("base_volume = 10").count() == 60000

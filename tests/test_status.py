@@ -1,6 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from kerbstream.operators import congestion_trend, latest_status, numbered, status_board
+from kerbstream.operators import (
+    congestion_trend, daily_summary, latest_status, numbered, sensor_state, status_board,
+    window_aggregates, with_traffic_date)
+from kerbstream.plans.event_view import readings_view
 
 from helpers import AGGREGATE, plan, rows
 
@@ -19,6 +23,36 @@ def test_latest_keeps_a_whole_row(spark, at):
     assert got == [("a", at("00:02:00"), 2, None, None), ("b", at("00:01:00"), 1, 1.0, 1.0)]
 
 
+def test_latest_keeps_the_date_and_the_extra_measures(spark, at):
+    data = aggregates(spark, at, ("a", "00:01:00", 9, 9.0, 9.0), ("a", "00:02:00", 2, 1.0, 1.0))
+    more = data.withColumns({"min_speed_in_window": F.col("window_avg_speed") / 2,
+                             "total_readings": F.lit(4).cast("bigint")})
+    latest = latest_status(more)
+    assert set(latest.columns) == set(more.columns)
+    assert rows(latest, "traffic_date", "min_speed_in_window", "total_readings") == [
+        (at("00:00:00").date(), 0.5, 4)]
+
+
+def test_summaries_give_the_same_as_the_history(spark, events):
+    data = with_traffic_date(window_aggregates(readings_view(events)))
+    data = data.withColumn("congestion_index", F.when(
+        F.col("sensor_id") != "junction-003", F.col("congestion_index")))
+    state = sensor_state(daily_summary(data))
+    names = ["sensor_id", "window_start", "window_end", "total_vehicles", "congestion_index",
+             "traffic_date"]
+    assert rows(state, *names) == rows(latest_status(data), *names)
+    mean = {r.sensor_id: r.mean_congestion_index for r in congestion_trend(data).collect()}
+    got = {r.sensor_id: r.mean_congestion_index for r in state.collect()}
+    assert got.pop("junction-003") is mean.pop("junction-003") is None
+    assert got == pytest.approx(mean)
+
+
+def test_summary_is_a_hash_aggregate(spark, at):
+    data = aggregates(spark, at, ("a", "00:02:00", 2, 1.0, 1.0))
+    text = plan(sensor_state(daily_summary(data)))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
+
+
 def test_latest_is_a_hash_aggregate(spark, at):
     text = plan(latest_status(aggregates(spark, at, ("a", "00:02:00", 2, 1.0, 1.0))))
     assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text

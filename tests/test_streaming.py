@@ -2,6 +2,7 @@ import datetime
 import glob
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from kerbstream.config import DATE_LAYOUT, JobConfig
 from kerbstream.operators import (
-    critical_alerts, decode_alerts, parse_readings, window_aggregates)
+    critical_alerts, decode_alerts, parse_readings, split_valid, window_aggregates)
 from kerbstream.plans.event_view import EVENTS, readings_view
+from kerbstream.schemas import REJECT
 from kerbstream.session import STREAM_SETTINGS
 from kerbstream.sources import aggregates_for_date, kafka_read_options, read_aggregates
 from kerbstream.streaming import (
@@ -102,8 +104,62 @@ def test_unusable_readings_can_be_kept_apart(spark, at, tmp_path):
     assert rows(read_aggregates(spark, config.aggregates_path), "window_start",
                 "total_vehicles") == [(at("00:00:00"), 3)]
     assert alerts_of(spark, config).count() == 1
-    rejects = spark.read.json(config.rejects_path)
-    assert rows(rejects, "reject_reason") == [("bad_json",), ("bad_time",)]
+    rejects = spark.read.schema(REJECT).json(config.rejects_path)
+    stored = rejects.select("reject_reason", F.col("raw_key").cast("string").alias("key"),
+                            F.col("raw_value").cast("string").alias("value"))
+    assert rows(stored) == [("bad_json", *MIXED[0][:2]), ("bad_time", *MIXED[1][:2])]
+
+
+def test_rejects_keep_any_bytes(spark, tmp_path):
+    raw = bytes(range(256))
+    envelope = spark.createDataFrame(
+        [(raw, raw, datetime.datetime(2026, 2, 20))], "key binary, value binary, timestamp timestamp")
+    _, rejects = split_valid(parse_readings(envelope, keep_raw=True))
+    rejects.select(*REJECT.names).write.json(f"{tmp_path}/out")
+    back = spark.read.schema(REJECT).json(f"{tmp_path}/out").first()
+    assert (bytes(back.raw_key), bytes(back.raw_value)) == (raw, raw)
+
+
+def test_rejects_are_decoded_once(spark, tmp_path):
+    stream = envelope_stream(spark, tmp_path)
+    _, rejects = split_valid(parse_readings(stream, keep_raw=True))
+    text = plan(rejects.select(*REJECT.names))
+    assert text.count("from_json") == plan(parse_readings(stream)).count("from_json")
+
+
+def test_both_queries_run_on_their_own_triggers(spark, at, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source, "0.json", [
+        message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 50.0)], 1_700_000_000)
+    config = config_in(tmp_path)
+    assert config.trigger == "1 minute"
+    queries = start_streams(envelope_stream(spark, source), config)
+    try:
+        aggregates, alerts = queries
+        deadline = time.monotonic() + 60
+        while time.monotonic() < deadline and not (
+                aggregates.lastProgress and alerts.lastProgress
+                and alerts.lastProgress["batchId"] >= 0 and "Waiting" in aggregates.status["message"]):
+            time.sleep(0.2)
+        assert "Waiting for next trigger" in aggregates.status["message"]
+        assert alerts_of(spark, config).count() == 1
+        write_lines(source, "1.json", [message("b", "00:10:00", 1, 5.0)], 1_700_000_100)
+        while time.monotonic() < deadline and alerts_of(spark, config).count() < 2:
+            time.sleep(0.2)
+        # Alerts have no interval to wait for; the aggregates are still at their first batch.
+        assert alerts_of(spark, config).count() == 2
+        assert aggregates.isActive and alerts.isActive
+    finally:
+        for query in queries:
+            query.stop()
+    wait_all(queries)
+    assert not spark.streams.active
+
+
+def test_retention_needs_compaction(spark, tmp_path):
+    stream = parse_readings(envelope_stream(spark, tmp_path))
+    with pytest.raises(ValueError, match="compacted_path"):
+        start_aggregates(stream, config_in(tmp_path, retention="30 days"))
 
 
 def test_restart_neither_loses_nor_repeats(spark, events, tmp_path):
@@ -199,10 +255,12 @@ def test_a_query_that_cannot_start_stops_the_first(spark, tmp_path):
 
 
 def test_kafka_options():
-    config = JobConfig(bootstrap_servers="broker:9092")
+    config = JobConfig(bootstrap_servers="broker:9092", max_offsets_per_trigger=5)
     assert kafka_read_options(config) == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "raw-traffic",
-        "startingOffsets": "earliest", "failOnDataLoss": "false"}
+        "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5"}
+    with pytest.raises(ValueError, match="max_offsets_per_trigger"):
+        kafka_read_options(JobConfig(bootstrap_servers="broker:9092"))
     more = JobConfig(bootstrap_servers="b", raw_topic="t", starting_offsets="latest",
                           fail_on_data_loss=True, max_offsets_per_trigger=10, min_partitions=64)
     assert kafka_read_options(more) == {

@@ -1,9 +1,11 @@
 import datetime
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from kerbstream.operators import window_aggregates, with_traffic_date
+from kerbstream.operators import window_aggregates, windows_for_date, with_traffic_date
+from kerbstream.plans.event_view import readings_view
 
 from helpers import READING, plan, rows, shuffled_records
 
@@ -93,3 +95,30 @@ def test_a_hot_sensor_shuffles_one_row_per_task_and_window(spark):
     windows = window_aggregates(hot)
     assert shuffled_records(windows) == [8]
     assert rows(windows, "total_vehicles") == [(200_000,)]
+
+
+@pytest.mark.parametrize("window", ["1 minute", "7 minutes", "1 hour"])
+def test_windows_of_one_date_need_only_its_readings(spark, events, window):
+    readings = readings_view(events)
+    whole = with_traffic_date(window_aggregates(readings, window)).filter(
+        "traffic_date = date '2024-01-15'")
+    day = windows_for_date(readings, "2024-01-15", window)
+    assert rows(day) == rows(whole) and day.count() > 0
+
+
+def test_a_window_over_midnight_keeps_its_late_readings(spark, at):
+    # Seven-minute windows do not divide the day: one starts at 23:58 and ends at 00:05.
+    times = [datetime.datetime.fromisoformat(t) for t in (
+        "2026-02-20T23:57:59", "2026-02-20T23:58:00", "2026-02-21T00:04:59",
+        "2026-02-21T00:05:00", "2026-02-20T00:00:30", "2026-02-19T23:59:59")]
+    readings = spark.createDataFrame([("a", t, 1, 1.0) for t in times], READING)
+    whole = with_traffic_date(window_aggregates(readings, "7 minutes")).filter(
+        "traffic_date = date '2026-02-20'")
+    assert rows(windows_for_date(readings, "2026-02-20", "7 minutes")) == rows(whole)
+    assert any(r.window_end.day == 21 for r in whole.collect())
+
+
+def test_date_bounds_reach_the_scan(events):
+    text = plan(windows_for_date(readings_view(events), "2024-01-15"))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(ts,2024-01-15" in pushed and "LessThan(ts,2024-01-16" in pushed
