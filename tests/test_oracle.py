@@ -12,7 +12,7 @@ def con():
     return duck(f"{TESTDATA}/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query(spark, con, name):
     ok, detail = compare(spark, con, f"{TESTDATA}/sf0.001", name)
     assert ok, detail
