@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbstream.config import JobConfig
 from kerbstream.operators import daily_summary, report_kpis, sensor_state, status_board
-from kerbstream.session import materialise
+from kerbstream.session import materialise, remove, shared_dir
 from kerbstream.sources import read_aggregates, read_history, read_report, read_summaries
 
 
@@ -19,6 +19,12 @@ class StatusPage(NamedTuple):
     trend_latest: DataFrame
     kpis: DataFrame
     report: DataFrame
+    state_path: str
+
+    def close(self) -> None:
+        """Remove the stored state; board and trends cannot be read any more. For sessions that
+        refresh the page again and again."""
+        remove(self.report.sparkSession, self.state_path)
 
 
 def page_summaries(spark: SparkSession, config: JobConfig) -> DataFrame:
@@ -38,7 +44,8 @@ def status_page(spark: SparkSession, config: JobConfig) -> StatusPage:
     """The page's frames. Board and trends come from one row per sensor, which is computed once
     and written while this is called, so a refresh reads the history once."""
     config.require("aggregates_path", "report_path")
-    state = materialise(sensor_state(page_summaries(spark, config)), "status")
+    path = shared_dir(spark, "status")
+    state = materialise(sensor_state(page_summaries(spark, config)), "status", path)
     report = read_report(spark, config.report_path)
     return StatusPage(
         board=status_board(state),
@@ -46,4 +53,5 @@ def status_page(spark: SparkSession, config: JobConfig) -> StatusPage:
         trend_latest=state.select(
             "sensor_id", F.col("congestion_index").alias("mean_congestion_index")),
         kpis=report_kpis(report),
-        report=report)
+        report=report,
+        state_path=path)

@@ -57,17 +57,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever Spark can reach it; nothing there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Remove this application's folder, with all intermediate tables. For the end of a job."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, application_dir(spark))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and go on from there.
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write once to the shared folder (or ``path``) and go on from there.
 
     Later stages then see one fixed result, also after an executor is lost.
     """
-    path = shared_dir(df.sparkSession, name)
+    path = path or shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -204,6 +204,9 @@ def test_page_computes_its_state_once(spark, dated, tmp_path, own_folder):
         assert config.aggregates_path not in text and "Aggregate" not in text
     history = final_plan(sensor_state(page_summaries(spark, config)))
     assert history.count("FileScan") == 1
+    assert list(own_folder.rglob("*.parquet"))
+    page.close()
+    assert not list(own_folder.rglob("*.parquet"))
 
 
 def test_corrupt_files_are_skipped_only_on_request(spark, dated, tmp_path, own_folder):
