@@ -238,6 +238,16 @@ def q_aggregates_for_date(spark, sf_dir):
     return _comparable(day, "window_avg_speed")
 
 
+def q_aggregates_for_today(spark, sf_dir):
+    """The table moved in time so that the report date is today, and moved back."""
+    path, day = shared_dir(spark, "today"), F.lit(REPORT_DATE).cast("date")
+    moved = F.date_add(F.current_date(), F.datediff("traffic_date", day))
+    write_aggregates(_dated(spark, sf_dir).withColumn("traffic_date", moved), path)
+    back = F.date_add(day, F.datediff("traffic_date", F.current_date()))
+    today = aggregates_for_date(spark, path).withColumn("traffic_date", back)
+    return _comparable(today, "window_avg_speed")
+
+
 def q_compacted_for_date(spark, sf_dir):
     target = shared_dir(spark, "compacted")
     compact_date(spark, _stored(spark, sf_dir), target, REPORT_DATE)
@@ -604,6 +614,7 @@ def oracle_sql() -> dict[str, str]:
         "aggregates_beside_a_broken_file": history,
         "aggregates_beside_an_absent_table": history,
         "aggregates_for_date": on_date,
+        "aggregates_for_today": on_date,
         "compacted_for_date": on_date,
         "hourly_rollup": f"""WITH {per_day}
           SELECT traffic_date, sensor_id, hour, hourly_volume,

@@ -36,7 +36,8 @@ def start_streams(envelope: DataFrame, config: JobConfig,
             config.require("rejects_checkpoint")
             usable, _ = split_valid(usable)
             queries.append(start_rejects(
-                parse_readings(envelope, keep_raw=True), config.rejects_path, config.rejects_checkpoint, available_now))
+                parse_readings(envelope, keep_raw=True), config.rejects_path,
+                config.rejects_checkpoint, available_now))
         queries.append(start_aggregates(usable, config, available_now))
         queries.append(start_alerts(usable, config, available_now))
     except Exception:

@@ -13,8 +13,8 @@ def test_settings_from_the_session(spark, changed_conf):
     changed_conf("spark.kerbstream.files_per_date", "3")
     config = JobConfig.from_spark(spark, report_path="/r", aggregates_path=None)
     assert config == JobConfig(
-        raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True, layout=("traffic_date", "sensor_id"),
-        min_partitions=64, files_per_date=3, report_path="/r")
+        raw_topic="readings", alert_speed=12.5, fail_on_data_loss=True,
+        layout=("traffic_date", "sensor_id"), min_partitions=64, files_per_date=3, report_path="/r")
 
 
 def test_bad_flag(spark, changed_conf):

@@ -16,7 +16,7 @@ from kerbstream.schemas import REJECT
 from kerbstream.session import STREAM_SETTINGS
 from kerbstream.sources import aggregates_for_date, kafka_read_options, read_aggregates
 from kerbstream.streaming import (
-    start_aggregates, start_alerts, start_streams, wait_all)
+    run_stream, start_aggregates, start_alerts, start_streams, wait_all)
 
 from conftest import TESTDATA
 from helpers import envelope_stream, plan, reading_json, rows, write_lines
@@ -156,6 +156,19 @@ def test_both_queries_run_on_their_own_triggers(spark, at, tmp_path):
     assert not spark.streams.active
 
 
+def test_run_stream_reads_the_topic(spark, at, tmp_path, monkeypatch):
+    source, asked = tmp_path / "in", []
+    write_lines(source, "0.json", [
+        message("a", "00:00:10", 3, 2.0), message("a", "00:09:00", 1, 50.0)], 1_700_000_000)
+    monkeypatch.setattr("kerbstream.streaming.job.read_topic", lambda session, config: (
+        asked.append(config) or envelope_stream(session, source)))
+    config = config_in(tmp_path)
+    wait_all(run_stream(spark, config, available_now=True))
+    assert asked == [config]
+    assert read_aggregates(spark, config.aggregates_path).count() == 1
+    assert alerts_of(spark, config).count() == 1
+
+
 def test_retention_needs_compaction(spark, tmp_path):
     stream = parse_readings(envelope_stream(spark, tmp_path))
     with pytest.raises(ValueError, match="compacted_path"):
