@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import bpe, language, mixing, quality, queries, simhash
-from kerbstream.llm.common import ship_package, table
+from kerbstream.llm.common import prepare, table
 from kerbstream.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,31 +21,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language, or between languages, go."""
-    ship_package(spark)
+    prepare(spark)
     return language.in_a_language(docs)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules or lie outside their group's estimate go."""
-    ship_package(spark)
+    prepare(spark)
     return quality.kept_documents(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
-    ship_package(spark)
+    prepare(spark)
     return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    ship_package(spark)
+    prepare(spark)
     return mixing.repeated(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: token counts and digests of ids and of the decoded bytes."""
-    ship_package(spark)
+    prepare(spark)
     return bpe.encoding_digests(
         docs, public_tokenizers.path(queries.CODEC_RANKS), public_tokenizers.PATTERN)
 

@@ -46,7 +46,7 @@ SLICE_IDS = 1 << 21  # ids decoded at once, but for a longer document
 # The longest thing the pattern looks for beside runs is a three-character ending ("'re").
 LOOK = 3
 # Encoded pieces remembered by each Python worker, some 100 bytes each.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 200_000
 CACHED_CHARS = 40  # longer pieces are rarely met again
 
 
@@ -232,7 +232,8 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str,
             values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
             decoded = [codec.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+                [*batch.columns, pa.array(decoded, pa.binary())],
+                names=[*batch.schema.names, "decoded"])
 
     decoded = T.StructField("decoded", T.BinaryType())
     return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, decoded]))

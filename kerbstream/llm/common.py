@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 # Broadcast models must stay below this many bytes; they are files or rules of fixed size.
 MODEL_BYTES = 64 << 20
 
-# Texts are handed to Python functions in parts of about this many bytes.
-SLICE_BYTES = 8 << 20
+# Texts are handed to Python functions in parts of about this many bytes, and go to Python
+# workers in Arrow batches of that size: a batch exists several times on its way.
+SLICE_BYTES = BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _SHIPPED: dict[str, tuple[str, ...]] = {}
 
@@ -75,6 +77,13 @@ def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         start = end
 
 
+def prepare(spark: SparkSession) -> None:
+    """What a session needs for these operators."""
+    ship_package(spark)
+    if int(spark.conf.get(BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, as ``--py-files`` would, also where the driver
     only has it on its own path. Once per application; Spark hands the archive out."""
