@@ -47,7 +47,9 @@ SEED = 42
 
 SAMPLE = 1 << 18  # fingerprints that shape the tree of shards
 SAMPLE_PER_SHARD = 64
-SHARD_ROWS = 4096  # home fingerprints of a shard, as far as the sample allows
+SHARD_ROWS = 4096  # home fingerprints of a shard, until there are SHARDS of them
+SHARDS = 256  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
+LARGE_SHARD = 1 << 20
 LEAF_ROWS = 256  # compared each with each
 BLOCK = 1 << 16  # shingles whose bits are counted at once
 PAIR_BLOCK = 1 << 20  # links held before they are reduced to a forest
@@ -240,7 +242,8 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
     sample = np.array([r[0] for r in distinct.filter(
         F.pmod(F.xxhash64("fingerprint"), F.lit(keep)) == 0).select("fingerprint").orderBy(
         F.xxhash64("fingerprint")).limit(2 * SAMPLE).collect()], np.int64).view(np.uint64)
-    shards = max(1, min(-(-rows // shard_rows), len(sample) // SAMPLE_PER_SHARD))
+    wanted = max(min(-(-rows // shard_rows), SHARDS), -(-rows // LARGE_SHARD))
+    shards = max(1, min(wanted, len(sample) // SAMPLE_PER_SHARD))
     tree = distinct.sparkSession.sparkContext.broadcast(shard_tree(sample, shards, max_bits))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,21 +293,22 @@ def one_of_each(docs: DataFrame, text: str = "text", shingle_words: int = SHINGL
     """``docs`` with one document of each group: the one with the smallest id.
 
     Documents are written once with their fingerprint, which is dearer to compute again than
-    to read. A row is found again by (fingerprint, doc_id), so copies, which share the one
-    but not the other, spread over all tasks. Of repeated rows with that id one stays.
+    to read, and with a number. The number of the row that stays is found on numbers, ids and
+    fingerprints alone, so texts are shuffled once, by a key that no two rows share. Rows
+    without an id come last in their group.
     """
     whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col(text).alias("text"))
     marked = materialise(whole.select(
-        "row", "doc_id", _fingerprint_of(shingle_words)(F.col("text").cast("binary"))
-        .alias("fingerprint")), "marked")
+        "row", "doc_id", F.monotonically_increasing_id().alias("number"),
+        _fingerprint_of(shingle_words)(F.col("text").cast("binary")).alias("fingerprint")),
+        "marked")
     groups = near_groups(marked.select("doc_id", "fingerprint"), max_bits)
-    first = groups.groupBy("group_print").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fingerprint")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("_id"),
-                         F.col("first.fingerprint").alias("_print"))
-    kept = marked.join(first, (F.col("fingerprint") == F.col("_print"))
-                       & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["fingerprint", "doc_id"]).select("row.*")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
+    # One row per fingerprint first, so that copies are reduced before they meet.
+    first = materialise(marked.groupBy("fingerprint").agg(F.min(place).alias("place")), "places")
+    stays = first.join(groups.select("fingerprint", "group_print"), "fingerprint").groupBy(
+        "group_print").agg(F.min("place")["number"].alias("number"))
+    return marked.join(stays.select("number"), "number", "left_semi").select("row.*")
 
 
 def _fingerprint_of(shingle_words: int):
