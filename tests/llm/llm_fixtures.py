@@ -29,4 +29,5 @@ def make_docs(spark):
 @pytest.fixture(scope="session")
 def odd_texts():
     return [None, "", " ", "\n\n", "a", "one two", "A b  c\td\r\ne", "é ü 中文 🙂 ñ", "x" * 30_000,
-            "word " * 20_000, "tie tie tie tie", "tie tie tie tie", "'re 's''ll!!", "\u00a0\u3000 \u2003"]
+            "word " * 20_000, "tie tie tie tie", "tie tie tie tie", "'re 's''ll!!",
+            "\u00a0\u3000 \u2003"]

@@ -4,7 +4,6 @@ import hashlib
 import re
 from collections import Counter
 
-import pytest
 from pyspark.sql import functions as F
 
 from kerbstream.llm import merkle as mk

@@ -11,7 +11,8 @@ from llm_fixtures import make_docs, odd_texts  # noqa: F401
 
 def slow_targets(sizes):
     """{source: target} from {source: size}, sources in order of code points, null last."""
-    order = sorted([s for s in sizes if s is not None], key=lambda s: s.encode()) + [None] * (None in sizes)
+    order = sorted([s for s in sizes if s is not None], key=lambda s: s.encode())
+    order += [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
     total, target, capped = 1.5 * sum(sizes.values()), {}, set()
     while True:

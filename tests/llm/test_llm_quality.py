@@ -51,7 +51,8 @@ def corpus(make_docs):
         bad |= {i} if odd else set()
     rows += [(2000, "too short", "en", "big"), (2001, "a b c " * 40, "en", "big"), (2002, None),
              (2003, ""), (None, prose(chance), None, "big"), (5, prose(chance), "en", "big"),
-             (2005, prose(chance), "xx", "lonely"), (2006, "y" * 50_000 + " " + " ".join(f"z{i}" for i in range(60)), "en", "big")]
+             (2005, prose(chance), "xx", "lonely"),
+             (2006, " ".join(["y" * 50_000, *(f"z{i}" for i in range(60))]), "en", "big")]
     return rows, bad
 
 
