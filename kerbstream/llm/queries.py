@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import (
     bpe, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
-from kerbstream.llm.common import ship_package, table
+from kerbstream.llm.common import prepare, table
 
 URL_RULES = [
     url_filter.Rule("block", "net", "/"),
@@ -75,14 +75,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _registered(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
-    op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters, op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec, op10_sharding)}
+    op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters,
+    op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec,
+    op10_sharding)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 

@@ -5,8 +5,8 @@ with the rule's. Of fitting rules the longest wins: the one with more host label
 with the longer path. The trie's first levels are host labels from the right, the next ones path
 segments, so a URL is judged by walking down once, however many rules there are.
 
-Rules come as a Python list and are cut into tries of at most ``TRIE_RULES`` rules. Each trie is
-broadcast and judged in a pass of its own, and a longer match of a later pass takes over, so a
+Rules come as a Python list and are cut into tries of at most ``TRIE_RULES`` rules and
+``TRIE_CHARS`` characters. Each trie is broadcast and judged in a pass of its own, and a longer match of a later pass takes over, so a
 list of any length gives the same verdicts as a single trie would.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, which no rule
@@ -16,7 +16,7 @@ Rules without a host, or longer than ``RULE_CHARS``, are refused.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRIE_RULES = 200_000
-RULE_CHARS = 4096  # so that a trie has a bounded size in bytes too
+TRIE_CHARS = 8 << 20
+RULE_CHARS = 4096
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = str.maketrans(UPPER, UPPER.lower())
@@ -94,6 +95,18 @@ class HostTrie:
         return best
 
 
+def _parts(rules: list[Rule], most: int) -> Iterator[list[Rule]]:
+    part, chars = [], 0
+    for rule in rules:
+        if part and (len(part) >= most or chars + len(rule.text) > TRIE_CHARS):
+            yield part
+            part, chars = [], 0
+        part.append(rule)
+        chars += len(rule.text)
+    if part:
+        yield part
+
+
 def judge_urls(pages: DataFrame, rules: Iterable[Rule], default: str = "allow",
                url: str = "url", trie_rules: int = TRIE_RULES) -> DataFrame:
     """``pages`` with host, path, rule and verdict; columns of these names are replaced."""
@@ -110,8 +123,8 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], default: str = "allow",
     judged = pages.select(*kept, host.alias("host"), path.alias("path"))
     best = F.lit(None).cast("struct<labels:int,length:int,rule:string,verdict:string>")
     judged = judged.withColumn("_best", best)
-    for start in range(0, len(rules), trie_rules):
-        trie = spark.sparkContext.broadcast(HostTrie(rules[start:start + trie_rules]))
+    for part in _parts(rules, trie_rules):
+        trie = spark.sparkContext.broadcast(HostTrie(part))
         match = _matcher(trie)
         judged = (judged.withColumn("_found", match("host", "path"))
                   .withColumn("_best", F.when(
