@@ -40,10 +40,11 @@ BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 SMOOTHING = 0.5
 BLOCK = 1 << 20  # bytes of a text whose n-grams are held at once
-# Below this share of the decoding's belief the answer is called ambiguous.
-AMBIGUOUS = 0.5
+# Below this share of the belief the answer is called ambiguous. A text of two languages in equal
+# parts still has one of them for half; only less than that says nothing.
+AMBIGUOUS = 0.4
 UNKNOWN = "und"
-MAX_LANGUAGES = 1000  # languages a model is built for; more are an error, as labels must be wrong
+MAX_LANGUAGES = 250  # languages a model is built for; more are an error, as labels must be wrong
 EXHAUSTIVE = 7  # up to so many languages get all possible bits
 
 
@@ -133,12 +134,18 @@ def held_out(doc_id: Column | str) -> Column:
 def training_sample(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> DataFrame:
     """(lang, text) of at most ``per_language`` documents per language, by hash of the id.
 
-    Each task cuts its own rows to that number before they are shuffled, and only ids are.
+    Of a language with many documents only those whose hash is in its lowest part are ranked,
+    about twice as many as are wanted, and only ids are shuffled.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                            & F.col("text").isNotNull() & ~held_out("doc_id"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("lang", "doc_id").withColumn("_place", F.row_number().over(order))
+    ids = labelled.select("lang", "doc_id").withColumn("_hash", F.xxhash64("doc_id"))
+    counts = materialise(ids.groupBy("lang").agg(F.count("*").alias("_all")), "languages")
+    # Hashes run evenly from -2^63 to 2^63.
+    low = F.col("_hash") / F.lit(2.0 ** 64) + 0.5 <= F.lit(2.0 * per_language) / F.col("_all")
+    order = Window.partitionBy("lang").orderBy("_hash", "doc_id")
+    chosen = ids.join(counts, "lang").filter(low).select(
+        "lang", "doc_id", F.row_number().over(order).alias("_place"))
     chosen = materialise(chosen.filter(F.col("_place") <= per_language).select(
         "lang", "doc_id").distinct(), "chosen")
     return materialise(labelled.select("doc_id", "lang", "text").join(
