@@ -38,7 +38,7 @@ SHARE = 1.5
 MOST = 2.0
 ITERATIONS = 60
 TOLERANCE = 1e-4  # of a source's target
-SLOT_ROWS = 20_000
+SLOT_ROWS = 2000
 EXACT = "decimal(38,6)"
 
 
