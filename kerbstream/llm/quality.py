@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbstream.llm.common import map_texts
 from kerbstream.session import materialise
@@ -136,14 +137,13 @@ def _group_names(rows: DataFrame, min_group: int) -> DataFrame:
     counts = materialise(counts, "group-sizes")
     small = counts.filter(F.col("n") < min_group)
     pools = small.groupBy("_lang").agg(F.sum("n").alias("pool")).withColumnRenamed("_lang", "_in")
-    rest = pools.filter(F.col("pool") < min_group).agg(F.sum("pool").alias("rest"))
+    rest = pools.filter(F.col("pool") < min_group).agg(F.sum("pool")).scalar()
     name = lambda *parts: F.to_json(F.array(*parts))
     return (counts.join(pools, F.col("_lang").eqNullSafe(F.col("_in")), "left")
-            .join(F.broadcast(rest))  # one row
             .select("_lang", "_source",
                     F.when(F.col("n") >= min_group, name(F.lit("own"), "_lang", "_source"))
                     .when(F.col("pool") >= min_group, name(F.lit("pool"), "_lang"))
-                    .when(F.col("rest") >= min_group, name(F.lit("rest"))).alias("group")))
+                    .when(rest >= min_group, name(F.lit("rest"))).alias("group")))
 
 
 # ---- estimates ------------------------------------------------------------------------------
@@ -264,45 +264,70 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS, settled: float = SETTL
 
 # ---- the operator ---------------------------------------------------------------------------
 
-def _judged(measured: DataFrame, min_group: int) -> DataFrame:
-    """``measured`` with base_failed, distance and kept."""
-    known = materialise(measured.withColumns(
-        _vector() | {"base_failed": base_failed(F.col("n_words"), F.col("n_repeat_words"))}),
-        "statistics")
-    passed = known.filter(~F.col("base_failed"))
+def _with_group(rows: DataFrame, names: DataFrame) -> DataFrame:
+    return rows.join(names, F.col("lang").eqNullSafe(F.col("_lang"))
+                     & F.col("source").eqNullSafe(F.col("_source")), "left").drop(
+        "_lang", "_source")
+
+
+def _described(measured: DataFrame) -> DataFrame:
+    return measured.withColumns(
+        _vector() | {"base_failed": base_failed(F.col("n_words"), F.col("n_repeat_words"))})
+
+
+def fitted(described: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
+    """The group of each language and source, and the groups' estimates."""
+    passed = described.filter(~F.col("base_failed")).select("lang", "source", *VECTOR)
     names = materialise(_group_names(passed, min_group), "group-names")
-    grouped = materialise(known.join(
-        names, F.col("lang").eqNullSafe(F.col("_lang"))
-        & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source"), "grouped")
-    fitted = grouped.filter(~F.col("base_failed") & F.col("group").isNotNull()).select(
-        "group", *VECTOR)
-    estimates = robust_estimates(fitted)
-    # "left": rows of unknown groups stay, and so do failed ones.
-    placed = grouped.join(estimates, "group", "left").withColumn("distance", _distance())
+    # The steps read nothing but groups and vectors.
+    vectors = materialise(_with_group(passed, names).filter(F.col("group").isNotNull()).select(
+        "group", *VECTOR), "vectors")
+    return names, robust_estimates(vectors)
+
+
+def judged(described: DataFrame, names: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``described`` with group, distance and kept. Rows of unknown groups stay, if the fixed
+    rules let them."""
+    placed = _with_group(described, names).join(estimates, "group", "left").withColumn(
+        "distance", _distance())
     kept = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF))
-    return placed.withColumn("kept", kept)
+    return placed.withColumn("kept", kept).drop("mean", "root", "logdet")
 
 
-def _measured(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
-    return map_texts(docs, list(keep), text, f"{BASE}, {MORE}", _statistics_batch, binary=True)
+def _measured(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    return map_texts(docs, keep, text, f"{BASE}, {MORE}", _statistics_batch, binary=True)
 
 
 def judged_documents(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
     """doc_id, lang, source, the statistics, base_failed, distance and kept of each document."""
-    judged = _judged(_measured(docs, text, ("doc_id", "lang", "source")), min_group)
-    return judged.drop("mean", "root", "logdet")
+    described = materialise(
+        _described(_measured(docs, text, ["doc_id", "lang", "source"])), "statistics")
+    return judged(described, *fitted(described, min_group))
 
 
 def kept_documents(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
     """``docs`` without the documents that fail.
 
-    Only the numbers of rows that go are joined to the texts, which are written once with them.
+    The statistics are taken twice, to fit and to judge, so that no copy of the texts is written.
+    Documents are judged where they lie, by the table of estimates; texts are not shuffled
+    unless that table is too large to broadcast.
     """
-    rows = materialise(docs.select(
-        F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("number")),
-        "numbered-rows")
-    slim = rows.select("number", F.col("row.lang").alias("lang"),
-                       F.col("row.source").alias("source"), F.col(f"row.{text}").alias("text"))
-    judged = _judged(_measured(slim, "text", ("number", "lang", "source")), min_group)
-    gone = materialise(judged.filter(~F.col("kept")).select("number"), "rejected")
-    return rows.join(gone, "number", "left_anti").select("row.*")
+    slim = materialise(_described(_measured(docs, text, ["lang", "source"])), "statistics")
+    names, estimates = fitted(slim, min_group)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("lang"), F.col("source"),
+                        F.col(text).cast("binary").alias("text"))
+    measured = whole.select("row", "lang", "source", _statistics_of()("text").alias("s"))
+    described = _described(measured.select("row", "lang", "source", "s.*"))
+    return judged(described, names, estimates).filter("kept").select("row.*")
+
+
+def _statistics_of():
+    fields = T.StructType.fromDDL(f"{BASE}, {MORE}")
+
+    @F.arrow_udf(fields)
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.int64()) for c in _statistics_batch(texts.to_pylist())], fields.names)
+
+    # Else Spark would move part of the filter below it and evaluate it once more for that.
+    return of.asNondeterministic()
