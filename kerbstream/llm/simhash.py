@@ -45,8 +45,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 
-SAMPLE = 1 << 18  # fingerprints that shape the tree of shards
-SAMPLE_PER_SHARD = 64
+SAMPLE_PER_SHARD = 64  # fingerprints that shape the tree of shards
 SHARD_ROWS = 4096  # home fingerprints of a shard, until there are SHARDS of them
 SHARDS = 256  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
 LARGE_SHARD = 1 << 20
@@ -127,7 +126,8 @@ def _choose(points: np.ndarray, max_bits: int, tries: int = 8) -> tuple[np.uint6
 
 
 def shard_tree(sample: np.ndarray, shards: int, max_bits: int = MAX_BITS) -> Split | int:
-    """Split the fullest part until there are ``shards`` or nothing can be separated."""
+    """Split until there are ``shards``, dealt to both sides by their points, or nothing can be
+    separated."""
     number = iter(range(shards))
 
     def grow(points: np.ndarray, leaves: int):
@@ -237,14 +237,11 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
                ) -> DataFrame:
     """(a, b): links between distinct fingerprints whose components are the near-duplicates."""
     rows = distinct.count()
-    keep = max(1, -(-rows // SAMPLE))
-    # About SAMPLE fingerprints at most, chosen by hash; a fixed bound whatever the table.
-    sample = np.array([r[0] for r in distinct.filter(
-        F.pmod(F.xxhash64("fingerprint"), F.lit(keep)) == 0).select("fingerprint").orderBy(
-        F.xxhash64("fingerprint")).limit(2 * SAMPLE).collect()], np.int64).view(np.uint64)
-    wanted = max(min(-(-rows // shard_rows), SHARDS), -(-rows // LARGE_SHARD))
-    shards = max(1, min(wanted, len(sample) // SAMPLE_PER_SHARD))
-    tree = distinct.sparkSession.sparkContext.broadcast(shard_tree(sample, shards, max_bits))
+    shards = max(min(-(-rows // shard_rows), SHARDS), -(-rows // LARGE_SHARD))
+    sample = _sample(distinct, rows, shards * SAMPLE_PER_SHARD) if shards > 1 else np.empty(
+        0, np.uint64)
+    tree = distinct.sparkSession.sparkContext.broadcast(
+        shard_tree(sample, max(shards, 1), max_bits))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -264,6 +261,15 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
     return dealt.groupBy("shard").applyInPandas(join, "a long, b long")
 
 
+def _sample(distinct: DataFrame, rows: int, size: int) -> np.ndarray:
+    """About ``size`` of the fingerprints, by hash: one in 64 of a small table, and one in 16,384
+    of a large one. They shape the tree and decide nothing else."""
+    chosen = distinct.filter(F.pmod(
+        F.xxhash64("fingerprint"), F.lit(max(1, rows // size))) == 0)
+    found = chosen.select("fingerprint").limit(2 * size).collect()
+    return np.array([r[0] for r in found], np.int64).view(np.uint64)
+
+
 def near_groups(prints: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
                 ) -> DataFrame:
     """One row per distinct fingerprint of ``prints`` (doc_id, fingerprint): doc_id, the
