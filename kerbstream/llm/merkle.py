@@ -116,11 +116,11 @@ def _neighbours(docs: DataFrame) -> DataFrame:
     characters the edited text of that one takes. Ids and sizes only."""
     ids = docs.groupBy("doc_id").agg(F.max("half").alias("half"))
     places = materialise(numbered(ids, "doc_id"), "places")
-    last = places.agg(F.count("*").alias("last"))
+    last = places.agg(F.count("*")).scalar()
     after = places.select(F.col("doc_id").alias("next_id"), F.col("position").alias("_at"))
-    before = places.join(F.broadcast(last)).select(  # one row
+    before = places.select(
         F.col("doc_id").alias("before_id"), F.col("half").alias("wanted"),
-        (F.col("position") % F.col("last") + 1).alias("_at"))
+        (F.col("position") % last + 1).alias("_at"))
     return materialise(after.join(before, "_at").drop("_at"), "neighbours")
 
 

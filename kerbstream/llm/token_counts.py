@@ -94,7 +94,7 @@ class PieceCounter:
             for part, off in self.parts(text or ""):
                 batch.append(part)
                 owners.append((i, off))
-                held += len(part)
+                held += len(part.encode())
                 if held >= self.batch_bytes:
                     self._add(totals, batch, owners)
                     batch, owners, held = [], [], 0
