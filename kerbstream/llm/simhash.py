@@ -47,8 +47,8 @@ SEED = 42
 
 SAMPLE_PER_SHARD = 64  # fingerprints that shape the tree of shards
 SHARD_ROWS = 4096  # home fingerprints of a shard, until there are SHARDS of them
-SHARDS = 256  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
-LARGE_SHARD = 1 << 20
+SHARDS = 16  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
+LARGE_SHARD = 1 << 18
 LEAF_ROWS = 256  # compared each with each
 BLOCK = 1 << 16  # shingles whose bits are counted at once
 PAIR_BLOCK = 1 << 20  # links held before they are reduced to a forest
@@ -262,7 +262,7 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
 
 
 def _sample(distinct: DataFrame, rows: int, size: int) -> np.ndarray:
-    """About ``size`` of the fingerprints, by hash: one in 64 of a small table, and one in 16,384
+    """About ``size`` of the fingerprints, by hash: one in 64 of a small table, and one in 4096
     of a large one. They shape the tree and decide nothing else."""
     chosen = distinct.filter(F.pmod(
         F.xxhash64("fingerprint"), F.lit(max(1, rows // size))) == 0)
