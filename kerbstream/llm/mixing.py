@@ -172,15 +172,16 @@ def rounded(rates: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
 
 
 def mixed(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
-          share: float = SHARE, most: float = MOST) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies and taken of each document."""
-    sizes = materialise(word_counts(docs, text), "sizes")
+          share: float = SHARE, most: float = MOST, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate, copies and taken of each document, and the
+    columns ``also``, which decide nothing."""
+    sizes = materialise(word_counts(docs, text, ("doc_id", "source", *also)), "sizes")
     duals = solve_duals(sizes, source_targets(sizes, weights, share, most), most)
     duals = materialise(duals.withColumnRenamed("source", "_source"), "solved")
     rate = F.when(F.col("dual") == float("inf"), F.lit(most)).otherwise(
         tilted(F.col("dual"), F.col("size"), F.col("mean"), most))
     rates = sizes.join(duals, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "source", "size", "documents", "source_size", "target",
+        "doc_id", "source", *also, "size", "documents", "source_size", "target",
         F.round(rate, 9).alias("rate"))
     return rounded(rates).withColumn("taken", F.col("copies") * F.col("size"))
 
@@ -190,15 +191,16 @@ def repeated(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEI
     """``docs`` with each row as often as the mix takes it, which may be never.
 
     Rows are written with a number of their own first, so that each finds its own decision,
-    also where ids are missing or repeated.
+    also where ids are missing or repeated. The decision depends on ids and sizes only, not on
+    the numbers, so reruns agree.
     """
     numbered_rows = materialise(docs.select(
         F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("number")),
         "numbered-rows")
-    slim = numbered_rows.select(F.col("number").alias("doc_id"), F.col("row.source").alias("source"),
+    slim = numbered_rows.select("number", "row.doc_id", "row.source",
                                 F.col(f"row.{text}").alias("text"))
-    taken = mixed(slim, "text", weights, share, most).filter("copies > 0").select(
-        F.col("doc_id").alias("number"), "copies")
+    taken = mixed(slim, "text", weights, share, most, ("number",)).filter("copies > 0").select(
+        "number", "copies")
     return (numbered_rows.join(taken, "number")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("row.*"))
