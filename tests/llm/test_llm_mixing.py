@@ -76,6 +76,13 @@ def test_reruns_agree(make_docs, rows):
     assert a == b
 
 
+def test_reruns_of_the_stage_agree_in_any_order_of_rows(make_docs, rows):
+    rows = [*rows, (7, "same row", None, "x"), (7, "same row", None, "x")]
+    a, b = (Counter(map(tuple, mx.repeated(make_docs(r).repartition(n)).collect()))
+            for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert a == b
+
+
 def test_rounding_in_slots(spark):
     chance = random.Random(6)
     data = [(i, "s", 5000, chance.randint(0, 50), 0.3 + chance.random() * 1.7) for i in range(5000)]
