@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language, or between languages, go."""
+    """Documents in no language go. Those of two languages stay, also where op7 flags them."""
     prepare(spark)
     return language.in_a_language(docs)
 

@@ -5,7 +5,14 @@ says whether a text's language has +1 there. The predicted language is the one w
 nearest to the classifiers' margins under loss-weighted decoding: the sum over bits of the
 logistic loss of (codeword bit * margin), weighted by how often that bit was right for that
 language on the training texts. Codewords differ in several bits, so a few wrong bits do no harm.
-A text whose best two languages are too close is flagged as ambiguous.
+
+A text whose best two languages are too close is flagged as ambiguous. Margins are means over
+n-grams, so those of a text in two languages lie on the line between the two languages' typical
+margins, the means of their training texts, as far along it as the text is divided. A text is
+flagged if less than ``BETWEEN`` of the way, or of the belief, is the best language's beside any
+other one. A flag rejects nothing: the text keeps the label of its larger part.
+``in_a_language`` drops only texts without a language or with a score under ``NO_LANGUAGE``,
+which many languages must share.
 
 A bit's classifier is the mean log odds of the text's n-grams between the languages with +1 and
 those with -1, each language weighing the same, however many texts it has. Its margin is divided
@@ -40,9 +47,12 @@ BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 SMOOTHING = 0.5
 BLOCK = 1 << 20  # bytes of a text whose n-grams are held at once
-# Below this share of the belief the answer is called ambiguous. A text of two languages in equal
-# parts still has one of them for half; only less than that says nothing.
-AMBIGUOUS = 0.4
+# An answer with less than this share beside any one other language is called ambiguous: halves,
+# and parts up to about one third to two thirds.
+BETWEEN = 2 / 3
+# With less than this share of the whole belief a text is in no language. One of two languages in
+# equal parts still has half of it.
+NO_LANGUAGE = 0.4
 UNKNOWN = "und"
 MAX_LANGUAGES = 250  # languages a model is built for; more are an error, as labels must be wrong
 EXHAUSTIVE = 7  # up to so many languages get all possible bits
@@ -102,6 +112,7 @@ class CodeModel:
     odds: np.ndarray  # (buckets, bits): log odds of each n-gram
     spread: np.ndarray  # (bits,)
     trust: np.ndarray  # (languages, bits): rows sum to 1
+    typical: np.ndarray | None = None  # (languages, bits): mean margins of the training texts
 
     def margins(self, text: str) -> np.ndarray:
         total, count = np.zeros(self.code.shape[1]), 0
@@ -110,16 +121,30 @@ class CodeModel:
             count += len(buckets)
         return total / max(count, 1) / self.spread
 
-    def decode(self, margins: np.ndarray) -> tuple[str, float]:
-        """The nearest language and the belief in it, a softmax over negative losses."""
+    def decode(self, margins: np.ndarray) -> tuple[str, float, bool]:
+        """The nearest language, the belief in it, a softmax over negative losses, and whether
+        it is ambiguous."""
         loss = (self.trust * np.logaddexp(0.0, -self.code * margins)).sum(axis=1)
         belief = np.exp((loss.min() - loss) * self.code.shape[1])
         best = int(loss.argmin())  # the first by name if two are equal
-        return self.languages[best], float(belief[best] / belief.sum())
-
-    def predict(self, text: str | None) -> tuple[str, float]:
+        score = float(belief[best] / belief.sum())
+        return self.languages[best], score, score < NO_LANGUAGE or self._between(
+            margins, belief, best)
+
+    def _between(self, margins: np.ndarray, belief: np.ndarray, best: int) -> bool:
+        """Whether the text, or the belief, is divided between ``best`` and another language."""
+        others = np.arange(len(belief)) != best
+        if (belief[best] < BETWEEN * (belief[best] + belief[others])).any():
+            return True
+        if self.typical is None:
+            return False
+        way = self.typical[best] - self.typical[others]
+        gone = ((margins - self.typical[others]) * way).sum(axis=1)
+        return bool((gone < BETWEEN * (way * way).sum(axis=1)).any())
+
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
         if text is None or not self.languages or not has_letter(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         return self.decode(self.margins(text))
 
 
@@ -191,8 +216,8 @@ def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> CodeModel:
 
 
 def _calibrated(model: CodeModel, sample: DataFrame) -> CodeModel:
-    """Measure each bit on the training texts: its spread, and how often it is right for each
-    language."""
+    """Measure each bit on the training texts: its spread, and for each language how often it is
+    right and its mean margin."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
     bits = model.code.shape[1]
 
@@ -203,21 +228,23 @@ def _calibrated(model: CodeModel, sample: DataFrame) -> CodeModel:
             for lang, text in zip(batch["lang"], batch["text"]):
                 margins = own.margins(text)
                 yield pd.DataFrame({
-                    "lang": lang, "bit": np.arange(bits), "size": np.abs(margins),
+                    "lang": lang, "bit": np.arange(bits), "size": np.abs(margins), "margin": margins,
                     "right": (margins * own.code[place[lang]] > 0).astype(float)})
 
-    seen = (sample.mapInPandas(measure, "lang string, bit int, size double, right double")
-            .groupBy("lang", "bit").agg(F.avg("size").alias("size"), F.avg("right").alias("right"))
-            .toPandas())
+    measured = ("size", "margin", "right")
+    seen = (sample.mapInPandas(
+                measure, "lang string, bit int, size double, margin double, right double")
+            .groupBy("lang", "bit").agg(*[F.avg(c).alias(c) for c in measured]).toPandas())
     place = {lang: i for i, lang in enumerate(model.languages)}
     rows, columns = seen["lang"].map(place).to_numpy(int), seen["bit"].to_numpy(int)
-    size, right = np.zeros(model.code.shape), np.zeros(model.code.shape)
-    size[rows, columns], right[rows, columns] = seen["size"], seen["right"]
+    size, margin, right = (np.zeros(model.code.shape) for _ in measured)
+    for into, name in zip((size, margin, right), measured):
+        into[rows, columns] = seen[name]
     trust = np.maximum(right, 1e-3)
     # A typical margin becomes 3: sure, but not beyond being outvoted.
     spread = np.maximum(np.round(size.mean(axis=0), 9) / 3, 1e-9)
     return CodeModel(model.languages, model.code, model.odds, spread,
-                     trust / trust.sum(axis=1, keepdims=True))
+                     trust / trust.sum(axis=1, keepdims=True), np.round(margin, 9) / spread)
 
 
 # ---- the operator ---------------------------------------------------------------------------
@@ -229,10 +256,10 @@ def predicted(docs: DataFrame, model: CodeModel, text: str = "text",
 
     def predict(texts: list[str | None]) -> list[list]:
         found = [shared.value.predict(t) for t in texts]
-        return [[lang for lang, _ in found], [score for _, score in found]]
+        return [list(column) for column in zip(*found)] if found else [[], [], []]
 
-    return map_texts(docs, list(keep), text, "lang_pred string, score double", predict).withColumn(
-        "ambiguous", F.col("score") < AMBIGUOUS)
+    return map_texts(docs, list(keep), text,
+                     "lang_pred string, score double, ambiguous boolean", predict)
 
 
 def identified(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> DataFrame:
@@ -243,7 +270,8 @@ def identified(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> DataF
 
 
 def in_a_language(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> DataFrame:
-    """``docs`` without those in no language: ``und``, or ambiguous between languages."""
+    """``docs`` without those in no language: ``und``, or a score under ``NO_LANGUAGE``. Texts of
+    two languages stay, also where the flag is set."""
     model = train(docs, per_language)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -251,6 +279,6 @@ def in_a_language(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> Da
     @F.arrow_udf("boolean")
     def sure(texts: pa.Array) -> pa.Array:
         found = [shared.value.predict(t) for t in texts.to_pylist()]
-        return pa.array([lang != UNKNOWN and score >= AMBIGUOUS for lang, score in found])
+        return pa.array([lang != UNKNOWN and score >= NO_LANGUAGE for lang, score, _ in found])
 
     return whole.filter(sure("text")).select("row.*")

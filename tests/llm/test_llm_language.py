@@ -120,3 +120,29 @@ def test_one_language_none_and_no_rows(make_docs):
     none = lg.identified(make_docs([(1, "some words")])).collect()
     assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
     assert lg.identified(make_docs([])).collect() == []
+
+
+def test_halves_of_two_languages_are_ambiguous_and_stay(make_docs, rows):
+    chance = random.Random(5)
+    pairs = [(a, b) for a in SYLLABLES for b in SYLLABLES if a != b]
+    halves = [(1000 + i, text(chance, a) + " " + text(chance, b), None, None)
+              for i, (a, b) in enumerate(pairs)]
+    mostly = [(2000 + i, text(chance, a, 90) + " " + text(chance, b, 10), None, None)
+              for i, (a, b) in enumerate(pairs)]
+    docs = make_docs(rows + halves + mostly)
+    got = {r.doc_id: r for r in lg.identified(docs).collect()}
+    assert all(got[1000 + i].ambiguous and got[1000 + i].lang_pred in pair
+               for i, pair in enumerate(pairs))
+    assert all(not got[2000 + i].ambiguous and got[2000 + i].lang_pred == a
+               for i, (a, _) in enumerate(pairs))
+    # The stage's rejection has a bound of its own.
+    assert {r.doc_id for r in lg.in_a_language(docs).collect()} == set(got)
+
+
+def test_two_learned_languages_can_be_ambiguous(make_docs, rows):
+    chance = random.Random(6)
+    two = [r for r in rows if r[2] in ("en", "de")]
+    halves = [(1000 + i, text(chance, "en") + " " + text(chance, "de"), None, None)
+              for i in range(10)]
+    got = {r.doc_id: r.ambiguous for r in lg.identified(make_docs(two + halves)).collect()}
+    assert got == {r[0]: r[0] >= 1000 for r in two + halves}
