@@ -12,8 +12,10 @@ d <= t + k. That is the triangle bound which prunes branches, and it is all that
    meets in exactly one shard, the home of one of them.
 2. In a shard, home points and visitors go down a tree of their own in the same way, all at once,
    until few enough are left to compare each with each.
-3. A shard returns its links as a forest, not as pairs: no more links than points.
-4. The forests' connected components are the groups.
+3. A shard with too many points for one task (a tight ball, which no vantage point splits) is
+   cut into blocks by hash, and each pair of blocks is a task of its own.
+4. A task returns its links as a forest, not as pairs: no more links than points.
+5. The forests' connected components are the groups.
 
 The sample only decides how even the shards are; the result is exact with any tree.
 
@@ -49,6 +51,7 @@ SAMPLE_PER_SHARD = 64  # fingerprints that shape the tree of shards
 SHARD_ROWS = 4096  # home fingerprints of a shard, until there are SHARDS of them
 SHARDS = 16  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
 LARGE_SHARD = 1 << 18
+LARGE_VISITS = 1 << 21  # visitors of a shard that one task compares with its home points
 LEAF_ROWS = 256  # compared each with each
 BLOCK = 1 << 16  # shingles whose bits are counted at once
 PAIR_BLOCK = 1 << 20  # links held before they are reduced to a forest
@@ -165,10 +168,11 @@ def route(tree: Split | int, points: np.ndarray, max_bits: int = MAX_BITS
 
 # ---- inside a shard -------------------------------------------------------------------------
 
-def linked(home: np.ndarray, visitors: np.ndarray, max_bits: int = MAX_BITS
+def linked(home: np.ndarray, visitors: np.ndarray, max_bits: int = MAX_BITS, within: bool = True
            ) -> tuple[np.ndarray, np.ndarray]:
     """A forest over points (home first, then visitors) whose trees hold all links that
-    have a home point at one end: (node, root) for each node that is not a root."""
+    have a home point at one end: (node, root) for each node that is not a root. Without
+    ``within`` only those that have a visitor at the other."""
     points = np.concatenate([home, visitors])
     labels = np.arange(len(points))
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -197,17 +201,18 @@ def linked(home: np.ndarray, visitors: np.ndarray, max_bits: int = MAX_BITS
     todo = [(np.arange(len(home)), np.arange(len(home), len(points)))]
     while todo:
         own, others = todo.pop()
-        if not len(own):
+        if not len(own) or not (within or len(others)):
             continue
         chosen = _choose(points[own], max_bits) if len(own) > LEAF_ROWS else None
         if chosen is None:
-            compare(own, own)
+            if within:
+                compare(own, own)
             compare(others, own)
             continue
         vantage, bound = chosen
         d = _distances(points[own], vantage).astype(np.int16)
         e = _distances(points[others], vantage).astype(np.int16)
-        near = own[(d <= bound) & (d > bound - max_bits)]
+        near = own[(d <= bound) & (d > bound - max_bits)] if within else own[:0]
         todo.append((own[d <= bound], others[e <= bound + max_bits]))
         todo.append((own[d > bound], np.concatenate([others[e > bound - max_bits], near])))
     reduce()
@@ -250,15 +255,49 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
                 yield pd.DataFrame({"shard": np.int32(shard), "home": home,
                                     "fingerprint": group.view(np.int64)})
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
+    def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         values = group["fingerprint"].to_numpy(np.int64).view(np.uint64)
         home = group["home"].to_numpy(bool)
-        a, b = linked(values[home], values[~home], max_bits)
+        a, b = linked(values[home], values[~home], max_bits, key[1] == key[2])
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    dealt = distinct.select("fingerprint").mapInPandas(
-        deal, "shard int, home boolean, fingerprint long")
-    return dealt.groupBy("shard").applyInPandas(join, "a long, b long")
+    dealt = materialise(distinct.select("fingerprint").mapInPandas(
+        deal, "shard int, home boolean, fingerprint long"), "dealt")
+    return tiles(dealt, LARGE_SHARD, LARGE_VISITS).groupBy(
+        "shard", "first", "second").applyInPandas(join, "a long, b long")
+
+
+def tiles(dealt: DataFrame, home_rows: int, visits: int) -> DataFrame:
+    """``dealt`` (shard, home, fingerprint) with first and second, the blocks whose points a task
+    compares; first alone if both are equal.
+
+    A shard of more than ``home_rows`` home points or ``visits`` visitors is cut into blocks of
+    about so many, home points first. A point goes to the tasks of all home blocks, a home point
+    to those of all visitors as well; ``home`` tells whether it is on the first side.
+    """
+    part = lambda n, most: F.greatest(F.lit(1), F.ceil(n / F.lit(float(most))).cast("int"))
+    cut = materialise(dealt.groupBy("shard").agg(
+        part(F.count_if("home"), home_rows).alias("_homes"),
+        part(F.count_if(~F.col("home")), visits).alias("_visits")).filter(
+        "_homes > 1 OR _visits > 1"), "cut-shards")
+    if not cut.limit(1).count():
+        return dealt.withColumns({"first": F.lit(0), "second": F.lit(0)})
+    cut_rows = dealt.join(F.broadcast(cut), "shard").withColumn("_block", F.pmod(  # a row per shard
+        F.xxhash64("fingerprint"), F.when(F.col("home"), F.col("_homes")).otherwise(
+            F.col("_visits"))).cast("int"))
+    pair = lambda a, b: F.struct(a.alias("first"), b.alias("second"))
+    block, homes = F.col("_block"), F.col("_homes")
+    each = lambda n, make: F.transform(F.sequence(F.lit(0), n - 1), make)
+    tasks = F.when(F.col("home"), F.concat(
+        each(homes, lambda k: pair(F.least(block, k), F.greatest(block, k))),
+        each(F.col("_visits"), lambda v: pair(block, homes + v)))).otherwise(
+        each(homes, lambda k: pair(k, homes + block)))
+    tiled = cut_rows.withColumn("_task", F.explode(tasks)).select(
+        "shard", (F.col("home") & (block == F.col("_task.first"))).alias("home"), "fingerprint",
+        "_task.first", "_task.second")
+    whole = dealt.join(F.broadcast(cut), "shard", "left_anti").withColumns(
+        {"first": F.lit(0), "second": F.lit(0)})
+    return whole.unionByName(tiled)
 
 
 def _sample(distinct: DataFrame, rows: int, size: int) -> np.ndarray:

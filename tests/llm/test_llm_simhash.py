@@ -189,3 +189,47 @@ def test_components(spark):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_ball_is_dealt_in_pairs_of_blocks(spark, monkeypatch):
+    chance = random.Random(8)
+    centre, points = chance.getrandbits(64), set()
+    while len(points) < 700:  # a ball, and strays that may be linked or not
+        bits = chance.sample(range(64), chance.randint(1, 6))
+        points.add((centre if len(points) < 600 else chance.getrandbits(64)) ^ sum(1 << b for b in bits))
+    points = np.array(sorted(points), np.uint64)
+    distinct = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fingerprint long")
+
+    def groups():
+        found = {}
+        for r in components(sh.near_links(distinct)).collect():
+            found.setdefault(r.component, set()).add(r.node)
+        return sorted(map(sorted, found.values()))
+
+    whole = groups()
+    dealt = []
+    tiles = sh.tiles
+    monkeypatch.setattr(sh, "tiles", lambda rows, *_: dealt.append(tiles(rows, 100, 150)) or dealt[0])
+    monkeypatch.setattr(sh, "SHARD_ROWS", 400)
+    assert groups() == whole and len(max(whole, key=len)) > 300
+    sizes = dealt[0].groupBy("shard", "first", "second").count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 350
+
+
+def test_blocks_with_visitors_find_the_same_links(spark):
+    chance = random.Random(9)
+    centre = chance.getrandbits(64)
+    points = list({centre ^ sum(1 << b for b in chance.sample(range(64), chance.randint(1, 4)))
+                   for _ in range(500)})
+    rows = [(i % 2, i % 3 > 0, int(np.uint64(p).view(np.int64))) for i, p in enumerate(points)]
+    dealt = spark.createDataFrame(rows, "shard int, home boolean, fingerprint long")
+    met = {}
+    for r in sh.tiles(dealt, 60, 40).collect():
+        met.setdefault((r.shard, r.first, r.second), ([], []))[not r.home].append(r.fingerprint)
+    found = set()
+    for (_, first, second), (a, b) in met.items():
+        pairs = [(x, y) for x in a for y in b] + (
+            [(x, y) for x in a for y in a if x != y] if first == second else [])
+        found.update(frozenset(p) for p in pairs)
+    want = {frozenset((x, y)) for s, h, x in rows for t, _, y in rows if s == t and h and x != y}
+    assert found == want
