@@ -137,11 +137,27 @@ def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(MAP_SCHEMA).parquet(f"{path}/v={version}")
 
 
+def latest_map(spark: SparkSession, path: str) -> tuple[int, list[Slot]] | None:
+    """The newest version at ``path`` and its slots, or None. A version without rows, of a write
+    that broke off, does not count."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+    for version in sorted((int(n[2:]) for n in names if n[:2] == "v=" and n[2:].isdigit()),
+                          reverse=True):
+        rows = read_map(spark, path, version).orderBy("slot").collect()  # at most MAX_SLOTS
+        if rows:
+            return version, [Slot(r.slot, r.shard, r.bytes, r.rows) for r in rows]
+    return None
+
+
 def sharded(docs: DataFrame, shards: int, slots: int = SLOTS,
             map_path: str | None = None) -> DataFrame:
     """Each row's shard by bytes, and its place in the shard.
 
-    Version 1 of the map deals slots in turn, version 2 is rebalanced by the counted bytes.
+    Version 1 of the map deals slots in turn, version 2 is rebalanced by the counted bytes. If
+    ``map_path`` holds a map, its latest version gets the new bytes and is rebalanced, also to more
+    shards, as the next version; slots that need not move stay. Without a path the map is new.
     Within a slot rows are numbered by (doc_id, text_crc32, size); a slot's first number is the
     rows of the shard's earlier slots, which the map knows. So no task numbers a whole shard.
     """
@@ -150,13 +166,19 @@ def sharded(docs: DataFrame, shards: int, slots: int = SLOTS,
     rows = materialise(measured(docs, slots), "measured")  # read twice; texts only once
     # One row per slot: at most MAX_SLOTS.
     loads = {r.slot: (r.bytes, r.rows) for r in slot_loads(rows).collect()}
-    start = first_map(loads, shards, slots)
-    write_map(spark, start, 1, path)
-    write_map(spark, rebalanced(start, shards), 2, path)
+    version, stored = latest_map(spark, path) or (1, None)
+    if stored is None:
+        start = first_map(loads, shards, slots)
+        write_map(spark, start, 1, path)
+    elif len(stored) != slots:
+        raise ValueError(f"the map at {path} has {len(stored)} slots, not {slots}")
+    else:
+        start = with_loads(stored, loads)
+    write_map(spark, rebalanced(start, shards), version + 1, path)
 
     in_shard = Window.partitionBy("shard").orderBy("slot").rowsBetween(
         Window.unboundedPreceding, -1)
-    placed = read_map(spark, path, 2).select(
+    placed = read_map(spark, path, version + 1).select(
         F.col("slot").alias("virtual_slot"), "shard",
         F.coalesce(F.sum("rows").over(in_shard), F.lit(0)).alias("_before"))
     in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")

@@ -79,3 +79,29 @@ def test_slots_never_change(spark, make_docs):
 
 def test_empty_table(make_docs):
     assert sh.sharded(make_docs([]), 8).collect() == []
+
+
+def test_a_stored_map_is_edited(spark, make_docs, tmp_path):
+    path, slots = str(tmp_path / "map"), 64
+    chance = random.Random(3)
+    rows = [(i, "x" * chance.randint(1, 300)) for i in range(600)]
+    sh.sharded(make_docs(rows), 4, slots, path).collect()
+    kept = {r.slot: r.shard for r in sh.read_map(spark, path, 2).collect()}
+    # More rows: version 3 moves few slots of version 2, which stays readable.
+    rows += [(1000 + i, "y" * chance.randint(1, 300)) for i in range(60)]
+    got = sh.sharded(make_docs(rows), 4, slots, path).collect()
+    assert len(got) == len(rows)
+    third = {r.slot: r for r in sh.read_map(spark, path, 3).collect()}
+    assert all(third[r.virtual_slot].shard == r.shard for r in got)
+    assert sum(r.bytes for r in third.values()) == sum(len(t) + 1 for _, t in rows)
+    assert sum(third[s].shard != kept[s] for s in kept) < slots / 4
+    assert {r.slot: r.shard for r in sh.read_map(spark, path, 2).collect()} == kept
+    # A shard more: a write that broke off is passed over.
+    (tmp_path / "map" / "v=4" / "_temporary").mkdir(parents=True)
+    grown = sh.sharded(make_docs(rows), 5, slots, path).collect()
+    fourth = {r.slot: r.shard for r in sh.read_map(spark, path, 4).collect()}
+    assert {r.shard for r in grown} == set(range(5))
+    moved = [s for s in fourth if fourth[s] != third[s].shard]
+    assert 0 < len(moved) < slots / 2
+    with pytest.raises(ValueError):
+        sh.sharded(make_docs(rows), 5, 128, path)
