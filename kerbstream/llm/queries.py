@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import (
-    bpe, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
+    bpe, fim, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
 from kerbstream.llm.common import prepare, table
 
 URL_RULES = [
@@ -72,6 +72,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 def _registered(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +88,7 @@ def _registered(query):
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters,
     op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec,
-    op10_sharding)}
+    op10_sharding, op11_fill_in_middle)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
@@ -148,6 +152,34 @@ ORACLE_SQL = {
                   THEN 'revisit' ELSE 'response' END AS record_type,
              CASE WHEN page_id IS NULL OR page_id > f.first THEN f.first END AS refers_to
       FROM sized LEFT JOIN firsts f USING (digest)""",
+    "op11_fill_in_middle": rf"""
+      WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+      lined AS (
+        SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+               [('0x' || substr(digest, 1 + 8 * i, 8))::BIGINT FOR i IN range(4)] AS h
+        FROM texts),
+      cut AS (
+        SELECT *, len(lines) AS n,
+               least(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS a,
+               greatest(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') OR h[3] % 100 >= {fim.FIM_PERCENT} THEN 'plain'
+                    WHEN h[4] % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+        FROM lined),
+      parts AS (
+        SELECT doc_id, text, n, form, array_to_string(lines[1:a], '') AS prefix,
+               array_to_string(lines[a + 1:b], '') AS middle,
+               array_to_string(lines[b + 1:], '') AS suffix FROM cut)
+      SELECT doc_id, n::BIGINT AS n, form,
+             CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+             CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+             sha256(CASE form WHEN 'plain' THEN text
+               WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+             sha256(text) AS restored_sha256
+      FROM parts""",
     "op4_url_filters": f"""
       WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULES_SQL}),
       cut AS (

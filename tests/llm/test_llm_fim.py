@@ -1,0 +1,123 @@
+"""Fill-in-the-middle against plain slicing, and the boundary set against a sorted list."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kerbstream.llm import fim
+from llm_fixtures import make_docs, odd_texts  # noqa: F401
+
+
+def lines_of(text):
+    return re.findall(r"[^\n]*\n|[^\n]+", text)
+
+
+def expected(doc_id, text, seed=7, fim_percent=100, spm_percent=50):
+    text = text or ""
+    lines = lines_of(text)
+    n = len(lines)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    if not text or any(m in text for m in fim.MARKERS) or h[2] % 100 >= fim_percent:
+        return doc_id, n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(x) for x in (lines[:a], lines[a:b], lines[b:]))
+    if h[3] % 100 < spm_percent:
+        return doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def offsets_of(text):
+    ends = [0]
+    for line in lines_of(text):
+        ends.append(ends[-1] + len(line))
+    return ends
+
+
+def selected(text):
+    found = fim.BoundarySet(text)
+    return [found.select(k) for k in range(len(found))]
+
+
+TEXTS = {
+    "runs": "\n" * 200_000,
+    "bitmap": "ab\nc\n" * 30_000,
+    "array": ("x" * 997 + "\n") * 300,
+    "mixed": "\n" * 70_000 + "ab\nc\n" * 20_000 + "x" * 140_000 + "\n" + "é中\n" * 9_000 + "end",
+    "feed ends a block": "x" * 65_535 + "\n" + "y",
+    "feed begins a block": "x" * 65_536 + "\n" + "y",
+    "text ends at a block": "x" * 65_536,
+    "text ends below a block": "x" * 65_535,
+    "ends with a feed": "x" * 65_535 + "\n",
+}
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_select_on_long_texts(name):
+    text = TEXTS[name]
+    assert selected(text) == offsets_of(text)
+
+
+def test_containers_take_their_smallest_form():
+    kinds = {name: {type(c).__name__ for c in fim.BoundarySet(text).containers}
+             for name, text in TEXTS.items()}
+    assert kinds["runs"] == {"RunContainer"}
+    assert "BitmapContainer" in kinds["bitmap"] and kinds["array"] == {"ArrayContainer"}
+    assert kinds["mixed"] == {"RunContainer", "BitmapContainer", "ArrayContainer"}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, fim.BLOCK - 1), min_size=1, max_size=300))
+def test_every_form_selects_alike(members):
+    lows = np.array(sorted(members))
+    for form in (fim.ArrayContainer, fim.BitmapContainer, fim.RunContainer, fim.container):
+        built = form(lows)
+        assert [built.select(k) for k in range(built.cardinality)] == lows.tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("a\né🙂", max_size=60))
+def test_select_on_short_texts(text):
+    assert selected(text) == offsets_of(text)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_transformed_equals_slicing(make_docs, odd_texts):
+    rows = [*enumerate(odd_texts), (None, "a\nb\nc"), (7, "has <S> inside\nb"), (7, "b\nc\n"),
+            (7, "b\nc\n"), (-3, "a<\n<\nP>x\n"), *[(100 + i, "l1\nl2\n\nl4") for i in range(40)]]
+    docs = make_docs(rows, clashes=True)
+    for options in ({}, {"seed": 11, "fim_percent": 40, "spm_percent": 0}):
+        found = rows_of(fim.transformed(docs, **options))
+        assert found == sorted((expected(i, t, **options) for i, t in rows), key=repr)
+    forms = {r[2] for r in rows_of(fim.transformed(docs))}
+    assert forms == {"plain", "psm", "spm"}
+
+
+def test_texts_come_back(make_docs, odd_texts):
+    texts = [*odd_texts, "a<\n<S\nP>x\n<", "<\n>\n<M\n>", "x <P> y\nz", "\n\n\n"]
+    rows = [(i, t) for t in texts for i in range(len(texts))]
+    found = fim.digests(make_docs(rows)).select("doc_id", "output_sha256", "restored_sha256")
+    digest = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    wanted = [(i, digest(expected(i, t)[-1]), digest(t)) for i, t in rows]
+    assert rows_of(found) == sorted(wanted, key=repr)
+
+
+def test_odd_columns_and_no_rows(make_docs):
+    docs = make_docs([(1, "a\nb")])
+    odd = docs.withColumnsRenamed({"lang": "a.b", "source": "TEXT_"}).withColumn("form", docs.text)
+    assert rows_of(fim.digests(odd)) == rows_of(fim.digests(docs))
+    assert fim.digests(make_docs([(1, "a")]).limit(0)).collect() == []
+
+
+def test_markers_that_overlap_are_refused(make_docs):
+    for markers in (("<P>", "<P>x", "<M>"), ("aba", "<S>", "<M>"), ("", "<S>", "<M>"),
+                    ("ab", "bc", "x"), ("<P>", "<P>", "<M>"), ("ab", "xaby", "z")):
+        with pytest.raises(ValueError):
+            fim.transformed(make_docs([(1, "a")]), markers=markers)
