@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import (
-    bpe, fim, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
+    alignment, bpe, fim, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
 from kerbstream.llm.common import prepare, table
 
 URL_RULES = [
@@ -19,6 +19,8 @@ URL_RULES = [
 ]
 COUNT_MODEL = "piece_bpe_32k.model"
 CODEC_RANKS = "byte_bpe_50k.tiktoken"
+ALIGNED_A = "byte_bpe_50k.json"
+ALIGNED_B = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 SHARDS = 8
 
@@ -76,6 +78,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments_with_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(ALIGNED_A),
+        public_tokenizers.PATTERN, public_tokenizers.path(ALIGNED_B))
+
+
 def _registered(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +96,7 @@ def _registered(query):
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters,
     op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec,
-    op10_sharding, op11_fill_in_middle)}
+    op10_sharding, op11_fill_in_middle, op13_tokenizer_alignment)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
