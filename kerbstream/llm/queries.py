@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbstream.llm import (
-    alignment, bpe, fim, language, merkle, mixing, quality, sharding, simhash, token_counts, url_filter, warc)
+    alignment, bpe, fim, language, merkle, mixing, quality, sharding, simhash, token_counts, toxicity,
+    url_filter, warc)
 from kerbstream.llm.common import prepare, table
 
 URL_RULES = [
@@ -78,6 +79,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignments_with_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(ALIGNED_A),
@@ -96,7 +102,7 @@ def _registered(query):
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_document_fingerprints, op2_warc_normaliser, op3_simhash_near_dedup, op4_url_filters,
     op5_quality_rules, op6_token_counts, op7_language_id, op8_source_mix, op9_bpe_codec,
-    op10_sharding, op11_fill_in_middle, op13_tokenizer_alignment)}
+    op10_sharding, op11_fill_in_middle, op12_toxicity, op13_tokenizer_alignment)}
 
 _RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
