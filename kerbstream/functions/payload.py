@@ -21,10 +21,21 @@ def event_time(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def alert_payload(sensor: str, time: str, speed: str) -> Column:
+def alert_payload(sensor: str, time: str, speed: str, with_id: bool = False) -> Column:
     """JSON of one alert. The time is cast to text first: to_json alone would cut it to
     milliseconds."""
-    return F.to_json(F.struct(
-        F.col(sensor).alias("sensor_id"),
-        F.col(time).cast("string").alias("alert_timestamp"),
-        F.col(speed).alias("critical_speed")))
+    fields = [F.col(sensor).alias("sensor_id"),
+              F.col(time).cast("string").alias("alert_timestamp"),
+              F.col(speed).alias("critical_speed")]
+    if with_id:
+        fields.append(alert_id(sensor, time, speed).alias("alert_id"))
+    return F.to_json(F.struct(*fields))
+
+
+def alert_id(sensor: str, time: str, speed: str) -> Column:
+    """A digest of the reading. The speed is written with fixed places, or as it is where it does
+    not fit; an absent part is empty."""
+    fixed = F.col(speed).try_cast("decimal(38, 18)").cast("string")
+    parts = [F.col(sensor), F.col(time).cast("string"),
+             F.coalesce(fixed, F.col(speed).cast("string"))]
+    return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)

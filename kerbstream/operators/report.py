@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbstream.config import CONGESTION_THRESHOLD, VOLUME_FRACTION
+from kerbstream.functions import exact_mean
 
 # Fixed values.
 REQUIRED, NOT_REQUIRED = "YES", "NO"
@@ -29,7 +30,7 @@ def hourly_rollup(aggregates: DataFrame, per_day: bool = False) -> DataFrame:
     return (aggregates
             .groupBy(*_day(per_day), "sensor_id", F.hour("window_start").alias("hour"))
             .agg(F.sum("total_vehicles").alias("hourly_volume"),
-                 F.avg("congestion_index").alias("avg_congestion_index")))
+                 exact_mean("congestion_index").alias("avg_congestion_index")))
 
 
 def rank_hours(hourly: DataFrame, per_day: bool = False, ties: str = "all") -> DataFrame:

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbstream.functions import exact_mean, exact_state, merged_state, state_mean
 from kerbstream.operators.ordering import numbered
 
 # What a summary adds to the columns of a sensor's last window.
-SUMMARY_COLUMNS = ["index_sum", "index_count"]
+SUMMARY_COLUMNS = ["index_state"]
 
 
 def latest_status(aggregates: DataFrame) -> DataFrame:
@@ -33,20 +34,30 @@ def _last_window(aggregates: DataFrame) -> list:
 
 
 def daily_summary(aggregates: DataFrame) -> DataFrame:
-    """One row per sensor and date: its last window of the date, and sum and count of the
-    date's indices."""
+    """One row per sensor and date: its last window of the date, and the exact sum of the date's
+    indices."""
     return aggregates.groupBy("sensor_id", "traffic_date").agg(
         *_last_window(aggregates.drop("traffic_date")),
-        F.sum("congestion_index").alias("index_sum"),
-        F.count("congestion_index").alias("index_count"))
+        exact_state("congestion_index").alias("index_state"))
+
+
+def sensor_summary(aggregates: DataFrame) -> DataFrame:
+    """The same over all given dates, one row per sensor."""
+    return aggregates.groupBy("sensor_id").agg(
+        *_last_window(aggregates), exact_state("congestion_index").alias("index_state"))
+
+
+def merged_summaries(summaries: DataFrame) -> DataFrame:
+    """One summary per sensor from any number of them."""
+    return summaries.groupBy("sensor_id").agg(
+        *_last_window(summaries), merged_state("index_state").alias("index_state"))
 
 
 def sensor_state(summaries: DataFrame) -> DataFrame:
     """One row per sensor from its summaries: the last window of all, and the mean index over
-    the history."""
-    mean = F.try_divide(F.sum("index_sum"), F.sum("index_count"))
-    return summaries.groupBy("sensor_id").agg(
-        *_last_window(summaries), mean.alias("mean_congestion_index"))
+    the history, to the bit that of ``congestion_trend``."""
+    return merged_summaries(summaries).withColumn(
+        "mean_congestion_index", state_mean(F.col("index_state"))).drop("index_state")
 
 
 def status_board(latest: DataFrame, positions: bool = False) -> DataFrame:
@@ -68,4 +79,4 @@ def congestion_trend(aggregates: DataFrame) -> DataFrame:
     Given ``latest_status`` it is the latest index itself, which is what the status page shows.
     """
     return aggregates.groupBy("sensor_id").agg(
-        F.avg("congestion_index").alias("mean_congestion_index"))
+        exact_mean("congestion_index").alias("mean_congestion_index"))

@@ -1,0 +1,114 @@
+"""Exact sums against Python's rational numbers."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from kerbstream.functions import exact_mean, exact_state, merged_state, state_mean
+from kerbstream.functions.exact import state_sum
+from kerbstream.operators import (
+    congestion_trend, daily_summary, sensor_state, window_aggregates, with_traffic_date)
+from kerbstream.plans.event_view import readings_view
+
+from helpers import plan
+
+FEW = settings(max_examples=4, deadline=None,
+               suppress_health_check=[HealthCheck.function_scoped_fixture])
+INSIDE = st.one_of(
+    st.floats(-2.0 ** 29, 2.0 ** 29).filter(lambda x: x == 0 or abs(x) >= 2.0 ** -8),
+    st.integers(-10_000, 10_000).map(lambda n: n / 100))
+# Many groups in one run.
+GROUPS = st.lists(st.lists(INSIDE, min_size=1, max_size=12), min_size=15, max_size=25)
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "x double")
+
+
+def summed(df):
+    return df.agg(state_sum(exact_state("x")).alias("s")).first().s
+
+
+def summed_groups(spark, pairs, partitions):
+    df = spark.createDataFrame(pairs, "k int, x double").repartition(partitions)
+    return dict(map(tuple, df.groupBy("k").agg(state_sum(exact_state("x"))).collect()))
+
+
+def near(got, values):
+    """Within two units in the last place of the sum of sizes; where all have one sign, of the
+    sum itself."""
+    exact, sizes = sum(map(Fraction, values)), sum(Fraction(abs(v)) for v in values)
+    return got is not None and abs(Fraction(got) - exact) <= 2 * Fraction(math.ulp(float(sizes)))
+
+
+@FEW
+@given(groups=GROUPS, seed=st.randoms(use_true_random=False))
+def test_sums_are_the_rational_ones_in_any_order(spark, groups, seed):
+    pairs = [(k, x) for k, values in enumerate(groups) for x in values]
+    first = summed_groups(spark, pairs, 1)
+    for k, values in enumerate(groups):
+        assert near(first[k], values), values
+    seed.shuffle(pairs)
+    assert summed_groups(spark, pairs, 7) == first
+
+
+@pytest.mark.parametrize("values, expected", [
+    ([1e9, 2.0 ** -60, -1e9], 2.0 ** -60),
+    ([1e9, 1.0, -1e9, 0.1, 0.1], 1.2),
+    ([0.1] * 10, 1.0),
+    ([-0.5, 0.25], -0.25),
+    ([2.0 ** 29, -2.0 ** -22], 2.0 ** 29 - 2.0 ** -22),
+    ([0.0, -0.0], 0.0),
+    ([5e-324, 1.0], 1.0),
+    ([1e300, 1.0], 1e300),
+    ([math.inf, 1.0], math.inf),
+    ([None, 2.0], 2.0),
+])
+def test_edges(spark, values, expected):
+    assert summed(frame(spark, values)) == expected
+
+
+def test_nan_null_and_nothing(spark):
+    assert math.isnan(summed(frame(spark, [math.nan, 1.0])))
+    assert math.isnan(summed(frame(spark, [math.inf, -math.inf])))
+    means = frame(spark, []).agg(exact_mean("x").alias("m")).first()
+    assert means.m is None and summed(frame(spark, [None])) is None
+
+
+def test_merged_states_are_the_whole(spark):
+    chance = random.Random(2)
+    values = [chance.uniform(-500, 500) for _ in range(3000)]
+    df = frame(spark, values).withColumn("k", (F.abs("x") * 10).cast("long") % 37)
+    parts = df.groupBy("k").agg(exact_state("x").alias("state"))
+    merged = parts.agg(state_mean(merged_state("state")).alias("m")).first().m
+    assert merged == df.agg(exact_mean("x").alias("m")).first().m
+    assert near(merged * 3000, values)
+
+
+def test_windows_are_the_same_bits_over_any_partitions(spark, events):
+    """Many readings a window with speeds of full precision, which a plain mean adds up
+    differently each time."""
+    readings = readings_view(events).withColumns({
+        "avg_speed": F.col("avg_speed") / 3 + F.lit(1e-7),
+        "timestamp": F.date_trunc("day", "timestamp")})
+    runs = [{r.sensor_id + str(r.window_start): (r.window_avg_speed, r.congestion_index)
+             for r in window_aggregates(df).collect()}
+            for df in (readings.coalesce(1), readings.repartition(7), readings.repartition(200))]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_trends_from_summaries_are_the_same_bits(spark, events):
+    windows = with_traffic_date(window_aggregates(readings_view(events)))
+    direct = {r.sensor_id: r.mean_congestion_index for r in congestion_trend(windows).collect()}
+    state = sensor_state(daily_summary(windows)).collect()
+    assert {r.sensor_id: r.mean_congestion_index for r in state} == direct
+
+
+def test_only_hash_aggregates(spark, events):
+    text = plan(window_aggregates(readings_view(events)))
+    assert "HashAggregate" in text and "SortAggregate" not in text
