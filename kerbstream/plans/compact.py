@@ -17,15 +17,16 @@ from pyspark.sql import SparkSession
 from kerbstream.config import DATE_LAYOUT, JobConfig
 from kerbstream.operators import daily_summary
 from kerbstream.session import apply_settings, clean_up
-from kerbstream.sinks import replace_date
+from kerbstream.sinks import record_compaction, replace_date
 from kerbstream.sources import aggregates_for_date
 
 
 def compact_date(spark: SparkSession, source: str, target: str, day: datetime.date | str,
                  layout: tuple[str, ...] = DATE_LAYOUT, extra_measures: bool = False,
-                 summary: str | None = None) -> None:
+                 summary: str | None = None, ledger: str | None = None) -> None:
     """Copy one date from the stream's table to a compacted one, and its summary per sensor to
-    ``summary`` if given.
+    ``summary`` if given. With ``ledger``, the date is entered there last: until then readers
+    that follow it take the date from the stream's table.
 
     The target is another folder: the stream's own keeps a log of its files, and rewriting them
     would break it. The date's folder is replaced whole, so a repeated run leaves what the
@@ -38,6 +39,9 @@ def compact_date(spark: SparkSession, source: str, target: str, day: datetime.da
     if summary:
         compacted = aggregates_for_date(spark, target, day, extra_measures=extra_measures)
         replace_date(daily_summary(compacted), summary, day)
+    if ledger:
+        copied = aggregates_for_date(spark, target, day, extra_measures=extra_measures)
+        record_compaction(spark, ledger, day, copied.count())
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -56,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     apply_settings(spark, config.zone, initial_partitions=config.initial_partitions)
     try:
         compact_date(spark, config.aggregates_path, config.compacted_path, args.date,
-                     extra_measures=config.extra_measures, summary=config.summary_path or None)
+                     extra_measures=config.extra_measures, summary=config.summary_path or None,
+                     ledger=config.ledger_path or None)
     finally:
         clean_up(spark)
 

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from kerbstream.config import JobConfig
 from kerbstream.operators import daily_peaks, intervention_report
 from kerbstream.session import apply_settings, clean_up
-from kerbstream.sinks import write_report
+from kerbstream.sinks import publish_report, write_report
 from kerbstream.sources import read_history_for_date
 
 
@@ -30,7 +30,8 @@ def run_daily_report(spark: SparkSession, day: datetime.date | str,
     config.require("aggregates_path", "report_path")
     peaks = daily_peaks(read_history_for_date(spark, config, day))
     report = intervention_report(peaks, config.volume_fraction, config.congestion_threshold)
-    write_report(report, config.report_path)
+    write = publish_report if config.versioned_report else write_report
+    write(report, config.report_path)
     return config.report_path
 
 

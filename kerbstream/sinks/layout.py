@@ -26,9 +26,19 @@ def cluster_for_stream(aggregates: DataFrame, layout: tuple[str, ...],
 
 
 def cluster_for_batch(aggregates: DataFrame, layout: tuple[str, ...]) -> DataFrame:
-    """The same for a batch: the adaptive planner sees the sizes, splits directories too big
-    for one task and packs small ones together. Sorted files let a reader skip row groups of
-    other sensors."""
+    """The same for a batch. Sorted files let a reader skip row groups of other sensors.
+
+    Directories of a date have no upper size, so the adaptive planner, which sees the sizes,
+    splits those too big for one task and packs small ones together. With a sensor level no
+    directory holds more than a day's windows of one sensor, but there are very many, and making
+    one takes longer than filling it: packing by bytes would leave them to a few tasks, so they
+    are dealt by their names over all shuffle partitions.
+    """
     order = [*layout, *[c for c in ("sensor_id", "window_start") if c not in layout]]
-    return aggregates.hint("rebalance", *[F.col(name) for name in layout]).sortWithinPartitions(
-        *order)
+    keys = [F.col(name) for name in layout]
+    if "sensor_id" in layout:
+        tasks = int(aggregates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        clustered = aggregates.repartition(tasks, *keys)
+    else:
+        clustered = aggregates.hint("rebalance", *keys)
+    return clustered.sortWithinPartitions(*order)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbstream.config import JobConfig
 from kerbstream.schemas import AGGREGATE, AGGREGATE_EXTRA, summary_schema
+from kerbstream.sources.ledger import compacted_dates
 from kerbstream.sources.missing import empty_if_missing
 
 
@@ -27,7 +28,7 @@ def read_aggregates(spark: SparkSession, path: str, skip_corrupt: bool = False,
     opened to infer it. Reading the root (not the files one by one) sees only what the
     streaming sink has committed. ``skip_corrupt`` passes over unreadable files, as a status
     page may want and a report should not; Spark then also passes over files it fails to read
-    for other reasons, and says so in the executors' logs only.
+    for other reasons, and ``skipped_files`` names them.
     """
     return _read(spark, path, AGGREGATE_EXTRA if extra_measures else AGGREGATE, skip_corrupt)
 
@@ -39,22 +40,26 @@ def aggregates_for_date(spark: SparkSession, path: str,
     return read_aggregates(spark, path, **options).filter(F.col("traffic_date") == wanted)
 
 
-def _until(config: JobConfig):
-    return F.lit(config.compacted_through).cast("date")
+def is_compacted(spark: SparkSession, config: JobConfig) -> Column:
+    """Of a row's date: those in the ledger, or without one those up to ``compacted_through``. The
+    dates are literals, so both tables are pruned by them."""
+    if config.ledger_path:
+        return F.col("traffic_date").isin(compacted_dates(spark, config.ledger_path))
+    config.require("compacted_through")
+    return F.col("traffic_date") <= F.lit(config.compacted_through).cast("date")
 
 
 def read_history(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """All windows: of dates up to ``compacted_through`` from the compacted table, of later ones
-    from the stream's. Each scan is pruned to its dates, and no date is read twice."""
+    """All windows: of compacted dates from the compacted table, of all others from the stream's.
+    Each scan is pruned to its dates, and no date is read twice."""
     def read(path: str) -> DataFrame:
         return read_aggregates(spark, path, config.skip_corrupt, config.extra_measures)
 
     stream = read(config.aggregates_path)
     if not config.compacted_path:
         return stream
-    config.require("compacted_through")
-    done = read(config.compacted_path).filter(F.col("traffic_date") <= _until(config))
-    return done.unionByName(stream.filter(F.col("traffic_date") > _until(config)))
+    compacted = is_compacted(spark, config)
+    return read(config.compacted_path).filter(compacted).unionByName(stream.filter(~compacted))
 
 
 def read_history_for_date(spark: SparkSession, config: JobConfig,
