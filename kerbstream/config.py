@@ -49,10 +49,27 @@ class JobConfig:
     alert_format: str = "kafka"
     alerts_path: str = ""
 
+    # Puts an id into each alert, the same one whenever the same reading is sent again.
+    alert_ids: bool = False
+
     # Set both to keep unusable readings apart: they are stored with a reason, and only the
     # others are aggregated and alerted on. Unset, every reading goes through.
     rejects_path: str = ""
     rejects_checkpoint: str = ""
+    # How far a reading's time may lie ahead of the message's own, such as "5 minutes"; later
+    # ones are rejects (future_time), as one would close the windows of all sensors. Needs
+    # rejects_path. Unset, any time counts.
+    max_clock_lead: str = ""
+
+    # One query for all sinks instead of one per sink: it reads and decodes each message once.
+    # Needs the three paths (and rejects_path alone for rejects). A table belongs to one mode.
+    fan_out: bool = False
+    fan_out_checkpoint: str = ""
+    state_path: str = ""
+    accounts_path: str = ""
+    # One row per sensor, kept up to date, for the status page.
+    status_path: str = ""
+    status_checkpoint: str = ""
 
     window: str = WINDOW
     watermark: str = WATERMARK
@@ -77,6 +94,10 @@ class JobConfig:
     compacted_path: str = ""
     summary_path: str = ""
     compacted_through: str = ""
+    # The log of compacted dates; takes the place of compacted_through.
+    ledger_path: str = ""
+    # Keep each report as a version, so that one can be read while the next is written.
+    versioned_report: bool = False
     # Let report and status page pass over unreadable files.
     skip_corrupt: bool = False
     # Partitions batch shuffles start with; unset, spark.sql.shuffle.partitions.

@@ -64,9 +64,18 @@ def damaged_envelope_view(events: DataFrame, damaged: tuple[str, ...] = DAMAGED)
     return message.withColumn("value", broken.cast("binary")).drop("event_type")
 
 
-def _messages(events: DataFrame, *keep: str) -> DataFrame:
+def fast_clock_envelope_view(events: DataFrame, fast: str, lead: str) -> DataFrame:
+    """Messages of which those of one event type come from a clock that is ``lead`` ahead. Their own
+    times are the true ones."""
+    ahead = F.when(F.col("event_type") == fast, F.expr(f"INTERVAL '{lead}'")).otherwise(
+        F.expr("INTERVAL '0 seconds'"))
+    return _messages(events, "event_type", ahead=ahead).drop("event_type")
+
+
+def _messages(events: DataFrame, *keep: str, ahead: Column | None = None) -> DataFrame:
     reading = readings_view(events, *keep)
-    text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    time = F.col("timestamp") if ahead is None else F.col("timestamp") + ahead
+    text = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     payload = F.to_json(F.struct(
         "sensor_id", text.alias("timestamp"), "vehicle_count", "avg_speed"))
     return reading.select(

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from kerbstream.config import JobConfig
 from kerbstream.operators import daily_summary, report_kpis, sensor_state, status_board
 from kerbstream.session import materialise, remove, shared_dir
-from kerbstream.sources import read_aggregates, read_history, read_report, read_summaries
+from kerbstream.sources import (
+    is_compacted, read_aggregates, read_history, read_report, read_summaries)
+from kerbstream.streaming.status import read_status
 
 
 class StatusPage(NamedTuple):
@@ -28,16 +30,17 @@ class StatusPage(NamedTuple):
 
 
 def page_summaries(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """One row per sensor and date. Of dates that are summed up only the summaries are read."""
+    """One row per sensor and date. Of dates that are summed up only the summaries are read; with
+    ``status_path`` one row per sensor, and neither history nor summaries."""
+    if config.status_path:
+        return read_status(spark, config.status_path, config.extra_measures)
     if not config.summary_path:
         return daily_summary(read_history(spark, config))
-    config.require("compacted_through")
-    until = F.lit(config.compacted_through).cast("date")
+    compacted = is_compacted(spark, config)
     done = read_summaries(spark, config.summary_path, config.skip_corrupt, config.extra_measures)
     later = read_aggregates(
         spark, config.aggregates_path, config.skip_corrupt, config.extra_measures)
-    return done.filter(F.col("traffic_date") <= until).unionByName(
-        daily_summary(later.filter(F.col("traffic_date") > until)))
+    return done.filter(compacted).unionByName(daily_summary(later.filter(~compacted)))
 
 
 def status_page(spark: SparkSession, config: JobConfig) -> StatusPage:

@@ -21,6 +21,7 @@ from kerbstream.config import JobConfig
 from kerbstream.operators import parse_readings, split_valid
 from kerbstream.session import apply_settings, clean_up
 from kerbstream.sources import read_topic
+from kerbstream.streaming.fanout import start_fan_out
 from kerbstream.streaming.queries import start_aggregates, start_alerts, start_rejects
 
 
@@ -28,16 +29,21 @@ def start_streams(envelope: DataFrame, config: JobConfig,
                   available_now: bool = False) -> list[StreamingQuery]:
     """Decode once in each plan: each query reads the source by itself, so alerts do not wait
     for the aggregates' micro-batches and a slow sink does not hold up the other. Keeping rejects
-    costs a third full read and decoding."""
+    costs a third full read and decoding. ``config.fan_out`` makes it a single query that reads
+    and decodes once for all sinks, which then share its micro-batches."""
+    if config.fan_out:
+        return [start_fan_out(envelope, config, available_now)]
+    if config.max_clock_lead:
+        config.require("rejects_path")
     usable = parse_readings(envelope)
     queries: list[StreamingQuery] = []
     try:
         if config.rejects_path:
             config.require("rejects_checkpoint")
-            usable, _ = split_valid(usable)
+            usable, _ = split_valid(usable, config.max_clock_lead)
             queries.append(start_rejects(
                 parse_readings(envelope, keep_raw=True), config.rejects_path,
-                config.rejects_checkpoint, available_now))
+                config.rejects_checkpoint, available_now, config.max_clock_lead))
         queries.append(start_aggregates(usable, config, available_now))
         queries.append(start_alerts(usable, config, available_now))
     except Exception:

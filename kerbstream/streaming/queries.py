@@ -43,9 +43,11 @@ def start_aggregates(readings: DataFrame, config: JobConfig,
 def start_alerts(readings: DataFrame, config: JobConfig,
                  available_now: bool = False) -> StreamingQuery:
     """Send alerts as they come, without a trigger interval. Delivery to a topic is
-    at-least-once: a retried micro-batch may send its alerts again."""
+    at-least-once: a retried micro-batch may send its alerts again, with the same ids if
+    ``alert_ids`` is set."""
     config.require("alerts_checkpoint")
-    alerts = critical_alerts(readings, config.alert_speed).writeStream.outputMode("append")
+    alerts = critical_alerts(
+        readings, config.alert_speed, config.alert_ids).writeStream.outputMode("append")
     writer = _alert_sink(alerts, config).option("checkpointLocation", config.alerts_checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -63,10 +65,10 @@ def _alert_sink(writer: DataStreamWriter, config: JobConfig) -> DataStreamWriter
 
 
 def start_rejects(readings: DataFrame, path: str, checkpoint: str,
-                  available_now: bool = False) -> StreamingQuery:
+                  available_now: bool = False, max_clock_lead: str = "") -> StreamingQuery:
     """Store the messages of readings that cannot be used, with the reason. ``readings`` must
     have been parsed with ``keep_raw``; what is stored can be examined and sent again."""
-    _, rejects = split_valid(readings)
+    _, rejects = split_valid(readings, max_clock_lead)
     writer = (rejects.select(*REJECT.names).writeStream.format("json").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
     if available_now:
