@@ -28,12 +28,16 @@ def _rows_per_file(spark: SparkSession, path: str, schema: T.StructType, name: s
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
     counted = T.StructType(
         [T.StructField("file_path", T.StringType()), T.StructField(name, T.LongType())])
-    columns = F.xxhash64(*schema.names) if decode else F.lit(0)
+    number = F.count("*")
+    if decode:
+        # A count alone needs no column, and Spark would read none.
+        number = number + F.bit_xor("decoded") * F.lit(0)
 
     def load() -> DataFrame:
         rows = reader.parquet(path).select(
-            F.col("_metadata.file_path").alias("file_path"), columns.alias("decoded"))
-        return rows.groupBy("file_path").agg(F.count("decoded").alias(name))
+            F.col("_metadata.file_path").alias("file_path"),
+            F.xxhash64(*schema.names).alias("decoded"))
+        return rows.groupBy("file_path").agg(number.alias(name))
 
     return empty_if_missing(spark, counted, load)
 
