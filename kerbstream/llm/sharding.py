@@ -1,14 +1,21 @@
 """Sharding by fixed virtual slots.
 
-A row's virtual slot is a hash of its id and never changes. Which shard holds a slot is read
+A row's virtual slot is a hash of its id and does not change. Which shard holds a slot is read
 from a small table (version, slot, shard, bytes, rows), which rebalancing edits: a new version
 moves only the slots it must. Bytes and rows are aggregated per slot before anything else, so the
 table has as many rows as there are slots, whatever the data; only this table is handled outside
 Spark. Copies of one text have different ids and so spread over all slots.
 
+A slot cannot be divided between shards, so no id may outweigh one. Where a slot holds twice the
+average, ids of several rows that hold an average slot's bytes or more are looked for; there can be no more
+of them than slots. Their rows are dealt by id, checksum, size and, among equal ones, a number, so
+they too fall evenly into all slots. The same holds for the texts of rows without an id.
+
 Defined cases: a null text has size 1 and checksum 0; rows without an id take the slot of their
-text; repeated rows are rows of their own; an empty table gives an empty result and a map whose
-slots are dealt in turn.
+text; repeated rows are rows of their own, however many; a very long text is one row and stays
+whole; rows that tie in all values are interchangeable; an empty table gives an empty result and a
+map whose slots are dealt in turn. Other columns of the table are not read, so they may have any
+name.
 """
 
 from __future__ import annotations
@@ -23,6 +30,7 @@ from kerbstream.session import materialise, shared_dir
 # "Thousands of slots": one slot is a small part of a shard, and their table fits anywhere.
 SLOTS = 4096
 MAX_SLOTS = 1 << 16
+COPIES = 100_000  # equal rows that are made from their count at once
 
 MAP_SCHEMA = "version int, slot int, shard int, bytes long, rows long"
 
@@ -35,22 +43,53 @@ class Slot:
     rows: int
 
 
-def virtual_slot(key: Column, otherwise: Column, slots: int = SLOTS) -> Column:
-    """The slot of a row: the hash of ``key``, or of ``otherwise`` where there is no key."""
+def virtual_slot(hashed: Column, slots: int = SLOTS) -> Column:
     if not 0 < slots <= MAX_SLOTS:
         raise ValueError(f"slots must be from 1 to {MAX_SLOTS}")
-    hashed = F.when(key.isNull(), F.xxhash64(otherwise)).otherwise(F.xxhash64(key))
-    return F.pmod(hashed, F.lit(slots)).cast("int")
+    return F.pmod(hashed, F.lit(slots)).cast("int").alias("virtual_slot")
 
 
 def measured(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size (UTF-8 bytes plus 1), text_crc32 and virtual_slot of each row."""
+    """doc_id, size (UTF-8 bytes plus 1), text_crc32, key (the hash of the id, or of the text where
+    there is no id) and virtual_slot of each row."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("doc_id"))
     return docs.select(
         "doc_id",
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        virtual_slot(F.col("doc_id"), text, slots).alias("virtual_slot"))
+        key.alias("key"), virtual_slot(key, slots))
+
+
+def spread(rows: DataFrame, loads: dict[int, tuple[int, int]], slots: int = SLOTS
+           ) -> DataFrame | None:
+    """``rows`` with the rows of crowded keys dealt over all slots; None if there are no such keys.
+
+    Only rows of overfull slots are grouped by key. Equal rows are counted, not listed, so a
+    crowd of any size is a few numbers until its rows are made again from their counts, some at
+    a time in each task.
+    """
+    average = sum(size for size, _ in loads.values()) / slots
+    overfull = [slot for slot, (size, n) in loads.items() if n > 1 and size > 2 * average]
+    if not overfull:
+        return None
+    held = rows.filter(F.col("virtual_slot").isin(overfull)).groupBy("key").agg(
+        F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    # Each holds a slot's share of all bytes or more, so there are no more of them than slots.
+    crowded = F.broadcast(materialise(
+        held.filter((F.col("n") > 1) & (F.col("bytes") >= average)).select("key"), "crowded"))
+    equal = rows.join(crowded, "key", "left_semi").groupBy(
+        "doc_id", "size", "text_crc32", "key").agg(F.count("*").alias("n"))
+    parts = equal.select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("part"))
+    parts = parts.repartition("key", "text_crc32", "size", "part")
+    copies = parts.select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"),
+        F.least(F.lit(COPIES), F.col("n") - F.col("part") * COPIES) - 1)).alias("copy"))
+    number = F.col("part") * COPIES + F.col("copy")
+    dealt = copies.select("doc_id", "size", "text_crc32", "key", virtual_slot(
+        F.xxhash64("key", "text_crc32", "size", number), slots))
+    return rows.join(crowded, "key", "left_anti").select(dealt.columns).unionByName(dealt)
 
 
 def slot_loads(rows: DataFrame) -> DataFrame:
@@ -59,6 +98,11 @@ def slot_loads(rows: DataFrame) -> DataFrame:
         F.sum("size").alias("bytes"), F.count("*").alias("rows"))
 
 
+def _loads(rows: DataFrame) -> dict[int, tuple[int, int]]:
+    """One entry per slot: at most MAX_SLOTS."""
+    return {r.slot: (r.bytes, r.rows) for r in slot_loads(rows).collect()}
+
+
 def first_map(loads: dict[int, tuple[int, int]], shards: int, slots: int = SLOTS) -> list[Slot]:
     """Slots dealt to shards in turn, before their loads are known to matter."""
     return [Slot(i, i % shards, *loads.get(i, (0, 0))) for i in range(slots)]
@@ -164,8 +208,11 @@ def sharded(docs: DataFrame, shards: int, slots: int = SLOTS,
     spark = docs.sparkSession
     path = map_path or shared_dir(spark, "slot-map")
     rows = materialise(measured(docs, slots), "measured")  # read twice; texts only once
-    # One row per slot: at most MAX_SLOTS.
-    loads = {r.slot: (r.bytes, r.rows) for r in slot_loads(rows).collect()}
+    loads = _loads(rows)
+    dealt = spread(rows, loads, slots)
+    if dealt is not None:
+        rows = materialise(dealt, "spread")
+        loads = _loads(rows)
     version, stored = latest_map(spark, path) or (1, None)
     if stored is None:
         start = first_map(loads, shards, slots)

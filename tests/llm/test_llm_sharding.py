@@ -77,6 +77,48 @@ def test_slots_never_change(spark, make_docs):
     assert {r.doc_id: r.virtual_slot for r in sh.measured(other).collect()} == first
 
 
+@pytest.mark.parametrize("rows", [
+    [(1, f"text {i}") for i in range(20_000)],
+    [(1, "one text")] * 20_000,
+    [(None, "one text")] * 30_000,
+    [(None, "one text")] * 7000 + [(5, f"t{i}") for i in range(7000)]
+    + [(100 + i, "x" * (i % 60)) for i in range(7000)],
+], ids=["one id", "equal rows", "equal rows without id", "thirds"])
+def test_crowded_ids_fall_into_all_slots(spark, make_docs, rows):
+    """Shards hold the same bytes to within a record, and no slot has more than a few times the
+    average, so no task has."""
+    docs = make_docs(rows)
+    got = sh.sharded(docs, 8).collect()
+    want = sorted(((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+                   for d, t in rows), key=repr)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=repr) == want
+    held, in_slot, numbers = defaultdict(int), defaultdict(int), defaultdict(list)
+    for r in got:
+        held[r.shard] += r.size
+        in_slot[r.virtual_slot] += 1
+        numbers[r.shard].append(r.slot)
+    assert len(held) == 8
+    assert max(held.values()) - min(held.values()) <= max(len((t or "").encode()) + 1 for _, t in rows)
+    assert max(in_slot.values()) <= 30 * len(rows) / sh.SLOTS
+    assert all(sorted(v) == list(range(len(v))) for v in numbers.values())
+    again = sh.sharded(docs.repartition(5), 8).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
+def test_copies_are_made_in_parts(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(sh, "COPIES", 7)
+    rows = [(1, "a")] * 30 + [(1, "b")] * 7 + [(2, "c")]
+    got = sh.sharded(make_docs(rows), 4, slots=8).collect()
+    assert len(got) == 38 and len({r.virtual_slot for r in got}) > 4
+
+
+def test_other_columns_may_have_any_name(make_docs):
+    docs = make_docs([(1, "a"), (1, "a"), (2, None)])
+    odd = docs.withColumnsRenamed({"lang": "a.b", "source": "KEY"}).withColumn("part", docs.text)
+    assert sorted(map(repr, sh.sharded(odd, 4).collect())) == sorted(
+        map(repr, sh.sharded(docs, 4).collect()))
+
+
 def test_empty_table(make_docs):
     assert sh.sharded(make_docs([]), 8).collect() == []
 
