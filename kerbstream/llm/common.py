@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,11 @@ def file_bytes(path: str) -> bytes:
     return data
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, whatever their names are."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in docs.columns])
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, schema: str,
               function: Callable[[list[str]], list], load: Callable[[], object] | None = None,
               binary: bool = False) -> DataFrame:

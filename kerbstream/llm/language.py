@@ -19,12 +19,16 @@ those with -1, each language weighing the same, however many texts it has. Its m
 by the bit's spread on the training texts, so that all bits speak at the same scale.
 
 The models are fitted on at most ``TRAIN_PER_LANGUAGE`` documents of each language, those with
-the smallest hash of their ids: counts of n-grams are summed in Spark, and the result has one
-number per language and bucket. Predictions read nothing but the text.
+the smallest hash of their ids and texts: counts of n-grams are summed in Spark, per language and
+bucket and then per bucket and bit. Any number of languages is learned: the driver holds a number
+per bucket and bit, and some per language and bit. Predictions read nothing but the text.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0, as does every
 text if no labelled document can be learned from; a single learned language is always the answer;
-rows without an id or language are not learned from; repeated rows are predicted each.
+rows without an id or language are not learned from; repeated rows are predicted each and learned
+from once; of languages that tie the first by name is the answer; very long texts are read in
+blocks; an empty table gives an empty result. ``in_a_language`` returns the table's own columns,
+whatever their names; of other columns ``identified`` reads none.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbstream.llm.common import map_texts
+from kerbstream.llm.common import map_texts, whole_row
 from kerbstream.session import materialise
 
 TRAIN_PER_LANGUAGE = 2000
@@ -54,7 +58,6 @@ BETWEEN = 2 / 3
 # equal parts still has half of it.
 NO_LANGUAGE = 0.4
 UNKNOWN = "und"
-MAX_LANGUAGES = 250  # languages a model is built for; more are an error, as labels must be wrong
 EXHAUSTIVE = 7  # up to so many languages get all possible bits
 
 
@@ -95,9 +98,11 @@ def codewords(languages: int) -> np.ndarray:
         return np.array(columns, np.int8).T
     bits, random = 15 * int(np.ceil(np.log2(languages))), np.random.default_rng(42)
     best, distance = None, -1
-    for _ in range(200):
+    tries = max(1, min(200, 50_000 // languages))
+    while best is None or tries > 0:
+        tries -= 1
         code = random.choice(np.array([-1, 1], np.int8), (languages, bits))
-        gaps = (bits - code.astype(np.int32) @ code.T.astype(np.int32)) // 2
+        gaps = (bits - code.astype(np.float32) @ code.T.astype(np.float32)) // 2
         np.fill_diagonal(gaps, bits)
         balanced = (np.abs(code.sum(axis=0)) < languages).all()
         if balanced and gaps.min() > distance:
@@ -157,24 +162,25 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def training_sample(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of at most ``per_language`` documents per language, by hash of the id.
+    """(lang, text) of at most ``per_language`` documents per language, by hash of id and text.
 
-    Of a language with many documents only those whose hash is in its lowest part are ranked,
-    about twice as many as are wanted, and only ids are shuffled.
+    Equal rows count as one. Of a language with many documents only those whose hash is in its
+    lowest part are ranked, about twice as many as are wanted, and only hashes are shuffled.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                           & F.col("text").isNotNull() & ~held_out("doc_id"))
-    ids = labelled.select("lang", "doc_id").withColumn("_hash", F.xxhash64("doc_id"))
-    counts = materialise(ids.groupBy("lang").agg(F.count("*").alias("_all")), "languages")
+                           & F.col("text").isNotNull() & ~held_out("doc_id")).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
+    hashes = labelled.select("lang", "_hash")
+    counts = materialise(hashes.groupBy("lang").agg(F.count("*").alias("_all")), "languages")
     # Hashes run evenly from -2^63 to 2^63.
     low = F.col("_hash") / F.lit(2.0 ** 64) + 0.5 <= F.lit(2.0 * per_language) / F.col("_all")
-    order = Window.partitionBy("lang").orderBy("_hash", "doc_id")
-    chosen = ids.join(counts, "lang").filter(low).select(
-        "lang", "doc_id", F.row_number().over(order).alias("_place"))
+    order = Window.partitionBy("lang").orderBy("_hash")
+    chosen = hashes.join(counts, "lang").filter(low).select("lang", "_hash").distinct().select(
+        "lang", "_hash", F.row_number().over(order).alias("_place"))
     chosen = materialise(chosen.filter(F.col("_place") <= per_language).select(
-        "lang", "doc_id").distinct(), "chosen")
-    return materialise(labelled.select("doc_id", "lang", "text").join(
-        chosen, ["doc_id", "lang"], "left_semi").select("lang", "text"), "training")
+        "lang", "_hash"), "chosen")
+    return materialise(labelled.join(chosen, ["lang", "_hash"], "left_semi").dropDuplicates(
+        ["lang", "_hash"]).select("lang", "text"), "training")
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,31 +196,63 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> CodeModel:
-    """A model from ``docs`` (doc_id, lang, text). The driver gets counts per language and
-    bucket, and per language and bit, whatever the number of documents."""
+    """A model from ``docs`` (doc_id, lang, text). The driver gets numbers per bucket and bit, and
+    per language and bit, whatever the number of documents."""
     sample = training_sample(docs, per_language)
-    languages = sorted(r[0] for r in sample.select("lang").distinct().limit(
-        MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = materialise(sample.mapInPandas(_count_grams, "lang string, bucket int, n long")
+                         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
+    # Texts too short for any n-gram still name their language.
+    totals = {r.lang: 0 for r in sample.select("lang").distinct().collect()}
+    totals |= {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
     code = codewords(len(languages))
-    counts = np.zeros((len(languages), BUCKETS))
-    place = {lang: i for i, lang in enumerate(languages)}
-    summed = (sample.mapInPandas(_count_grams, "lang string, bucket int, n long")
-              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    counts[summed["lang"].map(place).to_numpy(int), summed["bucket"].to_numpy(int)] = summed["n"]
-
-    share = (counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=1, keepdims=True)
+    weight = 1 / (np.array([totals[lang] for lang in languages], float) + SMOOTHING * BUCKETS)
+    odds = _odds(counts, languages, code, weight)
     bits = code.shape[1]
-    odds = np.zeros((BUCKETS, bits), np.float32)
-    for b in range(bits):
-        plus, minus = share[code[:, b] > 0], share[code[:, b] < 0]
-        if len(plus) and len(minus):
-            odds[:, b] = np.log(plus.mean(axis=0)) - np.log(minus.mean(axis=0))
     model = CodeModel(languages, code, odds, np.ones(bits), np.full(code.shape, 1 / bits))
     return _calibrated(model, sample) if len(languages) > 1 else model
 
 
+def _odds(counts: DataFrame, languages: list[str], code: np.ndarray, weight: np.ndarray
+          ) -> np.ndarray:
+    """Per bucket and bit: the log of the bucket's mean share in the languages with +1, less that
+    in those with -1. A share is (n + SMOOTHING) * weight. Each task sums the shares of some
+    buckets, in the order of languages, so equal counts give equal bits."""
+    bits = code.shape[1]
+    shared = counts.sparkSession.sparkContext.broadcast((languages, code, weight))
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, code, weight = shared.value
+        place = {lang: i for i, lang in enumerate(names)}
+        plus, minus = {}, {}
+        for batch in batches:
+            at = batch["lang"].map(place).to_numpy(int)
+            share = (batch["n"].to_numpy() * weight[at])[:, None]
+            buckets, where = np.unique(batch["bucket"].to_numpy(), return_inverse=True)
+            for into, positive in ((plus, True), (minus, False)):
+                total = np.stack([into.get(b, np.zeros(bits)) for b in buckets]) if len(
+                    buckets) else np.zeros((0, bits))
+                np.add.at(total, where, np.where((code[at] > 0) == positive, share, 0.0))
+                into.update(zip(buckets.tolist(), total))
+        yield pd.DataFrame({"bucket": list(plus), "plus": [v.tolist() for v in plus.values()],
+                            "minus": [minus[b].tolist() for b in plus]})
+
+    found = (counts.repartition("bucket").sortWithinPartitions("bucket", "lang")
+             .mapInPandas(sums, "bucket int, plus array<double>, minus array<double>").toArrow())
+    side = {name: np.zeros((BUCKETS, bits)) for name in ("plus", "minus")}
+    for name, into in side.items():
+        if found.num_rows:
+            values = found[name].combine_chunks().flatten().to_numpy()
+            into[found["bucket"].to_numpy()] = values.reshape(-1, bits)
+        own = (code > 0) if name == "plus" else (code < 0)
+        into += SMOOTHING * (own * weight[:, None]).sum(axis=0)
+        into /= np.maximum(own.sum(axis=0), 1)
+    both = (code > 0).any(axis=0) & (code < 0).any(axis=0)
+    odds = np.zeros((BUCKETS, bits), np.float32)
+    odds[:, both] = np.log(side["plus"][:, both]) - np.log(side["minus"][:, both])
+    return odds
+
+
 def _calibrated(model: CodeModel, sample: DataFrame) -> CodeModel:
     """Measure each bit on the training texts: its spread, and for each language how often it is
     right and its mean margin."""
@@ -225,16 +263,21 @@ def _calibrated(model: CodeModel, sample: DataFrame) -> CodeModel:
         own = shared.value
         place = {lang: i for i, lang in enumerate(own.languages)}
         for batch in batches:
+            held: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch["lang"], batch["text"]):
-                margins = own.margins(text)
+                held.setdefault(lang, []).append(own.margins(text))
+            for lang, rows in held.items():
+                margins = np.array(rows)
                 yield pd.DataFrame({
-                    "lang": lang, "bit": np.arange(bits), "size": np.abs(margins), "margin": margins,
-                    "right": (margins * own.code[place[lang]] > 0).astype(float)})
+                    "lang": lang, "bit": np.arange(bits), "n": len(rows),
+                    "size": np.abs(margins).sum(axis=0), "margin": margins.sum(axis=0),
+                    "right": (margins * own.code[place[lang]] > 0).sum(axis=0).astype(float)})
 
     measured = ("size", "margin", "right")
     seen = (sample.mapInPandas(
-                measure, "lang string, bit int, size double, margin double, right double")
-            .groupBy("lang", "bit").agg(*[F.avg(c).alias(c) for c in measured]).toPandas())
+                measure, "lang string, bit int, n long, size double, margin double, right double")
+            .groupBy("lang", "bit").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in measured])
+            .toPandas())
     place = {lang: i for i, lang in enumerate(model.languages)}
     rows, columns = seen["lang"].map(place).to_numpy(int), seen["bit"].to_numpy(int)
     size, margin, right = (np.zeros(model.code.shape) for _ in measured)
@@ -273,7 +316,7 @@ def in_a_language(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> Da
     """``docs`` without those in no language: ``und``, or a score under ``NO_LANGUAGE``. Texts of
     two languages stay, also where the flag is set."""
     model = train(docs, per_language)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    whole = docs.select(whole_row(docs).alias("row"), F.col("text").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbstream.llm.common import map_texts
+from kerbstream.llm.common import map_texts, whole_row
 from kerbstream.operators.ordering import numbered
 from kerbstream.session import materialise
 
@@ -195,7 +195,7 @@ def repeated(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEI
     the numbers, so reruns agree.
     """
     numbered_rows = materialise(docs.select(
-        F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("number")),
+        whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("number")),
         "numbered-rows")
     slim = numbered_rows.select("number", "row.doc_id", "row.source",
                                 F.col(f"row.{text}").alias("text"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbstream.llm.common import map_texts
+from kerbstream.llm.common import map_texts, whole_row
 from kerbstream.llm.components import components
 from kerbstream.session import materialise
 
@@ -342,7 +342,7 @@ def one_of_each(docs: DataFrame, text: str = "text", shingle_words: int = SHINGL
     fingerprints alone, so texts are shuffled once, by a key that no two rows share. Rows
     without an id come last in their group.
     """
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col(text).alias("text"))
+    whole = docs.select(whole_row(docs).alias("row"), "doc_id", F.col(text).alias("text"))
     marked = materialise(whole.select(
         "row", "doc_id", F.monotonically_increasing_id().alias("number"),
         _fingerprint_of(shingle_words)(F.col("text").cast("binary")).alias("fingerprint")),

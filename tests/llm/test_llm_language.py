@@ -146,3 +146,72 @@ def test_two_learned_languages_can_be_ambiguous(make_docs, rows):
               for i in range(10)]
     got = {r.doc_id: r.ambiguous for r in lg.identified(make_docs(two + halves)).collect()}
     assert got == {r[0]: r[0] >= 1000 for r in two + halves}
+
+
+def slow_model(rows, per_language=10 ** 9):
+    """Odds, spread, trust and typical margins by dictionaries, from every learnable row."""
+    texts = {}
+    for doc_id, content, lang, _ in rows:
+        if None in (doc_id, content, lang) or zlib.crc32(str(doc_id).encode()) % 4 == 2:
+            continue
+        texts.setdefault(lang, {})[doc_id, content] = content
+    languages = sorted(texts)
+    code = lg.codewords(len(languages))
+    share = []
+    for lang in languages:
+        n = np.full(lg.BUCKETS, lg.SMOOTHING)
+        for content in texts[lang].values():
+            for buckets in lg.gram_buckets(content):
+                for b in buckets:
+                    n[b] += 1
+        share.append(n / n.sum())
+    share, bits = np.array(share), code.shape[1]
+    odds = np.stack([np.log(share[code[:, b] > 0].mean(0)) - np.log(share[code[:, b] < 0].mean(0))
+                     for b in range(bits)], 1).astype(np.float32)
+    plain = lg.CodeModel(languages, code, odds, np.ones(bits), np.full(code.shape, 1 / bits))
+    margins = [np.array([plain.margins(t) for t in texts[lang].values()]) for lang in languages]
+    size = np.array([np.abs(m).mean(0) for m in margins]).mean(0)
+    right = np.array([(m * code[i] > 0).mean(0) for i, m in enumerate(margins)])
+    trust = np.maximum(right, 1e-3)
+    spread = size / 3
+    typical = np.array([m.mean(0) for m in margins]) / spread
+    return lg.CodeModel(languages, code, odds, spread, trust / trust.sum(1, keepdims=True), typical)
+
+
+def slow_decode(model, content):
+    margins = model.margins(content)
+    losses = [sum(t * np.log1p(np.exp(-c * m)) for t, c, m in zip(trust, code, margins))
+              for trust, code in zip(model.trust, model.code)]
+    best = min(range(len(losses)), key=lambda i: losses[i])
+    belief = [np.exp((losses[best] - loss) * len(margins)) for loss in losses]
+    return model.languages[best], 1 / sum(belief)
+
+
+def test_training_and_decoding_against_dictionaries(make_docs, rows):
+    """With a repeated row, which is learned from once, and an id with two texts."""
+    few = [*rows[:90], rows[3], rows[3], (rows[3][0], rows[13][1], rows[3][2], "s")]
+    model, slow = lg.train(make_docs(few)), slow_model(few)
+    assert model.languages == slow.languages
+    assert np.allclose(model.odds, slow.odds, atol=1e-5)
+    assert np.allclose(model.spread, slow.spread, rtol=1e-4)
+    assert np.allclose(model.trust, slow.trust, atol=1e-6)
+    assert np.allclose(model.typical, slow.typical, atol=1e-3)
+    for row in lg.predicted(make_docs(rows), model).collect():
+        lang, score = slow_decode(slow, rows[row.doc_id][1])
+        assert row.lang_pred == lang and abs(row.score - score) < 1e-3
+
+
+def test_a_thousand_labels_give_rows(make_docs):
+    chance = random.Random(8)
+    rows = [(i, text(chance, "en", 3), f"label-{i % 1000:04d}", "s") for i in range(2000)]
+    got = lg.identified(make_docs(rows)).collect()
+    assert len(got) == 2000 and all(r.lang_pred.startswith("label-") for r in got)
+    learned = [r for r in got if not r.held_out]
+    assert sum(r.lang_pred == f"label-{r.doc_id % 1000:04d}" for r in learned) > 0.3 * len(learned)
+
+
+def test_stage_takes_any_column_names(make_docs, rows):
+    docs = make_docs([*rows[:40], (900, "12 34", None, None)])
+    odd = docs.withColumnRenamed("n_chars", "a.b").withColumn("Score", docs.text)
+    kept = lg.in_a_language(odd)
+    assert kept.columns == odd.columns and kept.count() == 40
