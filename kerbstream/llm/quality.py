@@ -10,16 +10,23 @@ its group's estimate is above ``CUTOFF``.
 
 The estimate is found by concentration steps over all documents. A step bins the documents by
 distance, sums moments per group and bin, and takes the bins up to the core share (the last in
-part), whose moments give the next estimate; the determinant never grows. Each task sends one row
-per group and bin, however many documents a group has. The table of estimates stays a table.
+part), whose moments give the next estimate, if its determinant is smaller. Steps go on until no
+group's determinant shrinks any more; as it is bounded from below, they end. Each task sends one
+row per group and bin, however many documents a group has. The table of estimates stays a table.
+
+Estimates of few documents say little, so each is drawn to a wider one, by one formula for all
+sizes: with n documents, n / (n + ``TRUST``) of an estimate is a group's own, and the rest is that of
+its language, which is drawn to that of all documents in the same way, and that to ``PRIOR``, wide
+spreads around its own mean. Every document is judged.
 
 Statistics that hardly vary in a group (no symbols in any text, say) would make any document that
-differs infinitely unusual, so ``FLOORS`` are added to the standard deviations. Groups of fewer
-than ``MIN_GROUP`` documents are pooled by language, and such pools again over all languages; if
-even that pool is too small, its documents are kept, as nothing is known about them.
+differs infinitely unusual, so ``FLOORS`` are added to the standard deviations. They are a few times
+the spreads within a language, and small enough for any one statistic to reject a document alone.
 
 Defined cases: null and empty texts have no words and fail; a null language or source is a value
-like any other; repeated rows count once each; an empty table gives an empty result.
+like any other; repeated rows count once each; documents that tie are judged alike; a very long text
+is one document, read whole by one task; an empty table gives an empty result. ``kept_documents``
+returns the table's own columns, whatever their names; ``judged_documents`` returns its own.
 """
 
 from __future__ import annotations
@@ -35,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstream.llm.common import map_texts
+from kerbstream.llm.common import map_texts, whole_row
 from kerbstream.session import materialise
 
 MIN_WORDS = 50
@@ -43,8 +50,7 @@ MAX_REPEATED_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 
 CORE = 0.75
-MIN_GROUP = 100
-STEPS = 12
+TRUST = 100  # documents that weigh as much as the wider estimate
 SETTLED = 1e-3  # change of a log determinant
 BINS_PER_DOUBLING = 4
 
@@ -54,9 +60,14 @@ FLOORS = {
     "symbol_rate": 0.05,  # square roots of shares from here on
     "mark_rate": 0.07,
     "capital_rate": 0.10,
-    "dup_line_rate": 0.30,  # a short text with one repeated heading is nothing odd
-    "repeat_rate": 0.30,
+    "dup_line_rate": 0.14,
+    "repeat_rate": 0.14,
 }
+# Spreads before any document is seen.
+PRIOR = {"word_length": 0.30, "symbol_rate": 0.10, "mark_rate": 0.15, "capital_rate": 0.20,
+         "dup_line_rate": 0.20, "repeat_rate": 0.20}
+# A heading of three words that stands twice is nothing odd.
+USUAL_DUP_LINES, USUAL_REPEAT_WORDS = 1, 6
 VECTOR = list(FLOORS)
 SIZE = len(VECTOR)
 
@@ -118,32 +129,25 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 def _vector() -> dict[str, Column]:
     words = F.greatest("n_words", F.lit(1))
     chars = F.greatest("word_chars", F.lit(1))
+    beyond = lambda name, usual: F.greatest(F.col(name) - usual, F.lit(0))
     return {
         "word_length": F.log(chars / words),
         "symbol_rate": F.sqrt(F.col("n_symbols") / chars),
         "mark_rate": F.sqrt(F.col("n_marks") / chars),
         "capital_rate": F.sqrt(F.col("n_capitals") / chars),
-        "dup_line_rate": F.sqrt(F.col("n_dup_lines") / F.col("n_lines")),
-        "repeat_rate": F.sqrt(F.col("n_repeat_words") / words),
+        "dup_line_rate": F.sqrt(beyond("n_dup_lines", USUAL_DUP_LINES) / F.col("n_lines")),
+        "repeat_rate": F.sqrt(beyond("n_repeat_words", USUAL_REPEAT_WORDS) / words),
     }
 
 
 # ---- groups ---------------------------------------------------------------------------------
 
-def _group_names(rows: DataFrame, min_group: int) -> DataFrame:
-    """(_lang, _source, group) for each language and source; group is null if nothing is known."""
-    counts = rows.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
-        F.count("*").alias("n"))
-    counts = materialise(counts, "group-sizes")
-    small = counts.filter(F.col("n") < min_group)
-    pools = small.groupBy("_lang").agg(F.sum("n").alias("pool")).withColumnRenamed("_lang", "_in")
-    rest = pools.filter(F.col("pool") < min_group).agg(F.sum("pool")).scalar()
-    name = lambda *parts: F.to_json(F.array(*parts))
-    return (counts.join(pools, F.col("_lang").eqNullSafe(F.col("_in")), "left")
-            .select("_lang", "_source",
-                    F.when(F.col("n") >= min_group, name(F.lit("own"), "_lang", "_source"))
-                    .when(F.col("pool") >= min_group, name(F.lit("pool"), "_lang"))
-                    .when(rest >= min_group, name(F.lit("rest"))).alias("group")))
+def _name(*parts: str) -> Column:
+    return F.to_json(F.array(*[F.lit(p) if p in ("all", "language", "own") else F.col(p)
+                               for p in parts]), {"ignoreNullFields": "false"})
+
+
+ALL, LANGUAGE, OWN = ("all",), ("language", "lang"), ("own", "lang", "source")
 
 
 # ---- estimates ------------------------------------------------------------------------------
@@ -168,7 +172,8 @@ def _moments() -> list[Column]:
 
 
 _N_MOMENTS = SIZE + SIZE * (SIZE + 1) // 2
-_ESTIMATE = "group string, mean array<double>, root array<double>, logdet double"
+_ESTIMATE = ("group string, n long, mean array<double>, covariance array<double>, "
+             "root array<double>, logdet double")
 
 
 def _chi_square(x: float, dof: int) -> float:
@@ -199,33 +204,43 @@ def _root(covariance: np.ndarray) -> tuple[list[float], float]:
             2 * float(np.log(np.diag(factor)).sum()))
 
 
+_FLOOR = np.diag(np.square(list(FLOORS.values())))
+_LOWER = np.tril_indices(SIZE)
+
+
+def _whole(packed) -> np.ndarray:
+    """A symmetric matrix from its lower half by rows."""
+    out = np.zeros((SIZE, SIZE))
+    out[_LOWER] = packed
+    return out + np.tril(out, -1).T
+
+
 def _estimate_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Moments of the core, one row per group, to mean, root and determinant."""
-    floor = np.diag(np.square(list(FLOORS.values())))
+    """Moments of the core, one row per group, to mean, covariance, root and determinant."""
     for batch in batches:
         rows = []
-        for group, n, *m in batch.itertuples(index=False):
+        for group, documents, n, *m in batch.itertuples(index=False):
             mean = np.array(m[:SIZE]) / n
-            second = np.zeros((SIZE, SIZE))
-            second[np.tril_indices(SIZE)] = np.array(m[SIZE:]) / n
-            second = second + np.tril(second, -1).T
-            covariance = SCALE * (second - np.outer(mean, mean)) + floor
-            root, logdet = _root(covariance)
-            rows.append((group, mean.tolist(), root, logdet))
-        yield pd.DataFrame(rows, columns=["group", "mean", "root", "logdet"])
+            covariance = SCALE * (_whole(np.array(m[SIZE:]) / n) - np.outer(mean, mean))
+            root, logdet = _root(covariance + _FLOOR)
+            rows.append((group, documents, mean.tolist(), covariance[_LOWER].tolist(), root, logdet))
+        yield pd.DataFrame(rows, columns=[
+            "group", "n", "mean", "covariance", "root", "logdet"])
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians and interquartile ranges per group, as a first mean and diagonal."""
-    quartiles = rows.groupBy("group").agg(*[
+    quartiles = rows.groupBy("group").agg(F.count("*").alias("n"), *[
         F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(name) for name in VECTOR])
     spread = [F.sqrt(F.pow((F.col(name)[2] - F.col(name)[0]) / 1.349, 2) + FLOORS[name] ** 2)
               for name in VECTOR]
-    root = [1 / spread[i] if i == j else F.lit(0.0)
-            for i in range(SIZE) for j in range(i + 1)]
+    pairs = [(i, j) for i in range(SIZE) for j in range(i + 1)]
+    zero = F.lit(0.0)
     return quartiles.select(
-        "group", F.array(*[F.col(name)[1] for name in VECTOR]).alias("mean"),
-        F.array(*root).alias("root"), F.lit(float("inf")).alias("logdet"))
+        "group", "n", F.array(*[F.col(name)[1] for name in VECTOR]).alias("mean"),
+        F.array(*[spread[i] ** 2 if i == j else zero for i, j in pairs]).alias("covariance"),
+        F.array(*[1 / spread[i] if i == j else zero for i, j in pairs]).alias("root"),
+        F.lit(float("inf")).alias("logdet"))
 
 
 def _concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -242,70 +257,105 @@ def _concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         F.lit(0.0), (F.lit(CORE) * F.col("all") - (F.col("upto") - F.col("n"))) / F.col("n")))
     names = ["n", *[f"m{i}" for i in range(_N_MOMENTS)]]
     core = upto.withColumn("part", part).groupBy("group").agg(
+        F.max("all").alias("documents"),
         *[F.sum(F.col(name) * F.col("part")).alias(name) for name in names])
     return core.mapInPandas(_estimate_rows, _ESTIMATE)
 
 
-def robust_estimates(rows: DataFrame, steps: int = STEPS, settled: float = SETTLED) -> DataFrame:
-    """(group, mean, root, logdet) of all documents in ``rows`` (group and the vector).
-
-    Stops when no group's determinant changes any more; one number per step reaches the driver.
-    """
+def robust_estimates(rows: DataFrame, settled: float = SETTLED) -> DataFrame:
+    """(group, n, mean, covariance, root, logdet) of all documents in ``rows`` (group and the
+    vector). A group takes a step's estimate only if that makes its determinant smaller, so the
+    steps end, and at an estimate that one more step would not better. One number per step
+    reaches the driver."""
     now = materialise(_start(rows), "estimate")
-    for _ in range(steps):
-        after = materialise(_concentrated(rows, now), "estimate")
-        change = after.join(now.select("group", F.col("logdet").alias("before")), "group").agg(
-            F.max(F.abs(F.col("before") - F.col("logdet")))).first()[0]
-        now = after
-        if change is None or change < settled:
-            break
-    return now
+    while True:
+        old = now.select("group", *[F.col(c).alias(f"old_{c}") for c in now.columns[1:]])
+        better = F.col("logdet") < F.col("old_logdet") - settled
+        after = materialise(_concentrated(rows, now).join(old, "group").select(
+            "group", *[F.when(better, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c)
+                       for c in now.columns[1:]], better.alias("better")), "estimate")
+        now = after.drop("better")
+        if not after.filter("better").limit(1).count():
+            return now
+
+
+def shrunk(n: float, mean, covariance, wide_mean, wide_covariance) -> tuple[np.ndarray, np.ndarray]:
+    """An estimate of n documents, drawn to a wider one."""
+    own = n / (n + TRUST)
+    return (own * np.asarray(mean) + (1 - own) * np.asarray(wide_mean),
+            own * np.asarray(covariance) + (1 - own) * np.asarray(wide_covariance))
+
+
+def _shrunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each language and source: its estimate drawn to its language's, that to the one of all
+    documents, and that to the prior."""
+    prior = np.diag(np.square(list(PRIOR.values())))[_LOWER]
+    for batch in batches:
+        rows = []
+        for r in batch.to_dict("records"):
+            wide = r["mean_all"], prior
+            for kind in ("_all", "_language", ""):
+                wide = shrunk(r[f"n{kind}"], r[f"mean{kind}"], r[f"covariance{kind}"], *wide)
+            root, _ = _root(_whole(wide[1]) + _FLOOR)
+            rows.append((r["_lang"], r["_source"], r["group"], wide[0].tolist(), root))
+        yield pd.DataFrame(rows, columns=["_lang", "_source", "group", "mean", "root"])
 
 
 # ---- the operator ---------------------------------------------------------------------------
 
-def _with_group(rows: DataFrame, names: DataFrame) -> DataFrame:
-    return rows.join(names, F.col("lang").eqNullSafe(F.col("_lang"))
-                     & F.col("source").eqNullSafe(F.col("_source")), "left").drop(
-        "_lang", "_source")
-
-
 def _described(measured: DataFrame) -> DataFrame:
     return measured.withColumns(
         _vector() | {"base_failed": base_failed(F.col("n_words"), F.col("n_repeat_words"))})
 
 
-def fitted(described: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
-    """The group of each language and source, and the groups' estimates."""
+def fitted(described: DataFrame) -> DataFrame:
+    """(_lang, _source, group, mean, root): what the documents of each language and source are
+    judged by."""
     passed = described.filter(~F.col("base_failed")).select("lang", "source", *VECTOR)
-    names = materialise(_group_names(passed, min_group), "group-names")
-    # The steps read nothing but groups and vectors.
-    vectors = materialise(_with_group(passed, names).filter(F.col("group").isNotNull()).select(
-        "group", *VECTOR), "vectors")
-    return names, robust_estimates(vectors)
-
-
-def judged(described: DataFrame, names: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``described`` with group, distance and kept. Rows of unknown groups stay, if the fixed
-    rules let them."""
-    placed = _with_group(described, names).join(estimates, "group", "left").withColumn(
+    # The steps read nothing but groups and vectors; a document is in a group of each kind.
+    kinds = F.explode(F.array(*[_name(*parts) for parts in (ALL, LANGUAGE, OWN)]))
+    vectors = materialise(passed.select(kinds.alias("group"), *VECTOR), "vectors")
+    found = robust_estimates(vectors).select("group", "n", "mean", "covariance")
+    groups = materialise(passed.select(
+        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+        _name(*OWN).alias("group"), _name(*LANGUAGE).alias("_in")).distinct(), "groups")
+
+    def named(suffix: str) -> DataFrame:
+        return found.select(F.col("group").alias(f"group{suffix}"), *[
+            F.col(c).alias(f"{c}{suffix}") for c in ("n", "mean", "covariance")])
+
+    everything = F.broadcast(named("_all").filter(F.col("group_all") == '["all"]'))  # one row
+    joined = (groups.join(found, "group")
+              .join(named("_language"), F.col("_in") == F.col("group_language"))
+              .join(everything, F.lit(True)))
+    return materialise(joined.mapInPandas(
+        _shrunk_rows, "_lang string, _source string, group string, mean array<double>, "
+        "root array<double>"), "shrunk")
+
+
+def judged(described: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``described`` with group, distance and kept."""
+    placed = described.join(
+        estimates, F.col("lang").eqNullSafe(F.col("_lang"))
+        & F.col("source").eqNullSafe(F.col("_source")), "left").withColumn(
         "distance", _distance())
-    kept = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF))
-    return placed.withColumn("kept", kept).drop("mean", "root", "logdet")
+    # No estimate is there only for groups of which no document passes the fixed rules.
+    kept = ~F.col("base_failed") & (F.col("distance") <= CUTOFF)
+    return placed.withColumn("kept", kept).drop("_lang", "_source", "mean", "root")
 
 
 def _measured(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return map_texts(docs, keep, text, f"{BASE}, {MORE}", _statistics_batch, binary=True)
 
 
-def judged_documents(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
+def judged_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, lang, source, the statistics, base_failed, distance and kept of each document."""
     described = materialise(
         _described(_measured(docs, text, ["doc_id", "lang", "source"])), "statistics")
-    return judged(described, *fitted(described, min_group))
+    return judged(described, fitted(described))
 
 
-def kept_documents(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the documents that fail.
 
     The statistics are taken twice, to fit and to judge, so that no copy of the texts is written.
@@ -313,12 +363,12 @@ def kept_documents(docs: DataFrame, text: str = "text", min_group: int = MIN_GRO
     unless that table is too large to broadcast.
     """
     slim = materialise(_described(_measured(docs, text, ["lang", "source"])), "statistics")
-    names, estimates = fitted(slim, min_group)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("lang"), F.col("source"),
+    estimates = fitted(slim)
+    whole = docs.select(whole_row(docs).alias("row"), F.col("lang"), F.col("source"),
                         F.col(text).cast("binary").alias("text"))
     measured = whole.select("row", "lang", "source", _statistics_of()("text").alias("s"))
     described = _described(measured.select("row", "lang", "source", "s.*"))
-    return judged(described, names, estimates).filter("kept").select("row.*")
+    return judged(described, estimates).filter("kept").select("row.*")
 
 
 def _statistics_of():

@@ -1,5 +1,6 @@
 """Statistics against slow definitions, and estimates against data made to have outliers."""
 
+import itertools
 import re
 from collections import Counter
 
@@ -114,20 +115,113 @@ def test_constants():
     assert abs(q._quantile(0.999, 6) - 22.458) < 1e-3
 
 
-def test_small_groups_are_pooled(spark):
-    rows = spark.createDataFrame(
-        [("en", "a")] * 5 + [("en", "b")] * 2 + [("en", None)] * 2 + [("fr", "a")] * 2
-        + [(None, "a")] * 2 + [("de", "a")], "lang string, source string")
-    got = {(r._lang, r._source): r.group for r in q._group_names(rows, 4).collect()}
-    assert got["en", "a"] == '["own","en","a"]'
-    assert got["en", "b"] == got["en", None] == '["pool","en"]'
-    assert got["fr", "a"] == got[None, "a"] == got["de", "a"] == '["rest"]'
+def slow_shrunk(levels):
+    """Each estimate drawn to the one before it, by documents; ``levels`` from the widest."""
+    mean = levels[0][1]
+    covariance = np.diag(np.square(list(q.PRIOR.values())))
+    for n, own_mean, own_covariance in levels:
+        mean = (n * own_mean + q.TRUST * mean) / (n + q.TRUST)
+        covariance = (n * own_covariance + q.TRUST * covariance) / (n + q.TRUST)
+    return mean, covariance
+
+
+def test_small_groups_are_drawn_to_wider_ones(spark):
+    """The judging estimate of every language and source against the formula, from estimates of
+    each group alone."""
+    chance = np.random.default_rng(8)
+    groups = {("en", "a"): 300, ("en", "b"): 20, ("de", "a"): 3, ("de", None): 1, (None, "a"): 2}
+    data = [(lang, source, False, *map(float, row)) for (lang, source), n in groups.items()
+            for row in chance.normal(len(str(lang)), 0.3, (n, q.SIZE))]
+    described = spark.createDataFrame(
+        data, "lang string, source string, base_failed boolean, "
+        + ", ".join(f"{name} double" for name in q.VECTOR))
+    got = {(r._lang, r._source): r for r in q.fitted(described).collect()}
+    assert set(got) == set(groups)
+
+    def alone(choose):
+        rows = [("g", *r[3:]) for r in data if choose(*r[:2])]
+        found = q.robust_estimates(spark.createDataFrame(rows, ["group", *q.VECTOR])).first()
+        return found.n, np.array(found.mean), q._whole(found.covariance)
+
+    everything = alone(lambda lang, source: True)
+    for lang, source in groups:
+        mean, covariance = slow_shrunk([
+            everything, alone(lambda x, _: x == lang), alone(lambda x, y: (x, y) == (lang, source))])
+        assert np.allclose(got[lang, source].mean, mean, atol=1e-6)
+        root = np.zeros((q.SIZE, q.SIZE))
+        root[np.tril_indices(q.SIZE)] = got[lang, source].root
+        assert np.allclose(np.linalg.inv(root.T @ root), covariance + q._FLOOR, atol=1e-6)
+
+
+def test_the_estimate_is_near_the_smallest_determinant(spark):
+    """Against every core of small groups, of which some are outliers."""
+    chance = np.random.default_rng(12)
+    for outliers in (0, 1, 2, 3):
+        values = chance.normal(0, 0.5, (12, q.SIZE))
+        values[:outliers] += 6
+        rows = spark.createDataFrame([("g", *map(float, v)) for v in values], ["group", *q.VECTOR])
+        found = q.robust_estimates(rows).first()
+        cores = []
+        for core in itertools.combinations(range(12), 9):
+            part = values[list(core)]
+            covariance = q.SCALE * np.cov(part.T, bias=True) + q._FLOOR
+            cores.append(np.linalg.slogdet(covariance)[1])
+        # Bins take the last document of a core in part, so a core need not be whole documents.
+        assert found.logdet <= np.quantile(cores, 0.2), outliers
+        assert found.logdet >= min(cores) - 1.5
+        if outliers:
+            assert np.abs(found.mean).max() < 1
+
+
+def test_steps_end_where_another_would_not_better(spark):
+    chance = np.random.default_rng(5)
+    data = [(g, *map(float, row)) for g in ("g", "h") for row in chance.standard_t(2, (300, q.SIZE))]
+    rows = spark.createDataFrame(data, ["group", *q.VECTOR])
+    now = q.robust_estimates(rows)
+    after = {r.group: r.logdet for r in q._concentrated(rows, now).collect()}
+    assert all(after[r.group] >= r.logdet - q.SETTLED for r in now.collect())
+
+
+def test_a_small_table_is_judged(make_docs):
+    """Junk of rare groups goes, though each group has few documents and no table-wide pool."""
+    chance = np.random.default_rng(6)
+    rows = [(i, prose(chance), "en", f"s{i % 30}") for i in range(70)]
+    rows += [(100 + i, junk(chance), "de" if i % 2 else None, f"j{i}") for i in range(12)]
+    got = q.judged_documents(make_docs(rows)).collect()
+    assert all(r.distance is not None for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {100 + i for i in range(12)}
 
 
-def test_too_few_documents_are_kept(make_docs):
+def test_few_documents_are_judged_by_the_prior(make_docs):
     chance = np.random.default_rng(2)
-    got = q.judged_documents(make_docs([(1, prose(chance)), (2, junk(chance))])).collect()
-    assert all(r.kept and r.distance is None and r.group is None for r in got)
+    got = q.judged_documents(make_docs([(1, prose(chance)), (2, prose(chance))])).collect()
+    assert all(r.kept and r.distance is not None for r in got)
+
+
+def headed(chance, lines, repeated):
+    """Lines of prose of which ``repeated`` are one and the same."""
+    same = prose(chance, 12)
+    return "\n".join([prose(chance, 12) for _ in range(lines - repeated)] + [same] * repeated)
+
+
+def test_repetition_alone_rejects(make_docs):
+    """Texts like all others but for repeated lines; a heading that stands twice is nothing."""
+    chance = np.random.default_rng(7)
+    rows = [(i, headed(chance, 20, 0), "en", "s") for i in range(300)]
+    rows += [(1000, headed(chance, 20, 2), "en", "s"), (1001, headed(chance, 20, 10), "en", "s")]
+    got = {r.doc_id: r for r in q.judged_documents(make_docs(rows)).collect()}
+    assert got[1000].kept and got[5].kept
+    assert not got[1001].base_failed and not got[1001].kept
+    assert got[1001].word_length == pytest.approx(got[5].word_length, abs=0.1)
+
+
+def test_any_column_names(make_docs):
+    chance = np.random.default_rng(9)
+    docs = make_docs([(i, prose(chance), "en", "s") for i in range(20)] + [(90, "short")])
+    odd = docs.withColumnRenamed("n_chars", "a.b`c").withColumn("mean", docs.text).withColumn(
+        "distance", docs.text).withColumn("_lang", docs.text)
+    kept = q.kept_documents(odd)
+    assert kept.columns == odd.columns and kept.count() == 20
 
 
 def test_empty_table(make_docs):
