@@ -2,8 +2,9 @@
 
 A document's sections are parted by empty lines, a section's paragraphs by line feeds. A paragraph
 node is the SHA-256 of its text, a section node that of its paragraphs' nodes, and the root that of
-its sections' nodes. Cutting loses nothing, so equal roots mean equal texts, and the places where
-two trees differ are the places of an edit.
+its sections' nodes. Cutting loses nothing, so equal roots mean equal texts, and the branches in
+which two trees differ locate an edit: equal nodes are aligned from both ends, so what an edit only
+moves does not differ.
 
 Below the paragraphs lie marks, 64-bit hashes of their sentences (in pieces of at most 64
 characters), which tell how much of two texts is alike. The n-th occurrence of a piece has a mark
@@ -13,7 +14,9 @@ marks. It is 1 only for equal roots: texts with the same sentences in another or
 Defined cases: a null text is the empty one; a text of nothing but line feeds has no marks and is
 like nothing but itself. The next document of the last one is the first. Rows without an id have
 no next document: they are edited with, and compared to, the empty text. If an id is repeated, its
-smallest text stands for it as a next document. Empty tables give empty results.
+smallest text stands for it as a next document; repeated rows are edited each. A very long text is
+one row and is handled by one task. Empty tables give empty results. Other columns of the table are
+not read, so they may have any name.
 """
 
 from __future__ import annotations
@@ -60,22 +63,51 @@ def root_of(tree_column: Column) -> Column:
     return _node("d", F.array_join(F.transform(tree_column, lambda s: s["section"]), ""))
 
 
+def _aligned(a: Column, b: Column, like) -> tuple[Column, Column]:
+    """How many nodes are equal at the start of two lists, and at their end beyond that."""
+    shorter = F.least(F.size(a), F.size(b))
+
+    def run(x: Column, y: Column) -> Column:
+        # Places that one list lacks are null, which is not False.
+        unlike = F.array_position(F.zip_with(x, y, like), False)
+        return F.when(unlike > 0, unlike - 1).otherwise(shorter).cast("int")
+
+    start = run(a, b)
+    return start, F.least(run(F.reverse(a), F.reverse(b)), shorter - start)
+
+
+def _middle(nodes: Column, start: Column, end: Column) -> Column:
+    return F.slice(nodes, start + 1, F.size(nodes) - start - end)
+
+
 def differing(a: Column, b: Column) -> Column:
-    """array<struct<section, paragraph>> (from 0): where two trees differ, found by going down
-    only where sections do. A paragraph that one tree lacks differs."""
-    def inside(x: Column, y: Column, i: Column) -> Column:
-        nodes = F.zip_with(x, y, lambda p, q: ~p.eqNullSafe(q))
-        places = F.transform(nodes, lambda unlike, j: F.struct(
-            i.alias("section"), j.alias("paragraph"), unlike.alias("unlike")))
-        return F.filter(places, lambda p: p["unlike"])
-
-    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    none = F.array().cast("array<struct<section:int,paragraph:int,unlike:boolean>>")
+    """array<struct<section, paragraph>> (from 0, in ``b``): the branches in which two trees differ.
+
+    Sections that are equal from the start and from the end are the same branches, wherever an
+    edit between them has moved them to. What is left is compared place by place, and one goes
+    down only where the section nodes differ; there paragraphs are aligned and compared in the
+    same way. A paragraph that one tree lacks differs.
+    """
     empty = F.array().cast("array<string>")
-    found = F.flatten(F.transform(pairs, lambda p, i: F.when(
-        p["x"]["section"].eqNullSafe(p["y"]["section"]), none).otherwise(
-        inside(F.coalesce(p["x"]["paragraphs"], empty), F.coalesce(p["y"]["paragraphs"], empty), i))))
-    return F.transform(found, lambda p: F.struct(p["section"], p["paragraph"]))
+    start, end = _aligned(a, b, lambda x, y: x["section"] == y["section"])
+    pairs = F.zip_with(_middle(a, start, end), _middle(b, start, end), lambda x, y: F.struct(
+        (~x["section"].eqNullSafe(y["section"])).alias("unlike"),
+        F.coalesce(x["paragraphs"], empty).alias("x"), F.coalesce(y["paragraphs"], empty).alias("y")))
+    places = F.transform(pairs, lambda p, i: F.struct((start + i).alias("section"), p.alias("pair")))
+    places = F.filter(places, lambda p: p["pair"]["unlike"])
+    return F.flatten(F.transform(places, lambda p: _inside(
+        p["section"], p["pair"]["x"], p["pair"]["y"])))
+
+
+def _inside(section: Column, x: Column, y: Column) -> Column:
+    """The branches below one pair of sections."""
+    start, end = _aligned(x, y, lambda p, q: p == q)
+    unlike = F.zip_with(_middle(x, start, end), _middle(y, start, end),
+                        lambda p, q: ~p.eqNullSafe(q))
+    places = F.transform(unlike, lambda u, i: F.struct(
+        section.alias("section"), (start + i).alias("paragraph"), u.alias("unlike")))
+    return F.transform(F.filter(places, lambda p: p["unlike"]),
+                       lambda p: F.struct(p["section"], p["paragraph"]))
 
 
 # ---- marks and likeness ---------------------------------------------------------------------
@@ -127,7 +159,8 @@ def _neighbours(docs: DataFrame) -> DataFrame:
 def fingerprints_of_edits(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next:
     each document against its edited text, whose last floor(n_chars / 2) characters are the first
-    as many of the next document, and against that next document.
+    as many of the next document, and against that next document; and where the trees of text and
+    edited text differ: in how many branches (paragraphs), and in which first.
 
     Whole texts are shuffled by id once, for both roles of a document: as the next one of
     another, of which only the part that the edit takes goes on, with its root and marks, and as
@@ -161,10 +194,20 @@ def _compared(df: DataFrame) -> DataFrame:
     df = with_marks(with_marks(df, "text", "marks"), "edited", "edited_marks")
     df = df.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        root(F.col("text")).alias("fingerprint"), root(F.col("edited")).alias("edited_fingerprint"),
+        tree(F.col("text")).alias("tree"), tree(F.col("edited")).alias("edited_tree"),
         "marks", "edited_marks", "next_root", "next_marks")
+    df = df.select(
+        "*", root_of(F.col("tree")).alias("fingerprint"),
+        root_of(F.col("edited_tree")).alias("edited_fingerprint"))
+    # Only trees whose roots differ are gone down.
+    df = df.withColumn("branches", F.when(
+        F.col("fingerprint") != F.col("edited_fingerprint"),
+        differing(F.col("tree"), F.col("edited_tree"))))
+    first = F.get("branches", F.lit(0))
     return df.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.coalesce(F.size("branches"), F.lit(0)).alias("edited_branches"),
+        first["section"].alias("first_section"), first["paragraph"].alias("first_paragraph"),
         likeness(F.col("fingerprint"), F.col("marks"), F.col("edited_fingerprint"),
                  F.col("edited_marks")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("marks"), F.col("next_root"),

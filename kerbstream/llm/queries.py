@@ -123,6 +123,43 @@ def _marks_sql(name: str, text: str) -> str:
             FROM edits))"""
 
 
+def _aligned_sql(name: str, source: str, a: str, b: str) -> str:
+    """``source`` with ``lead`` and ``trail``, the equal items at both ends of two lists, and the
+    lengths of what is between them."""
+    def run(x: str, y: str) -> str:
+        return f"""coalesce(nullif(list_position(list_transform(range(1, least(len({a}), len({b})) + 1),
+          lambda i: {x}[i] = {y}[i]), false), 0) - 1, least(len({a}), len({b})))"""
+
+    return f"""{name} AS (
+      SELECT *, len({a}) - lead - trail AS of_a, len({b}) - lead - trail AS of_b FROM (
+        SELECT *, least({run('ra', 'rb')}, least(len({a}), len({b})) - lead) AS trail FROM (
+          SELECT *, {run(a, b)} AS lead, list_reverse({a}) AS ra, list_reverse({b}) AS rb
+          FROM {source})))"""
+
+
+# Paragraphs as text: nodes are equal where their texts are.
+_BRANCHES_SQL = f"""
+      nested AS (
+        SELECT doc_id,
+          list_transform(string_split(text, chr(10) || chr(10)), lambda s: string_split(s, chr(10))) AS a,
+          list_transform(string_split(edited, chr(10) || chr(10)), lambda s: string_split(s, chr(10))) AS b
+        FROM edits WHERE text <> edited),
+      {_aligned_sql('sections', 'nested', 'a', 'b')},
+      pairs AS (
+        SELECT doc_id, lead + k AS section,
+               CASE WHEN k < of_a THEN a[lead + k + 1] ELSE []::VARCHAR[] END AS x,
+               CASE WHEN k < of_b THEN b[lead + k + 1] ELSE []::VARCHAR[] END AS y,
+               k < of_a AND k < of_b AS paired
+        FROM (SELECT *, unnest(range(greatest(of_a, of_b))) AS k FROM sections)),
+      {_aligned_sql('paragraphs', '(SELECT * FROM pairs WHERE NOT paired OR x <> y)', 'x', 'y')},
+      branches AS (
+        SELECT doc_id, count(*) AS n,
+               min({{'section': section, 'paragraph': lead + k}}) AS first
+        FROM (SELECT *, unnest(range(greatest(of_a, of_b))) AS k FROM paragraphs)
+        WHERE NOT (k < of_a AND k < of_b) OR x[lead + k + 1] <> y[lead + k + 1]
+        GROUP BY doc_id)"""
+
+
 def _near_sql(other: str, root: str) -> str:
     return f"""CASE WHEN e.fingerprint = {root} THEN 1.0::DOUBLE ELSE least(
         2::DOUBLE * coalesce(c_{other}.n, 0)
@@ -148,14 +185,17 @@ ORACLE_SQL = {
       c_edited AS (SELECT doc_id, count(*) AS n FROM own JOIN edited_marks
                    USING (doc_id, piece, nth) GROUP BY doc_id),
       c_next AS (SELECT doc_id, count(*) AS n FROM own JOIN next_marks
-                 USING (doc_id, piece, nth) GROUP BY doc_id)
+                 USING (doc_id, piece, nth) GROUP BY doc_id),
+      {_BRANCHES_SQL}
       SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, e.fingerprint,
              {_root_sql('e.edited')} AS edited_fingerprint,
+             coalesce(b.n, 0)::INT AS edited_branches, b.first.section::INT AS first_section,
+             b.first.paragraph::INT AS first_paragraph,
              {_near_sql('edited', _root_sql('e.edited'))} AS near_edited,
              {_near_sql('next', _root_sql('e.next_text'))} AS near_next
       FROM edits e LEFT JOIN n_own USING (doc_id) LEFT JOIN n_edited USING (doc_id)
       LEFT JOIN n_next USING (doc_id) LEFT JOIN c_edited USING (doc_id)
-      LEFT JOIN c_next USING (doc_id)""",
+      LEFT JOIN c_next USING (doc_id) LEFT JOIN branches b USING (doc_id)""",
     "op2_warc_normaliser": """
       WITH sized AS (
         SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,

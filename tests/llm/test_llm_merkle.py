@@ -1,6 +1,7 @@
 """Trees against hashlib, likeness against counting, edits against slicing."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -27,6 +28,31 @@ def slow_likeness(a, b):
     return min(2 * (x & y).total() / max(total, 1), 1 - 1 / (total + 1))
 
 
+def slow_middle(a, b):
+    """What is left of two lists without their equal starts and ends, and where it starts."""
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    return start, a[start:len(a) - end], b[start:len(b) - end]
+
+
+def slow_differing(a, b):
+    sections = [[s.split("\n") for s in t.split("\n\n")] for t in (a, b)]
+    start, x, y = slow_middle(*sections)
+    out = []
+    for i in range(max(len(x), len(y))):
+        pair = [side[i] if i < len(side) else [] for side in (x, y)]
+        if i < min(len(x), len(y)) and pair[0] == pair[1]:
+            continue
+        inner, p, q = slow_middle(*pair)
+        out += [(start + i, inner + j) for j in range(max(len(p), len(q)))
+                if j >= min(len(p), len(q)) or p[j] != q[j]]
+    return out
+
+
 def slow_edits(rows):
     """One row per row; unique ids only."""
     texts = {d: t or "" for d, t in rows}
@@ -36,7 +62,9 @@ def slow_edits(rows):
         own, after = texts[d], texts[order[(i + 1) % len(order)]]
         half = len(own) // 2
         edited = own[:len(own) - half] + after[:half]
-        out.append((d, len(own), sha(edited), slow_root(own), slow_root(edited),
+        branches = slow_differing(own, edited)
+        out.append((d, len(own), sha(edited), slow_root(own), slow_root(edited), len(branches),
+                    *(branches[0] if branches else (None, None)),
                     slow_likeness(own, edited), slow_likeness(own, after)))
     return out
 
@@ -69,7 +97,7 @@ def test_repeated_ids_and_missing_ones(make_docs):
     assert first[2] == sha("bb " + "aa")  # the smallest text of id 2
     assert by_text[slow_root("zz")][2] == sha("z" + "b")  # after the last comes the first
     alone = by_text[slow_root("none here")]
-    assert alone[2] == sha("none h"[:5]) and alone[6] == 0.0
+    assert alone[2] == sha("none h"[:5]) and alone[-1] == 0.0
 
 
 def test_empty_table(make_docs):
@@ -84,8 +112,18 @@ def test_tree_and_root_agree(spark):
 
 
 def test_differing_places(spark):
+    ten = "\n".join(map(str, range(10)))
     pairs = [("a\nb\n\nc\nd", "a\nb\n\nc\nX", [(1, 1)]), ("a\n\nb", "a\n\nb", []),
-             ("a", "a\n\nb\nc", [(1, 0), (1, 1)]), ("a\nb", "b\nb\nc", [(0, 0), (0, 2)])]
+             ("a", "a\n\nb\nc", [(1, 0), (1, 1)]), ("a\nb", "b\nb\nc", [(0, 0), (0, 2)]),
+             (ten, "new\n" + ten, [(0, 0)]), ("new\n" + ten, ten, [(0, 0)]),
+             (ten, ten.replace("5", "5\nnew"), [(0, 6)]), ("a\n\nb\n\nc", "a\n\nx\n\nb\n\nc", [(1, 0)]),
+             ("a\n\nb\n\nc", "a\n\nc", [(1, 0)]), ("a\na\na", "a\na", [(0, 2)]),
+             ("a\n\nb\nc\nd\n\ne", "a\n\nb\nX\nd\n\ne", [(1, 1)])]
+    chance = random.Random(4)
+    for _ in range(150):
+        made = ["\n\n".join("\n".join(chance.choice("abc") for _ in range(chance.randint(1, 3)))
+                            for _ in range(chance.randint(1, 4))) for _ in range(2)]
+        pairs.append((*made, slow_differing(*made)))
     df = spark.createDataFrame([p[:2] for p in pairs], "a string, b string")
     df = df.select(mk.tree(F.col("a")).alias("a"), mk.tree(F.col("b")).alias("b"))
     got = df.select(mk.differing(F.col("a"), F.col("b")).alias("d")).collect()
