@@ -48,6 +48,7 @@ MAX_BITS = 3
 SEED = 42
 
 SAMPLE_PER_SHARD = 64  # fingerprints that shape the tree of shards
+MAX_SAMPLE = 1 << 18  # and all of them, 8 bytes each; larger shards are cut into blocks instead
 SHARD_ROWS = 4096  # home fingerprints of a shard, until there are SHARDS of them
 SHARDS = 16  # more only when shards would pass LARGE_SHARD: each level of splits adds copies
 LARGE_SHARD = 1 << 18
@@ -243,8 +244,8 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
     """(a, b): links between distinct fingerprints whose components are the near-duplicates."""
     rows = distinct.count()
     shards = max(min(-(-rows // shard_rows), SHARDS), -(-rows // LARGE_SHARD))
-    sample = _sample(distinct, rows, shards * SAMPLE_PER_SHARD) if shards > 1 else np.empty(
-        0, np.uint64)
+    wanted = min(shards * SAMPLE_PER_SHARD, MAX_SAMPLE)
+    sample = _sample(distinct, rows, wanted) if shards > 1 else np.empty(0, np.uint64)
     tree = distinct.sparkSession.sparkContext.broadcast(
         shard_tree(sample, max(shards, 1), max_bits))
 
@@ -301,12 +302,12 @@ def tiles(dealt: DataFrame, home_rows: int, visits: int) -> DataFrame:
 
 
 def _sample(distinct: DataFrame, rows: int, size: int) -> np.ndarray:
-    """About ``size`` of the fingerprints, by hash: one in 64 of a small table, and one in 4096
-    of a large one. They shape the tree and decide nothing else."""
+    """About ``size`` of the fingerprints, by hash. They shape the tree and decide nothing
+    else."""
     chosen = distinct.filter(F.pmod(
         F.xxhash64("fingerprint"), F.lit(max(1, rows // size))) == 0)
-    found = chosen.select("fingerprint").limit(2 * size).collect()
-    return np.array([r[0] for r in found], np.int64).view(np.uint64)
+    found = chosen.select("fingerprint").limit(2 * size).toArrow()
+    return found["fingerprint"].to_numpy().astype(np.int64).view(np.uint64)
 
 
 def near_groups(prints: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
@@ -320,7 +321,9 @@ def near_groups(prints: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = S
         found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "doc_id", F.coalesce("component", "fingerprint").alias("group_print")),
         "labelled")
-    named = labelled.groupBy("group_print").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join sees a plain shuffle on both sides and can split a large group.
+    named = materialise(labelled.groupBy("group_print").agg(
+        F.min("doc_id").alias("component_id")), "named")
     return materialise(labelled.join(named, "group_print"), "groups")
 
 
