@@ -9,24 +9,28 @@ and a step updates the table of duals, which stays a table. Steps are kept insid
 shrinks around the root, so an iteration that would overshoot halves the bracket instead.
 
 Rates are then rounded to whole copies so that a source's total is met: documents are dealt to
-slots of bounded size by a hash of their ids, and in each slot, largest first, a document gets the
-number of copies that keeps the running total closest to the running target.
+slots of bounded size by a hash of their ids and sizes, and in each slot, largest first, a document
+gets the number of copies that keeps the running total closest to the running target. Documents
+that are equal in all of this are rounded as one, and their copies divided among them.
 
 All sums of fractions go through decimals, which add up the same in any order, so reruns agree.
 
 Sizes are counted in full; sources are ordered by code point, null last, to deal the weights.
 
 Defined cases: null and empty texts have size 0 and are taken once if their source's rate is at
-least one half; rows without an id are dealt by their size; repeated rows are documents of their
-own; a source whose documents are all empty has target 0; empty tables give empty results.
+least one half; rows without an id are told apart by their size; repeated rows are documents of
+their own, and of rows that tie any may get the copy that is left over; a source whose documents are
+all empty has target 0; a very long text is one size; empty tables give empty results. ``repeated``
+returns the table's own columns, whatever their names; ``mixed`` reads id, source and text alone.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbstream.llm.common import map_texts, whole_row
@@ -93,7 +97,9 @@ def solve_duals(sizes: DataFrame, targets: DataFrame, most: float = MOST,
                 iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> DataFrame:
     """``targets`` with mean (size) and dual of each source.
 
-    A source at its cap needs no dual: its rate is ``most``, written as an infinite dual.
+    A source at its cap needs no dual: its rate is ``most``, written as an infinite dual. Brackets
+    at least halve from the second step on, so ``iterations`` are more than a solvable source
+    needs; if one is still open then, that is an error and no result.
     """
     mean = F.greatest(F.col("source_size") / F.col("documents"), F.lit(1e-9))
     at_cap = F.col("target") >= F.col("source_size") * F.lit(most * (1 - 1e-12))
@@ -101,9 +107,11 @@ def solve_duals(sizes: DataFrame, targets: DataFrame, most: float = MOST,
         "*", mean.alias("mean"), F.lit(0.0).alias("dual"),
         F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
         (at_cap | (F.col("source_size") == 0)).alias("done")), "duals")
-    for _ in range(iterations):
+    for left in range(iterations, -1, -1):
         if not state.filter(~F.col("done")).limit(1).count():
             break
+        if not left:
+            raise ArithmeticError(f"sources miss their targets after {iterations} iterations")
         state = materialise(_newton(sizes, state, most, tolerance), "duals")
     return state.select(
         "source", "documents", "source_size", "target", "mean",
@@ -143,47 +151,81 @@ def _newton(sizes: DataFrame, state: DataFrame, most: float, tolerance: float) -
         "low", "high", finished.alias("done"))
 
 
-def rounded(rates: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def rounded(rates: DataFrame, slot_rows: int = SLOT_ROWS, alike: tuple[str, ...] = ()
+            ) -> DataFrame:
     """``rates`` (doc_id, source, documents, size, rate) with copies, whole numbers near the
     rates.
 
-    A source of many documents is dealt over as many slots as it needs, so no task holds more
-    than about ``slot_rows`` of them, whatever the source's share.
+    Rows that are equal in source, id, size and the columns ``alike`` are one record, however
+    many they are. A source of many rows has its records dealt over as many slots as it needs,
+    so no task holds more than about ``slot_rows`` of them, whatever the source's share. Copies
+    are chosen per record and then divided evenly among its rows.
     """
-    slots = F.ceil(F.col("documents") / F.lit(float(slot_rows)))
-    dealt = rates.withColumn("_slot", F.pmod(
-        F.when(F.col("doc_id").isNull(), F.xxhash64("size")).otherwise(F.xxhash64("doc_id")),
-        slots.cast("long")))
-    schema = dealt.drop("_slot").schema.add("copies", "long")
+    key = ["source", "doc_id", "size", *alike]
+    records = rates.groupBy(*key, "documents", "rate").agg(F.count("*").alias("times"))
+    slots = F.ceil(F.col("documents") / F.lit(float(slot_rows))).cast("long")
+    dealt = records.withColumn("_slot", F.pmod(F.xxhash64("doc_id", "size", *alike), slots))
+    schema = records.schema.add("total", "long")
 
     def choose(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("size", "descending"), ("doc_id", "ascending")])
+        group = group.sort_by([("size", "descending"), ("doc_id", "ascending"),
+                               *[(name, "ascending") for name in alike]])
         wanted = given = 0.0
-        copies = []
-        for size, rate in zip(group["size"].to_pylist(), group["rate"].to_pylist()):
-            wanted += size * rate
-            n = round((wanted - given) / size) if size else int(rate >= 0.5)
-            n = min(max(n, int(rate)), math.ceil(rate))
+        totals = []
+        for size, rate, times in zip(*(group[c].to_pylist() for c in ("size", "rate", "times"))):
+            wanted += size * rate * times
+            n = round((wanted - given) / size) if size else int(rate >= 0.5) * times
+            n = min(max(n, int(rate) * times), math.ceil(rate) * times)
             given += n * size
-            copies.append(n)
-        return group.drop_columns("_slot").append_column("copies", pa.array(copies, pa.int64()))
-
-    return dealt.groupBy("source", "_slot").applyInArrow(choose, schema)
+            totals.append(n)
+        return group.drop_columns("_slot").append_column("total", pa.array(totals, pa.int64()))
+
+    chosen = materialise(dealt.groupBy("source", "_slot").applyInArrow(choose, schema), "chosen")
+    return _divided(rates, chosen, key)
+
+
+def _divided(rates: DataFrame, chosen: DataFrame, key: list[str]) -> DataFrame:
+    """``rates`` with copies: each row an equal part of its record's total, and the first rows one
+    more, until nothing is left. First are those of the first task that wrote them, so the rows
+    of a large record are numbered in many tasks: a row's number is that in its task, and how
+    many rows the tasks before it have."""
+    named = chosen.select(*[F.col(k).alias(f"_{k}") for k in key], "times", "total")
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    placed = materialise(rates.join(named, same).select(
+        *rates.columns, "times", "total", F.spark_partition_id().alias("_task")), "placed")
+    part = F.floor(F.col("total") / F.col("times"))
+    left = F.col("total") - part * F.col("times")
+    uneven = (F.col("times") > 1) & (left > 0)
+    even = placed.filter(~uneven).select(*rates.columns, part.alias("copies"))
+    rest = placed.filter(uneven)
+    if not rest.limit(1).count():
+        return even
+    numbered_rows = rest.withColumn(
+        "_at", F.row_number().over(Window.partitionBy("_task", *key).orderBy("total")))
+    before = Window.partitionBy(*key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = rest.groupBy("_task", *key).agg(F.count("*").alias("_n")).select(
+        F.col("_task").alias("_in"), *[F.col(k).alias(f"_{k}") for k in key],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    found = numbered_rows.join(tasks, same & (F.col("_task") == F.col("_in")))
+    one_more = (F.col("_before") + F.col("_at") <= left).cast("long")
+    return even.unionByName(found.select(*rates.columns, (part + one_more).alias("copies")))
 
 
 def mixed(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
-          share: float = SHARE, most: float = MOST, also: tuple[str, ...] = ()) -> DataFrame:
+          share: float = SHARE, most: float = MOST, also: tuple[str, ...] = (),
+          alike: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies and taken of each document, and the
-    columns ``also``, which decide nothing."""
-    sizes = materialise(word_counts(docs, text, ("doc_id", "source", *also)), "sizes")
+    columns ``also``, which decide nothing, and ``alike``, which tell rows of one id and size
+    apart."""
+    sizes = materialise(word_counts(docs, text, ("doc_id", "source", *also, *alike)), "sizes")
     duals = solve_duals(sizes, source_targets(sizes, weights, share, most), most)
     duals = materialise(duals.withColumnRenamed("source", "_source"), "solved")
     rate = F.when(F.col("dual") == float("inf"), F.lit(most)).otherwise(
         tilted(F.col("dual"), F.col("size"), F.col("mean"), most))
     rates = sizes.join(duals, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "source", *also, "size", "documents", "source_size", "target",
+        "doc_id", "source", *also, *alike, "size", "documents", "source_size", "target",
         F.round(rate, 9).alias("rate"))
-    return rounded(rates).withColumn("taken", F.col("copies") * F.col("size"))
+    return rounded(rates, alike=alike).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def repeated(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEIGHTS,
@@ -191,16 +233,17 @@ def repeated(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEI
     """``docs`` with each row as often as the mix takes it, which may be never.
 
     Rows are written with a number of their own first, so that each finds its own decision,
-    also where ids are missing or repeated. The decision depends on ids and sizes only, not on
-    the numbers, so reruns agree.
+    also where ids are missing or repeated. The decision depends on ids, sizes and texts only,
+    and which of equal rows stands more often is all the same, so reruns agree.
     """
     numbered_rows = materialise(docs.select(
         whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("number")),
         "numbered-rows")
-    slim = numbered_rows.select("number", "row.doc_id", "row.source",
-                                F.col(f"row.{text}").alias("text"))
-    taken = mixed(slim, "text", weights, share, most, ("number",)).filter("copies > 0").select(
-        "number", "copies")
+    words = F.col(f"row.{text}")
+    slim = numbered_rows.select("number", "row.doc_id", "row.source", words.alias("text"),
+                                F.xxhash64(words).alias("print"))
+    taken = mixed(slim, "text", weights, share, most, ("number",), ("print",)).filter(
+        "copies > 0").select("number", "copies")
     return (numbered_rows.join(taken, "number")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("row.*"))

@@ -1,9 +1,11 @@
 """Targets against a slow water level, and what the mix takes against its targets."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbstream.llm import mixing as mx
 from llm_fixtures import make_docs, odd_texts  # noqa: F401
@@ -96,6 +98,77 @@ def test_rounding_in_slots(spark):
         assert len(got) == len(data)
 
 
+def slow_rounded(rows, slot_rows):
+    """Copies of each record's rows together, by the rule, with plain loops."""
+    records = Counter((r.source, r.doc_id, r.size, r.rate, r.documents, r._slot) for r in rows)
+    slots = defaultdict(list)
+    for (source, doc_id, size, rate, documents, slot), times in records.items():
+        slots[source, slot].append((-size, doc_id is None, doc_id or 0, rate, times))
+    out = {}
+    for (source, slot), held in slots.items():
+        wanted = given = 0.0
+        for size, _, doc_id, rate, times in sorted(held):
+            size = -size
+            wanted += size * rate * times
+            n = round((wanted - given) / size) if size else int(rate >= 0.5) * times
+            n = min(max(n, int(rate) * times), math.ceil(rate) * times)
+            given += n * size
+            out[source, doc_id, size] = n
+    return out
+
+
+def test_rounding_against_loops(spark):
+    """One id with many rows, rows without ids, and equal ones, in some slots each."""
+    chance = random.Random(9)
+    data = [(i, "s", 900, chance.randint(0, 30), 0.0) for i in range(1, 300)]
+    data += [(5000, "s", 900, chance.randint(1, 4), 0.0) for _ in range(300)]
+    data += [(None, "s", 900, chance.randint(1, 3), 0.0) for _ in range(301)]
+    data += [(7, "t", 40, 3, 0.0)] * 40
+    rated = [(*r[:4], round(0.3 + (r[3] * 37 % 17) / 10, 9)) for r in data]
+    rates = spark.createDataFrame(
+        rated, "doc_id long, source string, documents long, size long, rate double").repartition(7)
+    slots = F.ceil(F.col("documents") / F.lit(100.0)).cast("long")
+    known = rates.withColumn("_slot", F.pmod(F.xxhash64("doc_id", "size"), slots)).collect()
+    want = slow_rounded(known, 100)
+    got = mx.rounded(rates, 100).collect()
+    assert len(got) == len(rated)
+    total, most, least = Counter(), {}, {}
+    for r in got:
+        key = (r.source, r.doc_id or 0, r.size)
+        total[key] += r.copies
+        most[key], least[key] = max(most.get(key, 0), r.copies), min(least.get(key, 9), r.copies)
+    assert {k: total[k] for k in want} == want
+    assert all(most[k] - least[k] <= 1 for k in most)
+
+
+def test_no_task_holds_a_hot_id(spark):
+    """40,000 rows of which half have no id and a third one id: records are few, and their slots
+    small."""
+    data = [(None if i % 2 else 5, "s", 40_000, i % 50 + 1, 0.7) for i in range(40_000)]
+    rates = spark.createDataFrame(
+        data, "doc_id long, source string, documents long, size long, rate double")
+    got = mx.rounded(rates).groupBy("doc_id", "size").agg(
+        F.sum("copies").alias("n"), F.count("*").alias("rows")).collect()
+    assert sum(r.rows for r in got) == 40_000
+    words = sum(r.n * r.size for r in got)
+    assert abs(words - sum(0.7 * d[3] for d in data)) < 20 * 50
+
+
+def test_a_source_that_stays_open_is_an_error(spark, make_docs, rows):
+    docs = make_docs(rows)
+    sizes = mx.word_counts(docs)
+    with pytest.raises(ArithmeticError):
+        mx.solve_duals(sizes, mx.source_targets(sizes), iterations=1)
+
+
+def test_stage_takes_any_column_names(make_docs):
+    docs = make_docs([(i, "a b c " * (i + 1), None, f"s{i % 2}") for i in range(8)])
+    odd = docs.withColumnRenamed("n_chars", "a.b").withColumn("number", docs.text).withColumn(
+        "print", docs.text)
+    assert mx.repeated(odd).columns == odd.columns
+    assert mx.repeated(odd).count() == mx.repeated(docs).count()
+
+
 def test_odd_rows(make_docs, odd_texts):
     rows = [*[(i, t, None, "odd") for i, t in enumerate(odd_texts)], (None, "a b", None, None),
             (3, "same row", None, "x"), (3, "same row", None, "x"), (9, None, None, "empty"),
