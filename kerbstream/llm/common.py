@@ -38,9 +38,10 @@ def file_bytes(path: str) -> bytes:
     return data
 
 
-def whole_row(docs: DataFrame) -> Column:
-    """All columns as one struct, whatever their names are."""
-    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in docs.columns])
+def whole_row(docs: DataFrame, names: list[str] | None = None) -> Column:
+    """All columns, or ``names``, as one struct, whatever their names are."""
+    chosen = docs.columns if names is None else names
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in chosen])
 
 
 def map_texts(df: DataFrame, keep: list[str], text: str, schema: str,

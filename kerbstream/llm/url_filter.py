@@ -6,16 +6,21 @@ with the longer path. The trie's first levels are host labels from the right, th
 segments, so a URL is judged by walking down once, however many rules there are.
 
 Rules come as a Python list and are cut into tries of at most ``TRIE_RULES`` rules and
-``TRIE_CHARS`` characters. Each trie is broadcast and judged in a pass of its own, and a longer match of a later pass takes over, so a
-list of any length gives the same verdicts as a single trie would.
+``TRIE_CHARS`` characters. Each trie is broadcast and judged in a pass of its own, and a longer
+match of a later pass takes over, so a list of any length gives the same verdicts as a single trie
+would.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, which no rule
 fits; what no rule fits gets ``default``. Of rules with equal host and path the last one counts.
-Rules without a host, or longer than ``RULE_CHARS``, are refused.
+Rules without a host, or longer than ``RULE_CHARS``, are refused. Repeated rows are judged each; a
+URL of any length is walked once, in time that grows with it; an empty table gives an empty
+result. The table's other columns stay, whatever their names; those named host, path, rule or
+verdict, in any case, are replaced.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -23,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbstream.llm.common import whole_row
+
 TRIE_RULES = 200_000
 TRIE_CHARS = 8 << 20
 RULE_CHARS = 4096
@@ -53,7 +60,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 class HostTrie:
     """Nested dicts. A node has "labels" (next host label), and "rules": a path trie whose
-    nodes have "next" (whole segments) and "ends": rest of the last segment -> rule."""
+    nodes have "next" (whole segments), "ends": rest of the last segment -> rule, and "sizes": the
+    lengths of these rests, longest first."""
 
     def __init__(self, rules: Iterable[Rule]):
         self.root: dict = {}
@@ -67,6 +75,9 @@ class HostTrie:
                 node = node.setdefault("next", {}).setdefault(segment, {})
             node.setdefault("ends", {})[last] = (
                 rule.host.count(".") + 1, len(rule.path), rule.text, rule.verdict)
+            sizes = node.setdefault("sizes", [])
+            if len(last) not in sizes:
+                bisect.insort(sizes, len(last), key=lambda n: -n)
 
     def longest(self, host: str, path: str) -> tuple[int, int, str, str] | None:
         """(host labels, path length, rule, verdict) of the longest rule that fits."""
@@ -85,8 +96,8 @@ class HostTrie:
         for segment in segments:
             ends = node.get("ends")
             if ends:  # a rule's last segment may be the start of the URL's
-                for n in range(len(segment), -1, -1):
-                    if segment[:n] in ends:
+                for n in node["sizes"]:
+                    if n <= len(segment) and segment[:n] in ends:
                         best = ends[segment[:n]]
                         break
             node = node.get("next", {}).get(segment)
@@ -119,21 +130,22 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], default: str = "allow",
     rules = list({(r.host, r.path): r for r in rules}.values())
     spark = pages.sparkSession
     host, path = host_and_path(F.col(url))
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judged = pages.select(*kept, host.alias("host"), path.alias("path"))
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     best = F.lit(None).cast("struct<labels:int,length:int,rule:string,verdict:string>")
-    judged = judged.withColumn("_best", best)
+    # The table's own columns stay in one struct, where none of them can clash.
+    judged = pages.select(whole_row(pages, kept).alias("row"), host.alias("host"),
+                          path.alias("path"), best.alias("best"))
     for part in _parts(rules, trie_rules):
         trie = spark.sparkContext.broadcast(HostTrie(part))
         match = _matcher(trie)
-        judged = (judged.withColumn("_found", match("host", "path"))
-                  .withColumn("_best", F.when(
-                      F.col("_best").isNull() | (F.col("_found") > F.col("_best")),
-                      F.col("_found")).otherwise(F.col("_best")))
-                  .drop("_found"))
+        judged = (judged.withColumn("found", match("host", "path"))
+                  .withColumn("best", F.when(
+                      F.col("best").isNull() | (F.col("found") > F.col("best")),
+                      F.col("found")).otherwise(F.col("best")))
+                  .drop("found"))
     return judged.select(
-        *kept, "host", "path", F.col("_best.rule").alias("rule"),
-        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+        *([F.col("row.*")] if kept else []), "host", "path", F.col("best.rule").alias("rule"),
+        F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 def _matcher(trie):

@@ -1,6 +1,7 @@
 """The trie against trying every rule on every URL."""
 
 import random
+import time
 
 import pytest
 
@@ -72,3 +73,24 @@ def test_tries_are_bounded_in_characters(monkeypatch):
     rules = [uf.Rule("block", "h" * n, "/") for n in (5, 5, 19, 30, 1)]
     assert [[len(r.host) for r in part] for part in uf._parts(rules, 100)] == [
         [5, 5], [19], [30], [1]]
+
+
+def test_long_urls_take_linear_time():
+    """Segments of one character over and over, which no rule ends."""
+    trie = uf.HostTrie([uf.Rule("block", "a.b", "/x" + "x" * n) for n in (0, 5, 4000)])
+    start = time.perf_counter()
+    found = trie.longest("a.b", "/" + "x" * 2_000_000)
+    assert found[1] == 4002 and trie.longest("a.b", "/" + "y" * 2_000_000) is None
+    assert trie.longest("b." * 500_000 + "a.b", "/" * 1_000_000) is None
+    assert time.perf_counter() - start < 2
+
+
+def test_columns_of_any_name_stay(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://x.net/a", "h", "b", "d", "f", "r")],
+        ["page_id", "url", "Host", "_best", "a.b`c", "found", "row"])
+    got = uf.judge_urls(pages, RULES)
+    assert got.columns == ["page_id", "url", "_best", "a.b`c", "found", "row", "host", "path", "rule",
+                           "verdict"]
+    assert tuple(got.first()) == (1, "http://x.net/a", "b", "d", "f", "r", "x.net", "/a", "net/",
+                                  "block")
