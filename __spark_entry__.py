@@ -196,6 +196,30 @@ def q_stream_late_readings(spark, sf_dir):
     return stored
 
 
+def _on_triggers(spark, sf_dir) -> JobConfig:
+    """Both queries running as the job starts them, the windows on an interval and the alerts as
+    fast as they can, until all messages are through."""
+    config = _file_config(spark, trigger="1 second")
+    queries = start_streams(envelope_view(_event_stream(spark, sf_dir)), config)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return config
+
+
+def q_stream_windows_on_triggers(spark, sf_dir):
+    config = _on_triggers(spark, sf_dir)
+    return _comparable(read_aggregates(spark, config.aggregates_path).drop("traffic_date"))
+
+
+def q_stream_alerts_on_triggers(spark, sf_dir):
+    config = _on_triggers(spark, sf_dir)
+    return decode_alerts(spark.read.schema("key string, value string").json(config.alerts_path))
+
+
 def _growing(spark, sf_dir):
     """A stream over a folder to which, before each of three runs, events are added: the early
     ones, the later ones, and the early ones once more."""
@@ -757,6 +781,8 @@ def oracle_sql() -> dict[str, str]:
         "compacted_by_ledger": history,
         "published_report": f"WITH {pooled} SELECT * FROM report",
         "stream_critical_alerts": alerts,
+        "stream_windows_on_triggers": closed,
+        "stream_alerts_on_triggers": alerts,
         "stream_window_aggregates_by_sensor": closed,
         "stream_late_readings": closed,
         "stream_without_times": without_errors,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,15 @@ def apply_settings(spark: SparkSession, zone: str, streaming: bool = False,
 
 
 def application_dir(spark: SparkSession) -> str:
-    """This application's folder: below the one the cluster names in ``spark.checkpoint.dir``,
-    or else below the warehouse, which executors share as well."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir")
+    """This application's folder: below the one the cluster names in ``spark.checkpoint.dir``, or
+    else below the warehouse, if executors share that too. A warehouse on the driver's own disk is
+    refused unless all tasks run in the driver, since other machines would not find it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        if not alone and re.match(r"file:|/", root):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/kerbstream-{spark.sparkContext.applicationId}"
 
 

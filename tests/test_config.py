@@ -1,7 +1,7 @@
 import pytest
 
 from kerbstream.config import JobConfig
-from kerbstream.session import INITIAL_PARTITIONS, apply_settings
+from kerbstream.session import INITIAL_PARTITIONS, application_dir, apply_settings
 
 
 def test_settings_from_the_session(spark, changed_conf):
@@ -35,3 +35,32 @@ def test_session_settings(spark, job_settings):
     assert spark.conf.get(INITIAL_PARTITIONS) == "4", "left alone unless configured"
     apply_settings(spark, "UTC", initial_partitions=32)
     assert int(spark.conf.get(INITIAL_PARTITIONS)) == 32
+
+
+class Session:
+    """What ``application_dir`` asks of a session."""
+
+    def __init__(self, master, **settings):
+        self.conf = self
+        self.sparkContext = type("C", (), {"master": master, "applicationId": "app-1"})
+        self.settings = settings
+
+    def get(self, key, *default):
+        return self.settings.get(key.split(".")[-2], *default)
+
+
+@pytest.mark.parametrize("master, settings, expected", [
+    ("yarn", {"checkpoint": "hdfs://n/tmp/", "warehouse": "/w"}, "hdfs://n/tmp/kerbstream-app-1"),
+    ("yarn", {"warehouse": "s3a://b/w"}, "s3a://b/w/kerbstream-app-1"),
+    ("local[8]", {"warehouse": "file:/w"}, "file:/w/kerbstream-app-1"),
+    ("local", {"warehouse": "/w"}, "/w/kerbstream-app-1"),
+    ("yarn", {"warehouse": "file:/w"}, None),
+    ("spark://m:7077", {"warehouse": "/w"}, None),
+    ("local-cluster[2,1,1024]", {"warehouse": "/w"}, None),
+])
+def test_shared_folder(master, settings, expected):
+    if expected is None:
+        with pytest.raises(ValueError):
+            application_dir(Session(master, **settings))
+    else:
+        assert application_dir(Session(master, **settings)) == expected
