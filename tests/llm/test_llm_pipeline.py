@@ -91,6 +91,6 @@ def test_every_stage_takes_odd_and_empty_tables(spark, make_docs, odd_texts):
 def test_registered():
     names = entry_point.queries()
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language", "quality", "near_duplicates", "mix", "encode"]
