@@ -194,24 +194,25 @@ def test_a_fast_clock_closes_nobody_elses_windows(spark, at, tmp_path):
         start_streams(envelope_stream(spark, source), config_in(tmp_path, max_clock_lead="1 minute"))
 
 
-def test_messages_are_decoded_once(spark, tmp_path):
-    """One decoding in the plan, and the sinks read what is kept of it."""
-    source, config = tmp_path / "in", config_in(tmp_path, rejects_path=f"{tmp_path}/rejects")
-    many(source, files=1)
+def test_messages_are_read_and_decoded_once(spark, tmp_path, monkeypatch):
+    """One decoding in the plan of a micro-batch, and the source's rows are read as often as there
+    are messages; without keeping the micro-batch every sink would read them again."""
+    source = tmp_path / "in"
+    many(source, files=2)
     envelope = spark.read.schema("key string, value string, timestamp timestamp").json(str(source))
-    tagged = fanout.FanOut(config).tagged(envelope)
-    assert plan(tagged).count("from_json") == 1
-    kept = tagged.persist()
-    try:
-        kept.count()
-        windows = fanout.partial_windows(kept.filter("reject_reason IS NULL"), config.window)
-        text = plan(windows)
-        assert "InMemoryTableScan" in text
-        alerts = kept.filter("reject_reason IS NULL AND avg_speed < 10")
-        assert "Scan json" not in text.split("InMemoryRelation")[0]
-        assert alerts.count() <= kept.count()
-    finally:
-        kept.unpersist()
+    config = config_in(tmp_path, rejects_path=f"{tmp_path}/rejects")
+    assert plan(fanout.FanOut(config).tagged(envelope)).count("from_json") == 1
+
+    def rows_read(folder):
+        config = config_in(folder, rejects_path=f"{folder}/rejects")
+        queries = start_streams(envelope_stream(spark, source), config, available_now=True)
+        wait_all(queries)
+        assert len(queries) == 1
+        return sum(progress["numInputRows"] for progress in queries[0].recentProgress)
+
+    assert rows_read(tmp_path / "kept") == 120
+    monkeypatch.setattr(fanout.FanOut, "__call__", fanout.FanOut.process)
+    assert rows_read(tmp_path / "unkept") > 360
 
 
 def test_old_versions_of_the_state_go(spark, tmp_path):
