@@ -45,6 +45,16 @@ def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     return done[-1] if done else None
 
 
+def begun_version(spark: SparkSession, root: str, version: int) -> int | None:
+    """The newest whole version, for a micro-batch that writes ``version``: the one before, or its
+    own if it is run again. A later one was left by another checkpoint, whose numbers mean other
+    micro-batches; that is an error, as nothing would be right that is merged into it."""
+    newest = current_version(spark, root)
+    if newest and newest[0] > version:
+        raise ValueError(f"{root} has version {newest[0]} of another checkpoint; this one is at {version}")
+    return newest[0] if newest else None
+
+
 def has_versions(spark: SparkSession, root: str) -> bool:
     return bool(_folders(spark, root))
 

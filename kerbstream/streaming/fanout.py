@@ -33,7 +33,7 @@ from kerbstream.operators import (
 from kerbstream.schemas import (
     ACCOUNT, AGGREGATE, AGGREGATE_EXTRA, OPEN_WINDOW, REASONS, REJECT, WINDOW_STATE)
 from kerbstream.sinks.layout import cluster_for_stream
-from kerbstream.sinks.versions import prune, version_path, write_version
+from kerbstream.sinks.versions import begun_version, prune, version_path, write_version
 from kerbstream.streaming.status import upsert_status
 
 def partial_windows(readings: DataFrame, window: str) -> DataFrame:
@@ -148,6 +148,7 @@ class FanOut:
         """The open windows with this micro-batch in them, written as its version; those the
         watermark closes are marked and not read by the next one."""
         spark, root = readings.sparkSession, self.config.state_path
+        begun_version(spark, root, batch_id)
         partials = partial_windows(readings, self.config.window)
         if batch_id:
             earlier = spark.read.schema(WINDOW_STATE).parquet(version_path(root, batch_id - 1))

@@ -13,15 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 from kerbstream.config import JobConfig
 from kerbstream.operators import merged_summaries, sensor_summary
 from kerbstream.schemas import AGGREGATE, AGGREGATE_EXTRA, status_schema
-from kerbstream.sinks.versions import current_version, prune, version_path, write_version
+from kerbstream.sinks.versions import (
+    begun_version, current_version, prune, version_path, write_version)
 
 
 def upsert_status(windows: DataFrame, root: str, version: int) -> None:
     """Write version ``version`` from the one before and from windows it does not hold. A version
     that is whole is left as it is, since a repeated micro-batch has the same windows."""
     spark = windows.sparkSession
-    newest = current_version(spark, root)
-    if newest and newest[0] >= version:
+    newest = begun_version(spark, root, version)
+    if newest == version:
         return
     extra = "total_readings" in windows.columns
     summaries = sensor_summary(windows).select(*status_schema(extra).names)

@@ -224,6 +224,15 @@ def test_old_versions_of_the_state_go(spark, tmp_path):
     assert current_version(spark, config.status_path)[0] == 3
 
 
+def test_state_of_another_checkpoint_is_refused(spark, tmp_path):
+    source, config = tmp_path / "in", config_in(tmp_path)
+    many(source, files=2)
+    run(spark, source, config, maxFilesPerTrigger=1)
+    again = config_in(tmp_path, fan_out_checkpoint=f"{tmp_path}/other")
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        run(spark, source, again, maxFilesPerTrigger=1)
+
+
 def test_status_page_from_the_kept_status(spark, tmp_path):
     source, config = tmp_path / "in", config_in(tmp_path, report_path=f"{tmp_path}/report")
     many(source)
