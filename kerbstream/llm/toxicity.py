@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from kerbstream.llm.common import map_texts
 from kerbstream.session import materialise
 
-SAMPLE = 4000
+SAMPLE = 2000
 CANDIDATES = 1500
 LEXICON = 400
 LENGTHS = range(3, 9)  # letters of a beginning
@@ -515,11 +515,13 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def looked_up(batch: list[str | None]) -> list[list]:
         found = [beginnings(text or "") for text in batch]
         held = [[(index[f], n) for f, n in counts.items() if f in index] for counts in found]
-        return [[[i for i, _ in row] for row in held], [[n for _, n in row] for row in held],
+        short = pa.list_(pa.int32())
+        return [pa.array([[i for i, _ in row] for row in held], short),
+                pa.array([[n for _, n in row] for row in held], short),
                 [len((text or "").split()) for text in batch]]
 
     rows = map_texts(texts, ["toxic", "weight"], "text",
-                     "at array<long>, times array<long>, words long", looked_up).toArrow()
+                     "at array<int>, times array<int>, words long", looked_up).toArrow()
     toxic = rows["toxic"].to_numpy(zero_copy_only=False).astype(bool)
     weights, words = (rows[c].to_numpy().astype(float) for c in ("weight", "words"))
     counts = np.zeros((len(toxic), len(forms)), np.int32)
