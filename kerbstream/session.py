@@ -52,8 +52,8 @@ def application_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir")
-        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
-        if not alone and re.match(r"file:|/", root):
+        on_disk = re.match(r"file:|/", root)
+        if on_disk and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/kerbstream-{spark.sparkContext.applicationId}"
 
