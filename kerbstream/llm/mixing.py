@@ -244,6 +244,7 @@ def repeated(docs: DataFrame, text: str = "text", weights: tuple[int, ...] = WEI
                                 F.xxhash64(words).alias("print"))
     taken = mixed(slim, "text", weights, share, most, ("number",), ("print",)).filter(
         "copies > 0").select("number", "copies")
-    return (numbered_rows.join(taken, "number")
+    # By a shuffle at any size, so that the work grows evenly with the table.
+    return (numbered_rows.join(taken.hint("merge"), "number")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("row.*"))
