@@ -30,7 +30,7 @@ from kerbstream.plans.event_view import (  # noqa: E402
     EVENTS, PROFILES, damaged_envelope_view, envelope_view, fast_clock_envelope_view,
     profile_documents, readings_view, sensor_name)
 from kerbstream.schemas import REJECT  # noqa: E402
-from kerbstream.session import shared_dir  # noqa: E402
+from kerbstream.session import bound_listing, shared_dir  # noqa: E402
 from kerbstream.sinks import publish_report, write_aggregates, write_report  # noqa: E402
 from kerbstream.sources import (  # noqa: E402
     aggregates_for_date, read_aggregates, read_history, read_profiles, read_report,
@@ -57,11 +57,13 @@ REPORT_DATE = "2024-01-15"
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    bound_listing(spark)
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    bound_listing(spark)
     # A pattern, because the file source takes a single file (not a folder) only as a pattern.
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 

@@ -82,8 +82,8 @@ class JobConfig:
     # SENSOR_LAYOUT is for tables that already have it: it makes a file per sensor, date and
     # micro-batch, all of which the sink's log lists and the driver loads to plan a read.
     layout: tuple[str, ...] = DATE_LAYOUT
-    # Writer tasks (and so files) per date and micro-batch in the date-only layout; unset, a
-    # sixteenth of the shuffle partitions.
+    # Writer tasks (and so files) per date and micro-batch in the date-only layout; unset, one
+    # per 64 shuffle partitions.
     files_per_date: int | None = None
     # How long the sink's log names a file, such as "30 days". After that no reader of the
     # stream's table sees it, so set it only if dates are compacted well before.

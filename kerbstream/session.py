@@ -26,6 +26,17 @@ STREAM_SETTINGS = {
 # How many partitions a batch shuffle starts with; the adaptive planner merges small ones.
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+# Into how many tasks Spark deals the listing of a table's files, at most. Unset that is 10,000: for a
+# table of many files the tasks then take far longer to hand out than to run.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def bound_listing(spark: SparkSession) -> None:
+    """List files in some tasks per core, and so in as many at a time as before; each takes its share
+    of the paths. A number that is set already stays."""
+    if spark.conf.get(LISTING_TASKS, None) is None:
+        spark.conf.set(LISTING_TASKS, str(max(64, 8 * spark.sparkContext.defaultParallelism)))
+
 
 def apply_settings(spark: SparkSession, zone: str, streaming: bool = False,
                    initial_partitions: int | None = None) -> None:
@@ -42,6 +53,7 @@ def apply_settings(spark: SparkSession, zone: str, streaming: bool = False,
         settings[INITIAL_PARTITIONS] = str(initial_partitions)
     for key, value in settings.items():
         spark.conf.set(key, value)
+    bound_listing(spark)
     spark.conf.set("spark.sql.session.timeZone", zone)
 
 

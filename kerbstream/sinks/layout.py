@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+PARTITIONS_PER_WRITER = 64
+
 
 def cluster_for_stream(aggregates: DataFrame, layout: tuple[str, ...],
                        files_per_date: int | None = None) -> DataFrame:
@@ -13,14 +15,16 @@ def cluster_for_stream(aggregates: DataFrame, layout: tuple[str, ...],
     Without it every task of the aggregation writes into every directory. The rows are closed
     windows, one per sensor and window, so no sensor has more of them than a day has windows.
     A date's rows do grow with the number of sensors; without a sensor level they are dealt
-    over ``files_per_date`` tasks. Unset, that is a sixteenth of the shuffle partitions, so it
-    grows with the cluster the stream is set up for: a million sensors make some 60 MB a minute,
-    which 12 writers of the default 200 partitions store as files of 5 MB.
+    over ``files_per_date`` tasks. Unset, that is one per ``PARTITIONS_PER_WRITER`` shuffle
+    partitions, so it grows with the cluster the stream is set up for: a million sensors make some
+    60 MB a minute, which 3 writers of the default 200 partitions store as files of 20 MB. Few
+    sensors, or a backlog of many dates, make a file per writer and date all the same, and to write,
+    list and open those takes longer than their rows do.
     """
     keys = [F.col(name) for name in layout]
     if "sensor_id" not in layout:
         partitions = int(aggregates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writers = files_per_date or max(1, partitions // 16)
+        writers = files_per_date or max(1, partitions // PARTITIONS_PER_WRITER)
         keys.append(F.pmod(F.xxhash64("sensor_id"), F.lit(writers)))
     return aggregates.repartition(*keys)
 

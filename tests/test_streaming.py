@@ -4,6 +4,7 @@ import os
 import shutil
 import time
 
+import __spark_entry__ as entry_point
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from kerbstream.operators import (
     critical_alerts, decode_alerts, parse_readings, split_valid, window_aggregates)
 from kerbstream.plans.event_view import EVENTS, readings_view
 from kerbstream.schemas import REJECT
-from kerbstream.session import STREAM_SETTINGS
+from kerbstream.session import LISTING_TASKS, STREAM_SETTINGS, bound_listing
+from kerbstream.sinks import cluster_for_stream
 from kerbstream.sources import aggregates_for_date, kafka_read_options, read_aggregates
 from kerbstream.streaming import (
     run_stream, start_aggregates, start_alerts, start_streams, wait_all)
@@ -248,6 +250,51 @@ def test_few_files_per_micro_batch(spark, tmp_path):
     assert len(folders) >= 30 and len(files) <= 2 * len(folders)
 
 
+def test_many_dates_make_few_files_each(spark, changed_conf):
+    """A file per writer and date: a backlog of many dates must not make more than its rows need."""
+    changed_conf("spark.sql.shuffle.partitions", "200")
+    changed_conf("spark.sql.adaptive.enabled", "false")  # as in a stream with state
+
+    def files(sensors):
+        windows = spark.range(30 * sensors).select(
+            (F.col("id") % sensors).cast("string").alias("sensor_id"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / sensors).cast("int"))
+            .alias("traffic_date"))
+        clustered = cluster_for_stream(windows, DATE_LAYOUT)
+        assert clustered.count() == 30 * sensors
+        return clustered.select("traffic_date", F.spark_partition_id()).distinct().count()
+
+    assert files(16) <= 3 * 30
+    assert 2 * 30 < files(1000) <= 3 * 30
+
+
+def test_listing_many_files_takes_few_tasks(spark, changed_conf, tmp_path):
+    """What a query that follows a table of many files does whenever it starts or goes on."""
+    changed_conf(LISTING_TASKS, "0")
+    spark.conf.unset(LISTING_TASKS)
+    spark.createDataFrame([], EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    assert entry_point._event_stream(spark, str(tmp_path)).isStreaming
+    most = max(64, 8 * spark.sparkContext.defaultParallelism)
+    assert int(spark.conf.get(LISTING_TASKS)) == most
+    changed_conf(LISTING_TASKS, "8")
+    bound_listing(spark)
+    assert spark.conf.get(LISTING_TASKS) == "8"
+
+    spark.range(0, 40, 1, 40).write.parquet(f"{tmp_path}/table")
+    files = glob.glob(f"{tmp_path}/table/*.parquet")
+    assert len(files) == 40
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        table = spark.read.schema("id bigint").parquet(*files)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(stage) for job in tracker.getJobIdsForGroup("listing")
+                  for stage in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [stage.numTasks for stage in stages] == [8]
+    assert table.count() == 40
+
+
 def test_a_failing_query_is_raised_and_the_other_stopped(spark, tmp_path):
     rate = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     healthy = (rate.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/a")
